@@ -192,7 +192,7 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
                 | (F.substring("name", 1, PREFIX) != F.substring("other", 1, PREFIX))
             )
         )
-        .withColumn("similarity", jaro_winkler("name", "other"))
+        .withColumn("similarity", F.round(jaro_winkler("name", "other"), 9))
         .where(F.col("similarity") >= NEAR)
         .withColumn("level", F.when(F.col("similarity") >= CLOSE, "close").otherwise("near"))
     )

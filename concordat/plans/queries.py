@@ -241,15 +241,12 @@ def identifier_gate(i: Inputs) -> DataFrame:
 
 
 def excluded_keys(i: Inputs) -> DataFrame:
-    """Filers and series that reported something, and have no admitted edge."""
+    """Filers and series that reported something, and have no admitted claim."""
     ciks = i.filings().select(F.lit("cik").alias("key_type"), "key")
     series = i.filed_series().select(F.lit("series").alias("key_type"), "key")
-    carried = edges.authoritative_edges(
-        loads.type_registrations(i.raw_registrations()),
-        edges.admit_identifiers(i.filings(), i.register()).where(F.col("lei") < "529900Q00000000080"),
-        edges.admit_identifiers(i.filed_series(), i.register()),
-    )
-    return edges.excluded_keys([ciks, series], carried)
+    admitted = edges.admit_identifiers(i.filings(), i.register()).select(F.lit("cik").alias("key_type"), "key")
+    listed = loads.type_registrations(i.raw_registrations()).where(F.col("key_type") == "series")
+    return edges.excluded_keys([ciks, series], admitted.unionByName(listed.select("key_type", "key")))
 
 
 # Linkage
