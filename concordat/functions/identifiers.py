@@ -19,26 +19,26 @@ def is_digits(text: Column) -> Column:
     return text.rlike(r"\A[0-9]+\z")
 
 
+# The characters of an identifier, each worth its place in the list.
+ALPHABET = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
 def mod97(text: Column) -> Column:
     """ISO 7064 MOD 97-10 remainder of an identifier; 1 means the check digits hold.
 
-    A letter counts as its base-36 value and so takes two decimal places. Any other
-    character makes the result NULL. Letters are first written as their two
-    digits, and the remainder is folded nine digits at a time, which with the two digits
-    carried over stays well inside a long.
+    A digit shifts the remainder by one decimal place and a letter, worth 10 to 35, by
+    two. Any other character, or none at all, makes the result NULL. The text is named
+    once in the expression, so it is worked out once per row.
     """
-    clean = tidy_id(text)
-    # Letter values are fixed by the standard: A is 10 and Z is 35.
-    digits = clean
-    for value in range(10, 36):
-        digits = F.replace(digits, F.lit(chr(ord("A") + value - 10)), F.lit(str(value)))
-    chunks = F.regexp_extract_all(digits, F.lit(r"(\d{1,9})"), F.lit(1))
-    remainder = F.aggregate(
-        chunks,
-        F.lit(0).cast("bigint"),
-        lambda acc, part: F.concat(acc.cast("string"), part).cast("bigint") % 97,
-    )
-    return F.when(clean.rlike(r"\A[0-9A-Z]+\z"), remainder).cast("int")
+
+    def add(remainder: Column, char: Column) -> Column:
+        value = F.instr(F.lit(ALPHABET), char) - 1
+        return (
+            F.when(value > 9, (remainder * 100 + value) % 97)
+            .when((value >= 0) & (char != ""), (remainder * 10 + value) % 97)
+        )
+
+    return F.aggregate(F.split(tidy_id(text), ""), F.lit(0), add)
 
 
 def check_digits_hold(text: Column) -> Column:

@@ -13,30 +13,40 @@ from pyspark.sql import types as T
 
 @functools.cache
 def _accent_table() -> tuple[str, str]:
-    """Every character that loses an accent, and the character left behind.
+    """Every character that loses an accent with the one left behind, then every mark.
 
     Decompose, drop the combining marks, recompose. Characters that do not decompose
-    (the Polish l with stroke, the Danish o with stroke, sharp s) are left alone.
+    (the Polish l with stroke, the Danish o with stroke, sharp s) are left alone. Marks
+    that stand by themselves have no counterpart, which is how `translate` drops them.
     """
-    accented, plain = [], []
+    accented, plain, marks = [], [], []
     for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
-        parts = unicodedata.normalize("NFD", char)
-        if parts == char:
+        if unicodedata.category(char).startswith("M"):
+            marks.append(char)
             continue
+        parts = unicodedata.normalize("NFD", char)
         kept = "".join(p for p in parts if not unicodedata.category(p).startswith("M"))
         bare = unicodedata.normalize("NFC", kept)
         if len(bare) == 1 and bare != char:
             accented.append(char)
             plain.append(bare)
-    return "".join(accented), "".join(plain)
+    return "".join(accented + marks), "".join(plain)
+
+
+def once(value: Column) -> Column:
+    """A costly value to filter on, worked out where it stands and once per row.
+
+    Written as a generator: a filter on a plain column would be moved down to the scan
+    together with the expression, ahead of the aggregate that leaves fewer rows.
+    """
+    return F.explode(F.array(value))
 
 
 def strip_accents(text: Column) -> Column:
     """`text` without accents. Plain ASCII values skip the character table."""
     accented, plain = _accent_table()
-    bare = F.regexp_replace(F.translate(text, accented, plain), r"\p{M}+", "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), bare).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, accented, plain)).otherwise(text)
 
 
 def search_text(*parts: Column) -> Column:
@@ -65,8 +75,10 @@ def as_text(value: Column, kind: T.DataType) -> Column:
     `0.0000001` rather than `1.0E-7`. Values too wide for that keep their own form.
     """
     if isinstance(kind, (T.DoubleType, T.FloatType)):
+        own = value.cast("string")
         fixed = value.try_cast("decimal(38,18)").cast("string")
-        return F.coalesce(F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1"), value.cast("string"))
+        plain = F.coalesce(F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1"), own)
+        return F.when(own.contains("E"), plain).otherwise(own)
     if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
         return F.to_json(value)
     return value.cast("string")

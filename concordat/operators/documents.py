@@ -9,83 +9,71 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NODES = T.ArrayType(
-    T.StructType(
-        [
-            T.StructField("pointer", T.StringType()),
-            T.StructField("kind", T.StringType()),
-            T.StructField("value", T.StringType()),
-        ]
-    )
+FINDINGS = T.ArrayType(
+    T.StructType([T.StructField(n, T.StringType()) for n in ("pointer", "finding", "expected", "actual")])
 )
 # Names of JSON kinds; whole and broken numbers are one kind.
 KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "number", float: "number"}
 
 
-@F.pandas_udf(NODES)
-def json_nodes(texts: pd.Series) -> pd.Series:
-    """Every node of a document; a list's value is its length, an object has none."""
+def _nodes(text: str) -> dict[tuple[str, ...], tuple[str, object]]:
+    """Every node of a document by its path: its kind, and its value or a list's length."""
+    found, waiting = {}, [((), json.loads(text))]
+    while waiting:
+        path, node = waiting.pop()
+        kind = KINDS.get(type(node), "null")
+        if kind == "object":
+            waiting += [((*path, k), v) for k, v in node.items()]
+            found[path] = (kind, None)
+        elif kind == "array":
+            waiting += [((*path, str(i)), v) for i, v in enumerate(node)]
+            found[path] = (kind, len(node))
+        else:
+            found[path] = (kind, node)
+    return found
+
 
-    def walk(text):
-        if text is None:
-            return None
-        nodes, open_nodes = [], [("", json.loads(text))]
-        while open_nodes:
-            pointer, node = open_nodes.pop()
-            kind = KINDS.get(type(node), "null")
-            if kind == "object":
-                value = None
-                open_nodes += [(f"{pointer}/{k}", v) for k, v in node.items()]
-            elif kind == "array":
-                value = str(len(node))
-                open_nodes += [(f"{pointer}/{i}", v) for i, v in enumerate(node)]
-            else:
-                value = repr(float(node)) if kind == "number" else json.dumps(node)
-            nodes.append((pointer, kind, value))
-        return nodes
+def _disagreements(expected: str | None, actual: str | None) -> list[tuple]:
+    """Topmost nodes at which two documents differ, in path order.
 
-    return texts.map(walk)
+    A path sorts right before the paths beneath it, so whatever follows a disagreement and
+    starts with its path is beneath it and is passed over.
+    """
+    left = _nodes(expected) if expected is not None else {}
+    right = _nodes(actual) if actual is not None else {}
+    found, top = [], None
+    for path in sorted(left.keys() | right.keys()):
+        if top is not None and path[: len(top)] == top:
+            continue
+        a, b = left.get(path), right.get(path)
+        if a == b:
+            continue
+        if a is None or b is None:
+            finding = "unexpected" if a is None else "absent"
+        elif a[0] != b[0]:
+            finding = "kind"
+        else:
+            finding = "length" if a[0] == "array" else "value"
+        shown = [
+            None if n is None else (json.dumps(n[1], ensure_ascii=False) if finding in ("length", "value") else n[0])
+            for n in (a, b)
+        ]
+        found.append(("/" + "/".join(path), finding, *shown))
+        top = path
+    return found
 
 
-def flatten_documents(documents: DataFrame, key: str, column: str) -> DataFrame:
-    return documents.select(key, F.inline(json_nodes(F.col(column))))
+@F.pandas_udf(FINDINGS)
+def disagreements(expected: pd.Series, actual: pd.Series) -> pd.Series:
+    return pd.Series([_disagreements(e, a) for e, a in zip(expected, actual)])
 
 
 def document_diff(expected: DataFrame, actual: DataFrame, key: str, column: str) -> DataFrame:
     """One row per topmost node at which two documents with the same key disagree.
 
-    Both are flattened to nodes and joined on key and pointer. Lists of unlike length and
-    nodes of unlike kind are one disagreement each; what lies beneath is not compared.
+    Lists of unlike length and nodes of unlike kind are one disagreement each; what lies
+    beneath them is not compared. Only whole documents are shuffled, once.
     """
-    e = flatten_documents(expected, key, column).withColumnsRenamed({"kind": "ekind", "value": "evalue"})
-    a = flatten_documents(actual, key, column).withColumnsRenamed({"kind": "akind", "value": "avalue"})
-    finding = (
-        F.when(F.col("akind").isNull(), "absent")
-        .when(F.col("ekind").isNull(), "unexpected")
-        .when(F.col("ekind") != F.col("akind"), "kind")
-        .when((F.col("ekind") == "array") & (F.col("evalue") != F.col("avalue")), "length")
-        .when(~F.col("evalue").eqNullSafe(F.col("avalue")), "value")
-    )
-    odd = e.join(a, [key, "pointer"], "full").withColumn("finding", finding).where("finding is not null")
-    # A node speaks for all beneath it, so a disagreement below another one is dropped.
-    steps = F.split("pointer", "/")
-    above = F.when(
-        F.size(steps) > 1,
-        F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, 1, n), "/")),
-    )
-    covered = (
-        odd.select(key, "pointer", F.explode(above).alias("above"))
-        .join(odd.select(key, F.col("pointer").alias("above")), [key, "above"], "left_semi")
-        .select(key, "pointer")
-        .distinct()
-    )
-    left, right = F.when(F.col("ekind") == F.col("akind"), F.col("evalue")), F.when(
-        F.col("ekind") == F.col("akind"), F.col("avalue")
-    )
-    return odd.join(covered, [key, "pointer"], "left_anti").select(
-        key,
-        F.when(F.col("pointer") == "", "/").otherwise(F.col("pointer")).alias("pointer"),
-        "finding",
-        F.coalesce(left, "ekind").alias("expected"),
-        F.coalesce(right, "akind").alias("actual"),
-    )
+    e = expected.select(key, F.col(column).alias("e"))
+    a = actual.select(key, F.col(column).alias("a"))
+    return e.join(a, key, "full").select(key, F.inline(disagreements("e", "a")))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import check_digits_hold, tidy_id, unpad
-from ..functions.text import search_text
+from ..functions.text import once, search_text
 
 EDGE = ["key_type", "key", "lei"]
 
@@ -30,28 +30,30 @@ def published_ids(register: DataFrame) -> DataFrame:
 def admit_identifiers(filings: DataFrame, register: DataFrame) -> DataFrame:
     """Distinct (key, lei) claims whose identifier holds, or which the register publishes.
 
-    Placeholders make one failing identifier very common, so failing identifiers are
-    reduced to one row each before they meet the register; the claims then meet only the
-    few that the register does publish.
+    Identifiers are reduced to one row each before their digits are checked, so a
+    placeholder that very many claims carry is checked once. Those that fail meet the
+    register, and the claims then meet only the few that the register does publish.
     """
     claims = filings.where(F.col("lei").isNotNull() & (F.col("lei") != "") & F.col("key").isNotNull()).select(
         "key", tidy_id(F.col("lei")).alias("lei")
     )
     holds = check_digits_hold(F.col("lei"))
-    doubtful = claims.select("lei").where(~holds).distinct()
-    kept = doubtful.join(published_ids(register), "lei", "left_semi").withColumn("published", F.lit(True))
+    doubtful = claims.select("lei").distinct().select("lei", once(holds).alias("holds")).where(~F.col("holds"))
+    kept = doubtful.join(published_ids(register), "lei", "left_semi").select("lei", F.lit(True).alias("published"))
     return (
         claims.distinct()
         .join(kept, "lei", "left")
-        .where(F.col("published").isNotNull() | holds)
+        .select("key", "lei", once(F.col("published").isNotNull() | holds).alias("admitted"))
+        .where("admitted")
         .select("key", "lei")
     )
 
 
 def unresolved(edges: DataFrame, register: DataFrame) -> DataFrame:
     """One row per identifier that fails both tests, with the edges that carry it."""
-    failing = edges.where(~check_digits_hold(F.col("lei"))).groupBy("lei").agg(F.count(F.lit(1)).alias("edges"))
-    return failing.join(published_ids(register), "lei", "left_anti")
+    counted = edges.groupBy("lei").agg(F.count(F.lit(1)).alias("edges"))
+    failing = counted.select("lei", "edges", once(check_digits_hold(F.col("lei"))).alias("holds")).where(~F.col("holds"))
+    return failing.select("lei", "edges").join(published_ids(register), "lei", "left_anti")
 
 
 def gate_report(edges: DataFrame, register: DataFrame, examples: int = 5) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions.identifiers import with_check_digits
 from ..sources.descriptors import parse_descriptors
 from ..sources.runs import parse_runs
@@ -31,6 +32,10 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A table that much work per row is to be done on."""
+        return session.spread(self.table(name))
+
     # Identifiers and register
 
     def customers(self) -> DataFrame:
@@ -108,7 +113,7 @@ class Inputs:
         )
         ids = self.customers().select(F.col("c_custkey").alias("o_custkey"), "lei")
         return (
-            self.table("orders")
+            self.spread("orders")
             .join(ids, "o_custkey")
             .select(padded("o_custkey").alias("cik"), F.col("o_custkey").cast("string").alias("key"), typed.alias("lei"))
         )
@@ -147,14 +152,19 @@ class Inputs:
 
     def filed_series(self) -> DataFrame:
         """Series filings: a supplier per line item, whose identifier it repeats."""
-        return self.table("lineitem").select(
-            F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("key"),
-            F.when(F.col("l_returnflag") == "R", PLACEHOLDER).otherwise(identifier("l_suppkey")).alias("lei"),
+        ids = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"), identifier("s_suppkey").alias("lei"))
+        return (
+            self.table("lineitem")
+            .join(ids, "l_suppkey")
+            .select(
+                F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("key"),
+                F.when(F.col("l_returnflag") == "R", PLACEHOLDER).otherwise(F.col("lei")).alias("lei"),
+            )
         )
 
     def resolved(self) -> DataFrame:
         """Name matches as a resolver reports them, one per order."""
-        return self.table("orders").select(
+        return self.spread("orders").select(
             padded("o_custkey").alias("cik"),
             F.lower(identifier("o_custkey")).alias("lei"),
             F.when(F.col("o_orderstatus") == "F", "exact_name").otherwise("jaro_winkler").alias("method"),
@@ -179,7 +189,7 @@ class Inputs:
 
     def filers(self) -> DataFrame:
         """Documents by their heading line."""
-        return self.table("documents").select(
+        return self.spread("documents").select(
             F.col("doc_id").cast("string").alias("id"),
             F.substring_index("text", "\n", 1).alias("name"),
             F.col("lang").alias("country"),
@@ -188,7 +198,7 @@ class Inputs:
     def entities(self) -> DataFrame:
         """Pages by their title element; the address says how current they are."""
         host = F.regexp_extract("url", r"^https?://([^/?#]+)", 1)
-        return self.table("pages").select(
+        return self.spread("pages").select(
             F.col("page_id").cast("string").alias("id"),
             F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("name"),
             F.regexp_extract("html", r'<html lang="([a-z]+)"', 1).alias("country"),
@@ -231,7 +241,7 @@ class Inputs:
             F.lit(',"foreignKeys":[{"fields":'), local, F.lit(',"reference":{"resource":"'), target,
             F.lit('","fields":["size"]}}]}}]}'),
         )
-        return parse_descriptors(self.table("part").select(text.alias("text")), "text")
+        return parse_descriptors(self.spread("part").select(text.alias("text")), "text")
 
     def published_columns(self) -> DataFrame:
         """The columns each part's published file really has."""
@@ -274,7 +284,7 @@ class Inputs:
             F.lit('{"name":"export","status":{"state":"success","skip_reason":null}},{"name":"describe","status":'), describe,
             F.lit("}]}"),
         )
-        records = self.table("orders").select(
+        records = self.spread("orders").select(
             text.alias("text"), F.concat(F.lit("runs/"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("path")
         )
         return parse_runs(records, "text", "path")
@@ -320,7 +330,7 @@ class Inputs:
             F.when(priority == "4-NOT SPECIFIED", F.lit(',"note":{"by":["x"]}')).otherwise(F.lit("")),
             F.lit(',"id":'), key.cast("string"), F.lit(".0}"),
         )
-        orders = self.table("orders")
+        orders = self.spread("orders")
         return (
             orders.select(key, kept.alias("body")),
             orders.select(key, carried.alias("body")),

@@ -79,7 +79,7 @@ def slice_dates(i: Inputs) -> DataFrame:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
         .otherwise(F.concat(stamp, F.lit(".000Z")))
     )
-    return i.table("orders").select("o_orderkey", written.alias("written"), loads.calendar_date(written).alias("day"))
+    return i.spread("orders").select("o_orderkey", written.alias("written"), loads.calendar_date(written).alias("day"))
 
 
 def flatten_positional(i: Inputs) -> DataFrame:
@@ -132,7 +132,7 @@ def parse_trailing_key(i: Inputs) -> DataFrame:
 
 def derive_level(i: Inputs) -> DataFrame:
     digits = F.col("n_chars").cast("string")
-    raw = i.table("documents").select(
+    raw = i.spread("documents").select(
         "doc_id",
         F.when(F.col("lang") == "de", F.concat_ws("-", F.substring(digits, 1, 2), F.lit("99"))).otherwise(digits).alias("code"),
         F.concat(F.lit(" "), "source", F.when(F.col("lang") == "fr", "T ").otherwise("T1")).alias("title"),
@@ -171,7 +171,7 @@ def lei_mod97(i: Inputs) -> DataFrame:
 
 
 def search_corpus(i: Inputs) -> DataFrame:
-    return loads.with_corpus(i.table("documents"), "text", "lang", "source").select("doc_id", "corpus")
+    return loads.with_corpus(i.spread("documents"), "text", "lang", "source").select("doc_id", "corpus")
 
 
 # Edges
@@ -311,7 +311,7 @@ def check_foreign_keys(i: Inputs) -> DataFrame:
 
 def check_constraints(i: Inputs) -> DataFrame:
     rules = {"part": PART_RULES, "customer": CUSTOMER_RULES, "documents": DOCUMENT_RULES, "labels": LABEL_RULES}
-    return contract.union_all(contract.check_constraints(i.table(t), r, "shop", t) for t, r in rules.items())
+    return contract.union_all(contract.check_constraints(i.spread(t), r, "shop", t) for t, r in rules.items())
 
 
 KEYS = {
@@ -342,7 +342,7 @@ def check_primary_key(i: Inputs) -> DataFrame:
 def drift_contract(i: Inputs) -> DataFrame:
     rules = {"customer": CUSTOMER_RULES, "events": EVENT_RULES, "conversations": TURN_RULES}
     return contract.union_all(
-        contract.check_drift(i.table(t), r).select(F.lit(t).alias("resource"), "*") for t, r in rules.items()
+        contract.check_drift(i.spread(t), r).select(F.lit(t).alias("resource"), "*") for t, r in rules.items()
     )
 
 
@@ -387,7 +387,7 @@ def join_sample(i: Inputs) -> DataFrame:
 
 def profile_columns(i: Inputs) -> DataFrame:
     return contract.union_all(
-        profile.profile_columns(i.table(t)).select(F.lit(t).alias("resource"), "*")
+        profile.profile_columns(i.spread(t)).select(F.lit(t).alias("resource"), "*")
         for t in ("customer", "part", "lineitem")
     )
 
@@ -426,7 +426,7 @@ def object_inventory(i: Inputs) -> DataFrame:
 
 def verify_objects(i: Inputs) -> DataFrame:
     """Documents as objects: their stated sizes count letters, and some digests are stale."""
-    docs = i.table("documents").withColumn("object", F.col("doc_id").cast("string"))
+    docs = i.spread("documents").withColumn("object", F.col("doc_id").cast("string"))
     declared = docs.select(
         "object",
         F.col("n_chars").alias("bytes"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Joins whose big side may carry a hot key are
 # plain equi-joins against a side with one row per key, which is the shape adaptive
@@ -41,19 +41,29 @@ def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str =
     return spark
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table read in fewer splits than there are cores, dealt out over all of them.
+
+    That holds only for a few small files. A table at scale is read in many more splits
+    and passes through as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only where no folder is set and the master is local does this make one of its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
-    folder = tempfile.mkdtemp(prefix="concordat-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="concordat-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

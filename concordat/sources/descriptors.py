@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import parse_once
+
 SCHEMA = """
 name string,
 resources array<struct<
@@ -36,17 +38,16 @@ KNOWN_CONSTRAINTS = ["pattern", "minLength", "maxLength", "enum", "required"]
 
 def parse_descriptors(texts: DataFrame, column: str) -> DataFrame:
     """One parsed descriptor per row of JSON text; `readable` is false where it is not JSON."""
-    parsed = F.from_json(F.col(column), SCHEMA)
-    return texts.select(parsed.alias("d")).select(
-        F.col("d.name").alias("package"),
-        F.col("d.resources").alias("resources"),
-        F.col("d.x-joins.joins").alias("joins"),
-        F.coalesce(F.size("d.resources") >= 0, F.lit(False)).alias("readable"),
+    return texts.select(parse_once(F.col(column), SCHEMA)).select(
+        F.col("name").alias("package"),
+        "resources",
+        F.col("`x-joins`.joins").alias("joins"),
+        F.col("resources").isNotNull().alias("readable"),
     )
 
 
 def read_descriptors(spark: SparkSession, pattern: str) -> DataFrame:
-    return parse_descriptors(spark.read.option("wholetext", True).text(pattern), "value")
+    return parse_descriptors(spark.read.text(pattern, wholetext=True), "value")
 
 
 def one_or_many(raw: Column) -> Column:

@@ -40,7 +40,8 @@ def object_inventory(spark: SparkSession, pattern: str) -> DataFrame:
     """Size and SHA-256 of every file, measured in one pass over its bytes.
 
     Files are spread over tasks by size and streamed block by block, so neither a large
-    file nor many small ones are held in memory.
+    file nor many small ones are held in memory. Spark lists no file without content, so
+    such an object counts as missing.
     """
     return list_files(spark, pattern).select("path").mapInPandas(
         _digests, "path string, bytes bigint, hash string"

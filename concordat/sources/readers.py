@@ -29,6 +29,15 @@ def read_text_table(
     )
 
 
+def parse_once(text: Column, schema: str) -> Column:
+    """A generator for the fields of a JSON text.
+
+    Written as a generator so that a filter on the fields is not moved below it, where it
+    would parse the text again for each field it names.
+    """
+    return F.inline(F.array(F.from_json(text, schema)))
+
+
 def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     """Path and size of every file a pattern names; the content is not read."""
     return spark.read.format("binaryFile").load(pattern).select("path", F.col("length").alias("bytes"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import parse_once
+
 # Fixed value: the record version this reader understands.
 CONTRACT_VERSION = "b4/1"
 
@@ -22,31 +24,31 @@ def parse_runs(texts: DataFrame, column: str, source: str) -> DataFrame:
 
     `source` names the column that says where a record came from.
     """
-    parsed = texts.select(F.col(source).alias("source"), F.from_json(F.col(column), SCHEMA).alias("r"))
-    version = F.col("r.contract_version")
+    parsed = texts.select(F.col(source).alias("source"), parse_once(F.col(column), SCHEMA))
+    version = F.col("contract_version")
     error = (
         F.when(
-            F.col("r").isNull() | (version.isNull() & F.col("r.run").isNull() & F.col("r.steps").isNull()),
+            version.isNull() & F.col("run").isNull() & F.col("assets").isNull() & F.col("steps").isNull(),
             "is not a readable run record",
         )
         .when(
             ~version.eqNullSafe(F.lit(CONTRACT_VERSION)),
             F.concat(F.lit("declares contract version "), F.coalesce(version, F.lit("none"))),
         )
-        .when(F.col("r.run").isNull(), "declares no run block")
-        .when(F.col("r.steps").isNull() | F.col("r.assets").isNull(), "declares no steps or assets")
+        .when(F.col("run").isNull(), "declares no run block")
+        .when(F.col("steps").isNull() | F.col("assets").isNull(), "declares no steps or assets")
     )
     return parsed.select(
         "source",
         error.alias("error"),
-        F.coalesce("r.run.run_id", "source").alias("run_id"),
-        F.coalesce("r.run.started_at", F.lit("")).alias("started_at"),
-        F.coalesce("r.run.outcome", F.lit("None")).alias("outcome"),
-        F.col("r.assets").alias("assets"),
-        F.col("r.steps").alias("steps"),
+        F.coalesce("run.run_id", "source").alias("run_id"),
+        F.coalesce("run.started_at", F.lit("")).alias("started_at"),
+        F.coalesce("run.outcome", F.lit("None")).alias("outcome"),
+        "assets",
+        "steps",
     )
 
 
 def read_runs(spark: SparkSession, pattern: str) -> DataFrame:
-    texts = spark.read.option("wholetext", True).text(pattern)
+    texts = spark.read.text(pattern, wholetext=True)
     return parse_runs(texts.select("value", F.col("_metadata.file_path").alias("path")), "value", "path")
