@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import check_digits_hold, tidy_id, unpad
 from ..functions.text import once, search_text
+from ..session import staged
 
 EDGE = ["key_type", "key", "lei"]
 
@@ -161,8 +162,12 @@ def probabilistic_edges(resolved: DataFrame, authoritative: DataFrame) -> DataFr
 def tier_edges(
     registrations: DataFrame, filed_ciks: DataFrame, filed_series: DataFrame, resolved: DataFrame
 ) -> DataFrame:
-    """Every edge in its tier; an authoritative edge displaces name matches for its key."""
-    official = authoritative_edges(registrations, filed_ciks, filed_series)
+    """Every edge in its tier; an authoritative edge displaces name matches for its key.
+
+    Official edges are staged, as they are both part of the result and the keys that name
+    matches are held against.
+    """
+    official = staged(authoritative_edges(registrations, filed_ciks, filed_series), "official")
     return official.unionByName(probabilistic_edges(resolved, official))
 
 

@@ -45,10 +45,14 @@ def content_digest(table: DataFrame, resource: str) -> DataFrame:
 
 
 def unchanged(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Whether two digests of the same resource agree."""
-    b = before.select("resource", "rows", "digest", "check")
-    a = after.select(
-        "resource", F.col("rows").alias("rows_after"), F.col("digest").alias("d2"), F.col("check").alias("c2")
-    )
-    same = F.struct("rows", "digest", "check") == F.struct("rows_after", "d2", "c2")
-    return b.join(a, "resource").select("resource", "rows", "rows_after", same.alias("unchanged"))
+    """Whether the digests of the same resources agree."""
+    both = before.withColumn("late", F.lit(False)).unionByName(after.withColumn("late", F.lit(True)))
+    late = F.col("late")
+    state = F.struct("rows", "digest", "check")
+    return both.groupBy("resource").agg(
+        F.sum(F.when(~late, F.col("rows"))).alias("rows"),
+        F.sum(F.when(late, F.col("rows"))).alias("rows_after"),
+        (F.count_if(~late) == 1).alias("had"),
+        (F.count_if(late) == 1).alias("has"),
+        (F.min(state) == F.max(state)).alias("same"),
+    ).select("resource", "rows", "rows_after", (F.col("had") & F.col("has") & F.col("same")).alias("unchanged"))

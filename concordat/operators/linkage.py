@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import jaro_winkler, least_length_ratio
-from ..functions.text import strip_accents
+from ..functions.text import once, strip_accents
+from ..session import staged
 
 # Fixed values of the frozen model: levels of agreement on the name, how often a true
 # match and a chance pair fall in each, and the share of pairs that match at all.
@@ -80,10 +81,6 @@ def named(entities: DataFrame) -> DataFrame:
     return entities.withColumn("name", normal_name(F.col("name"))).where(F.col("name") != "")
 
 
-def distinct_names(entities: DataFrame) -> DataFrame:
-    return entities.groupBy(*NAME).agg(F.count(F.lit(1)).alias("entities"))
-
-
 def register_names(register: DataFrame) -> DataFrame:
     """Distinct register names, how many entities share each, and the one that wins.
 
@@ -192,7 +189,7 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
                 | (F.substring("name", 1, PREFIX) != F.substring("other", 1, PREFIX))
             )
         )
-        .withColumn("similarity", F.round(jaro_winkler("name", "other"), 9))
+        .withColumn("similarity", once(F.round(jaro_winkler("name", "other"), 9)))
         .where(F.col("similarity") >= NEAR)
         .withColumn("level", F.when(F.col("similarity") >= CLOSE, "close").otherwise("near"))
     )
@@ -206,18 +203,19 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
 def link_scores(left: DataFrame, register: DataFrame) -> DataFrame:
     """One row per linked left name: level, weight, probability and the winning entity.
 
-    `left` and `register` are as returned by `named`.
+    `left` and `register` are as returned by `named`. Distinct names are staged: blocking
+    reads them several times, and the texts they were taken from are read only once.
     """
-    names = distinct_names(left).select(*NAME)
-    theirs = register_names(register)
-    equal = names.join(theirs, NAME).select(
+    theirs = staged(register_names(register), "register_names")
+    names = staged(left.select(*NAME).distinct().join(theirs, NAME, "left"), "names")
+    equal = names.where(F.col("winner").isNotNull()).select(
         *NAME,
         F.lit("exact").alias("level"),
         F.lit(1.0).alias("similarity"),
         F.col("winner.id").alias("match"),
         "entities",
     )
-    alone = names.join(theirs, NAME, "left_anti")
+    alone = names.where(F.col("winner").isNull()).select(*NAME)
     near = near_names(alone, theirs).withColumn("entities", F.lit(1).cast("bigint"))
     return equal.unionByName(near).withColumns(
         {

@@ -10,6 +10,8 @@ from ..functions.text import as_text
 
 # A column with no more distinct values than this gets its values listed.
 DOMAIN_LIMIT = 50
+# Items the sketch behind a domain has room for; it is exact up to three quarters of that.
+SKETCH_ITEMS = 1024
 
 # The declared type each physical type is described as.
 DECLARED = {
@@ -41,8 +43,9 @@ def melt(table: DataFrame) -> DataFrame:
 def profile_columns(table: DataFrame) -> DataFrame:
     """One row per column: type, counts, lengths, and the domain where it is small.
 
-    Values are counted per (column, value) before anything is shuffled, and only columns
-    with few distinct values have them listed, so no list grows with the table.
+    One scan. Values are counted per (column, value) before anything is shuffled. The
+    domain comes from a frequent-items sketch, whose size is fixed and which loses nothing
+    until it holds far more distinct items than a domain may have.
     """
     types = F.create_map(
         *[x for f in table.schema.fields for x in (F.lit(f.name), F.lit(declared_type(f.dataType)))]
@@ -50,30 +53,30 @@ def profile_columns(table: DataFrame) -> DataFrame:
     order = F.create_map(*[x for i, c in enumerate(table.columns) for x in (F.lit(c), F.lit(i))])
     counted = melt(table).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     lengths = F.length("value")
-    stats = counted.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-        F.min(lengths).alias("min_length"),
-        F.max(lengths).alias("max_length"),
-    )
-    small = stats.where(F.col("distinct_values").between(1, DOMAIN_LIMIT)).select("column")
-    # The same columns of the same counts as above, so that both read one shuffle.
-    domains = (
-        counted.join(small, "column")
-        .groupBy("column")
-        .agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.col("value")))), "|").alias("domain"))
-    )
-    return stats.join(domains, "column", "left").select(
-        F.element_at(order, F.col("column")).alias("position"),
-        "column",
-        F.element_at(types, F.col("column")).alias("type"),
-        "rows",
-        "nulls",
-        "distinct_values",
-        "min_length",
-        "max_length",
-        "domain",
+    sketch = F.call_function("approx_top_k", F.col("value"), F.lit(DOMAIN_LIMIT + 1), F.lit(SKETCH_ITEMS))
+    values = F.filter(F.transform("sketch", lambda item: item["item"]), lambda v: v.isNotNull())
+    few = F.col("distinct_values").between(1, DOMAIN_LIMIT) & (F.size(values) == F.col("distinct_values"))
+    return (
+        counted.groupBy("column")
+        .agg(
+            F.sum("n").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count("value").alias("distinct_values"),
+            F.min(lengths).alias("min_length"),
+            F.max(lengths).alias("max_length"),
+            sketch.alias("sketch"),
+        )
+        .select(
+            F.element_at(order, F.col("column")).alias("position"),
+            "column",
+            F.element_at(types, F.col("column")).alias("type"),
+            "rows",
+            "nulls",
+            "distinct_values",
+            "min_length",
+            "max_length",
+            F.when(few, F.array_join(F.array_sort(values), "|")).alias("domain"),
+        )
     )
 
 

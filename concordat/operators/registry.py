@@ -2,45 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def addresses(registry: DataFrame) -> DataFrame:
-    """Every address an entry answers to: its own `schema.name`, and each retired one."""
-    own = F.array(F.struct(F.col("name").alias("name"), F.lit("name").alias("kind")))
-    old = F.transform(
-        F.coalesce("aliases", F.array().cast("array<string>")),
-        lambda a: F.struct(a.alias("name"), F.lit("alias").alias("kind")),
-    )
-    return registry.select("uid", "schema", F.inline(F.concat(own, old))).select(
-        "uid", "kind", F.concat_ws(".", "schema", "name").alias("address")
-    )
+def registry_invariants(registry: DataFrame) -> DataFrame:
+    """Ids given to more than one dataset, and addresses that lead to more than one id.
 
+    Each entry states what its id names, what its own address leads to, and what each of
+    its retired ones does; a subject with two answers breaks an invariant.
+    """
+    address = lambda name: F.concat_ws(".", "schema", name)
 
-def registry_invariants(registry: DataFrame) -> DataFrame:
-    """Ids given to more than one dataset, and addresses that lead to more than one id."""
-    reused = (
-        registry.select("uid", F.concat_ws(".", "schema", "name").alias("other"))
-        .groupBy("uid")
-        .agg(F.count_distinct("other").alias("claims"), F.min("other").alias("first"), F.max("other").alias("last"))
-        .select(F.lit("uid.reused").alias("rule"), F.col("uid").alias("subject"), "claims", "first", "last")
+    def claim(kind: str, subject: Column, other: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), subject.alias("subject"), other.alias("other"))
+
+    own = address(F.col("name"))
+    stated = F.array(claim("uid", F.col("uid"), own), claim("name", own, F.col("uid")))
+    retired = F.transform(
+        F.coalesce("aliases", F.array().cast("array<string>")), lambda a: claim("alias", address(a), F.col("uid"))
     )
-    shared = (
-        addresses(registry)
-        .groupBy("address")
+    of_id = F.col("kind") == "uid"
+    return (
+        registry.select(F.inline(F.concat(stated, retired)))
+        .groupBy(of_id.alias("of_id"), "subject")
         .agg(
-            F.count_distinct("uid").alias("claims"),
-            F.min("uid").alias("first"),
-            F.max("uid").alias("last"),
+            F.count_distinct("other").alias("claims"),
+            F.min("other").alias("first"),
+            F.max("other").alias("last"),
             F.count_if(F.col("kind") == "alias").alias("aliases"),
         )
+        .where(F.col("claims") > 1)
         .select(
-            F.when(F.col("aliases") > 0, "alias.repointed").otherwise("address.shared").alias("rule"),
-            F.col("address").alias("subject"),
+            F.when(F.col("of_id"), "uid.reused")
+            .when(F.col("aliases") > 0, "alias.repointed")
+            .otherwise("address.shared")
+            .alias("rule"),
+            "subject",
             "claims",
             "first",
             "last",
         )
     )
-    return reused.unionByName(shared).where(F.col("claims") > 1)

@@ -66,6 +66,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def staged(table: DataFrame, name: str) -> DataFrame:
+    """`table` written once to the shared folder and read back.
+
+    For a result that several later steps read: it is worked out once, survives the loss
+    of any executor, and its real size is known to the planner.
+    """
+    path = scratch_path(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_folder(spark).rstrip('/')}/concordat-{uuid.uuid4().hex}/{name}"
