@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 
 @functools.cache
-def _accent_table() -> tuple[str, str]:
+def accent_table() -> tuple[str, str]:
     """Every character that loses an accent with the one left behind, then every mark.
 
     Decompose, drop the combining marks, recompose. Characters that do not decompose
@@ -45,7 +45,7 @@ def once(value: Column) -> Column:
 
 def strip_accents(text: Column) -> Column:
     """`text` without accents. Plain ASCII values skip the character table."""
-    accented, plain = _accent_table()
+    accented, plain = accent_table()
     return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, accented, plain)).otherwise(text)
 
 

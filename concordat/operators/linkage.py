@@ -176,9 +176,14 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
         "winner",
     )
     left, right = _tiles(left, right, on)
+    # Comparing is much work on few bytes, so the tiles are dealt out over a set number of
+    # tasks; left to itself, adaptive execution would join small partitions into few.
+    tile = [*on, "row", "col"]
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (side.repartition(tasks, *tile) for side in (left, right))
     pairs = (
         left.alias("l")
-        .join(right.alias("r"), [*on, "row", "col"])
+        .join(right.alias("r"), tile)
         .select(*BLOCK, F.col("l.name").alias("name"), F.col("r.name").alias("other"), "winner")
         .where(
             (F.least(F.length("name"), F.length("other")) >= ratio * F.greatest(F.length("name"), F.length("other")))
@@ -230,8 +235,10 @@ def resolve_entities(left: DataFrame, register: DataFrame) -> DataFrame:
 
     An equal name held by one entity is confirmed, by several ambiguous; a near name is a
     candidate. The scores hold one row per name, so a name that very many left entities
-    share is a hot key on one side only and can be split.
+    share is a hot key on one side only and can be split. The left side is staged under
+    its normal names, as it is read for its distinct names and again for its rows.
     """
+    left = staged(left.select("id", *NAME), "filers")
     scored = link_scores(left, register)
     exact = F.col("level") == "exact"
     status = (

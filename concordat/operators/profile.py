@@ -10,6 +10,8 @@ from ..functions.text import as_text
 
 # A column with no more distinct values than this gets its values listed.
 DOMAIN_LIMIT = 50
+# A column with a value longer than this holds text, not terms, and has no domain.
+TERM_LENGTH = 256
 # Items the sketch behind a domain has room for; it is exact up to three quarters of that.
 SKETCH_ITEMS = 1024
 
@@ -43,27 +45,40 @@ def melt(table: DataFrame) -> DataFrame:
 def profile_columns(table: DataFrame) -> DataFrame:
     """One row per column: type, counts, lengths, and the domain where it is small.
 
-    One scan. Values are counted per (column, value) before anything is shuffled. The
-    domain comes from a frequent-items sketch, whose size is fixed and which loses nothing
+    One scan. Values are counted per (column, value) before anything is shuffled, and long
+    ones are counted by their digest, so that no text is shuffled whole. The domain comes from a frequent-items sketch, whose size is fixed and which loses nothing
     until it holds far more distinct items than a domain may have.
     """
     types = F.create_map(
         *[x for f in table.schema.fields for x in (F.lit(f.name), F.lit(declared_type(f.dataType)))]
     )
     order = F.create_map(*[x for i, c in enumerate(table.columns) for x in (F.lit(c), F.lit(i))])
-    counted = melt(table).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    lengths = F.length("value")
+    long = F.length("value") > TERM_LENGTH
+    counted = (
+        melt(table)
+        .select(
+            "column",
+            F.length("value").alias("length"),
+            F.when(long, F.sha2("value", 256)).otherwise(F.col("value")).alias("value"),
+        )
+        .groupBy("column", "value", "length")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
     sketch = F.call_function("approx_top_k", F.col("value"), F.lit(DOMAIN_LIMIT + 1), F.lit(SKETCH_ITEMS))
     values = F.filter(F.transform("sketch", lambda item: item["item"]), lambda v: v.isNotNull())
-    few = F.col("distinct_values").between(1, DOMAIN_LIMIT) & (F.size(values) == F.col("distinct_values"))
+    few = (
+        F.col("distinct_values").between(1, DOMAIN_LIMIT)
+        & (F.size(values) == F.col("distinct_values"))
+        & (F.col("max_length") <= TERM_LENGTH)
+    )
     return (
         counted.groupBy("column")
         .agg(
             F.sum("n").alias("rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
             F.count("value").alias("distinct_values"),
-            F.min(lengths).alias("min_length"),
-            F.max(lengths).alias("max_length"),
+            F.min("length").alias("min_length"),
+            F.max("length").alias("max_length"),
             sketch.alias("sketch"),
         )
         .select(

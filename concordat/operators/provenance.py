@@ -66,21 +66,27 @@ def run_provenance(runs: DataFrame, objects: DataFrame, descriptor_path: str) ->
 
     `objects` holds object, hash and descriptor_hash. Runs meet objects on the digest of
     the bytes, never on a path: a path says where a file was, a digest what it holds.
+    Runs that say the same about the same bytes are reduced to the newest of them before
+    they meet an object, so bytes that very many runs claim are a few rows.
     """
-    claims = run_claims(runs, descriptor_path)
+    newest = F.max(F.struct("started_at", "source", "run_id")).alias("newest")
+    claims = (
+        run_claims(runs, descriptor_path)
+        .groupBy("hash", "described_hash", "flaw", "outcome")
+        .agg(F.count(F.lit(1)).alias("n"), newest)
+    )
     refusal = (
         F.when(F.col("flaw").isNotNull(), F.col("flaw"))
         .when(F.col("described_hash") != F.col("descriptor_hash"), "wrote another descriptor")
         .when(F.col("outcome") != "success", "did not finish")
     )
     met = objects.join(claims, "hash", "left").withColumn("refusal", refusal)
-    claimed = F.col("run_id").isNotNull()
-    licensed = claimed & F.col("refusal").isNull()
+    licensed = F.col("n").isNotNull() & F.col("refusal").isNull()
     judged = met.groupBy("object").agg(
-        F.count_if(claimed).alias("claimants"),
-        F.count_if(licensed).alias("licensing"),
-        F.max(F.when(licensed, F.struct("started_at", "source", "run_id"))).alias("yes"),
-        F.max(F.when(claimed & ~licensed, F.struct("started_at", "source", "refusal"))).alias("no"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("claimants"),
+        F.coalesce(F.sum(F.when(licensed, F.col("n"))), F.lit(0)).alias("licensing"),
+        F.max(F.when(licensed, F.col("newest"))).alias("yes"),
+        F.max(F.when(F.col("refusal").isNotNull(), F.struct("newest", "refusal"))).alias("no"),
     )
     why = F.when(F.col("claimants") == 0, "no run produced these bytes").when(
         F.col("licensing") == 0, F.col("no.refusal")

@@ -67,7 +67,11 @@ def _read(function: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, st
 
 
 def load_register(i: Inputs) -> DataFrame:
-    return loads.with_corpus(loads.load_register(i.raw_register()), "legal_name", "city", "country")
+    """The register written as the CSV files it is published as, and loaded from them."""
+    path = session.scratch_path(i.spark, "register")
+    i.raw_register().write.option("header", True).option("escape", '"').csv(path)
+    raw = readers.read_text_table(i.spark, f"{path}/*.csv")
+    return loads.with_corpus(loads.load_register(raw), "legal_name", "city", "country")
 
 
 def slice_dates(i: Inputs) -> DataFrame:
@@ -201,7 +205,7 @@ def dedup_best(i: Inputs) -> DataFrame:
 
 
 def dedup_edges(i: Inputs) -> DataFrame:
-    claims = i.table("lineitem").select(
+    claims = i.spread("lineitem").select(
         F.lit("cik").alias("key_type"),
         F.col("l_partkey").cast("string").alias("key"),
         F.col("l_suppkey").cast("string").alias("lei"),

@@ -46,8 +46,13 @@ def parse_descriptors(texts: DataFrame, column: str) -> DataFrame:
     )
 
 
+def descriptor_texts(spark: SparkSession, pattern: str) -> DataFrame:
+    """Path and text of each descriptor file."""
+    return spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+
+
 def read_descriptors(spark: SparkSession, pattern: str) -> DataFrame:
-    return parse_descriptors(spark.read.text(pattern, wholetext=True), "value")
+    return parse_descriptors(descriptor_texts(spark, pattern), "value")
 
 
 def one_or_many(raw: Column) -> Column:

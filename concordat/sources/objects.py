@@ -6,29 +6,21 @@ import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow.fs
 import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .readers import list_files
+from .readers import file_system, list_files, open_uri
 
 BLOCK = 8 * 1024 * 1024
 
 
-def _open(uri: str):
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = "file://" + uri[len("file:"):]
-    filesystem, path = pyarrow.fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(path)
-
-
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
             digest, size = hashlib.sha256(), 0
-            with _open(path) as stream:
+            with open_uri(path) as stream:
                 while block := stream.read(BLOCK):
                     digest.update(block)
                     size += len(block)
@@ -62,8 +54,8 @@ def _layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
-            with _open(path) as stream:
-                meta = pyarrow.parquet.ParquetFile(stream).metadata
+            filesystem, place = file_system(path)
+            meta = pyarrow.parquet.read_metadata(place, filesystem=filesystem)
             for group in range(meta.num_row_groups):
                 part = meta.row_group(group)
                 codecs = sorted({part.column(c).compression.lower() for c in range(part.num_columns)})

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HEADER_BLOCK = 64 * 1024
 POSITIONAL = "fields array<string>, data array<array<string>>"
 
 
@@ -43,19 +47,44 @@ def list_files(spark: SparkSession, pattern: str) -> DataFrame:
     return spark.read.format("binaryFile").load(pattern).select("path", F.col("length").alias("bytes"))
 
 
+def file_system(uri: str):
+    """The file system a path belongs to, and the path within it."""
+    if uri.startswith("file:/") and not uri.startswith("file:///"):
+        uri = "file://" + uri[len("file:"):]
+    return pyarrow.fs.FileSystem.from_uri(uri)
+
+
+def open_uri(uri: str, compression: str | None = None):
+    filesystem, path = file_system(uri)
+    return filesystem.open_input_stream(path, compression=compression)
+
+
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = []
+        for path in batch["path"]:
+            head = b""
+            with open_uri(path, "detect") as stream:
+                while b"\n" not in head and (block := stream.read(HEADER_BLOCK)):
+                    head += block
+            found.append((path, head.split(b"\n")[0].decode("utf-8").rstrip("\r")))
+        yield pd.DataFrame(found, columns=["path", "header"])
+
+
 def read_union_by_name(spark: SparkSession, pattern: str, delimiter: str = "\t") -> DataFrame:
     """Releases whose columns come in another order, or are missing, united by name.
 
     One scan of many files takes its header from one of them and would label the others'
-    columns wrongly, so files are grouped by their own header and read group by group.
+    columns wrongly, so files are grouped by their own header, which tasks read off their
+    first lines, and there is one scan per distinct header.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in list_files(spark, pattern).sort("path").toLocalIterator():
-        header = tuple(read_text_table(spark, row.path, delimiter).columns)
-        by_header.setdefault(header, []).append(row.path)
+    headers = list_files(spark, pattern).select("path").mapInPandas(_first_lines, "path string, header string")
+    by_header: dict[str, list[str]] = {}
+    for row in headers.collect():
+        by_header.setdefault(row.header, []).append(row.path)
     if not by_header:
         raise FileNotFoundError(f"no file matches {pattern}")
-    parts = [read_text_table(spark, paths, delimiter) for paths in by_header.values()]
+    parts = [read_text_table(spark, sorted(by_header[header]), delimiter) for header in sorted(by_header)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

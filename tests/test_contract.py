@@ -338,3 +338,20 @@ def test_document_diff_of_a_lost_document(rows):
     a = rows("k int, body string", (1, "{}"), (2, "[1]"))
     b = rows("k int, body string", (1, "{}"), (3, "4"))
     assert rows.of(documents.document_diff(a, b, "k", "body")) == [(2, "/", "absent", "array", None), (3, "/", "unexpected", None, "number")]
+
+
+def test_bytes_that_very_many_runs_claim(spark, rows):
+    records = [record(f"r{n}", f"2026-01-{n % 28 + 1:02d}", outcome="success" if n == 17 else "partial") for n in range(200)]
+    assert licence(rows, *records) == ("r17", None, 200)
+
+
+def test_long_texts_are_profiled_whole(rows):
+    long = "x" * 5000
+    table = rows("t string", (long + "a",), (long + "b",), (long + "a",), ("s",))
+    assert rows.of(profile.profile_columns(table), "distinct_values", "min_length", "max_length", "domain") == [(3, 1, 5001, None)]
+
+
+def test_a_domain_at_the_limit_is_whole(spark):
+    table = spark.range(20000).select((F.col("id") % 50).cast("string").alias("a"), (F.col("id") % 51).cast("string").alias("b"))
+    got = {r.column: r.domain for r in profile.profile_columns(table).collect()}
+    assert got == {"a": "|".join(sorted(str(n) for n in range(50))), "b": None}
