@@ -18,7 +18,7 @@ PREFIX_WEIGHT = 0.1
 BOOST_ABOVE = 0.7
 
 # Characters held at once while comparing; longer names are compared fewer at a time.
-CELLS = 2_000_000
+CELLS = 100_000
 
 
 def least_jaro(threshold: float) -> float:
@@ -27,6 +27,14 @@ def least_jaro(threshold: float) -> float:
     return (threshold - most) / (1 - most)
 
 
+def least_matches(threshold: float) -> float:
+    """Matching characters a pair needs, as a share of `|a| |b| / (|a| + |b|)`.
+
+    With m matches Jaro is at most (m/|a| + m/|b| + 1) / 3.
+    """
+    return 3 * least_jaro(threshold) - 1
+
+
 def least_length_ratio(threshold: float) -> float:
     """How much shorter than the other a name may be and still reach `threshold`.
 

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import jaro_winkler, least_length_ratio
+from ..functions.similarity import jaro_winkler, least_length_ratio, least_matches
 from ..functions.text import once, strip_accents
 from ..session import staged
 
@@ -43,8 +43,10 @@ STATUS_RANK = ["ISSUED", "LAPSED", "RETIRED"]
 HOME = "US"
 
 PREFIX = 6
+# Letters counted apart when a pair's common characters are bounded.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 # A block with more names than this on a side is compared in tiles of this many names.
-TILE = 4000
+TILE = 1000
 BLOCK = ["country", "rule", "block"]
 NAME = ["country", "name"]
 
@@ -132,6 +134,27 @@ def _length_band(ratio: float) -> Column:
     return F.floor(F.log(F.length("name").cast("double")) / F.lit(math.log(1 / ratio))).cast("int")
 
 
+def _letters(name: Column) -> Column:
+    """How often a name has each letter, and how many other characters it has."""
+    length = F.length(name)
+    counts = [length - F.length(F.replace(name, F.lit(letter), F.lit(""))) for letter in LETTERS]
+    other = F.length(F.translate(name, LETTERS, ""))
+    return F.struct(*[n.alias(letter) for n, letter in zip(counts, LETTERS)], other.alias("other"))
+
+
+def _may_be_near(left: str, right: str) -> Column:
+    """Whether lengths and letters leave room for the threshold; never false for a near pair.
+
+    Only characters that both names have can match, and each as often as both have it.
+    """
+    common = sum((F.least(f"{left}.letters.{c}", f"{right}.letters.{c}") for c in [*LETTERS, "other"]), F.lit(0))
+    a, b = F.col(f"{left}.length"), F.col(f"{right}.length")
+    slack = 1e-6
+    return (F.least(a, b) >= least_length_ratio(NEAR) * F.greatest(a, b) - slack) & (
+        common >= least_matches(NEAR) * a * b / (a + b) - slack
+    )
+
+
 def _tiles(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both sides with a tile number, so that a hot block becomes many small ones.
 
@@ -162,9 +185,10 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
     """For each name without an equal, the best register name that is near to it.
 
     Sound short cuts keep the block from being compared whole: the block key carries a
-    length band outside of which the threshold cannot be reached, and a pair that shares
-    both blocks is compared in the first only. Pairs are compared where they are formed
-    and reduced to one row per name before any shuffle.
+    length band outside of which the threshold cannot be reached; the join itself lets
+    through only pairs whose lengths and letters leave room for it, and a pair that shares
+    both blocks in the first only. What is left is compared where it is formed and reduced
+    to one row per name before any shuffle.
     """
     ratio = least_length_ratio(NEAR)
     on = [*BLOCK, "band"]
@@ -180,20 +204,15 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
     # tasks; left to itself, adaptive execution would join small partitions into few.
     tile = [*on, "row", "col"]
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left, right = (side.repartition(tasks, *tile) for side in (left, right))
+    measures = {"length": F.length("name"), "letters": _letters(F.col("name"))}
+    left, right = (side.repartition(tasks, *tile).withColumns(measures) for side in (left, right))
+    lead_l, lead_r = F.substring("l.name", 1, PREFIX), F.substring("r.name", 1, PREFIX)
+    first_time = (F.col("l.rule") == "prefix") | (F.col("l.length") < PREFIX) | (lead_l != lead_r)
+    same_tile = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in tile]
     pairs = (
         left.alias("l")
-        .join(right.alias("r"), tile)
-        .select(*BLOCK, F.col("l.name").alias("name"), F.col("r.name").alias("other"), "winner")
-        .where(
-            (F.least(F.length("name"), F.length("other")) >= ratio * F.greatest(F.length("name"), F.length("other")))
-            & (
-                (F.col("rule") == "prefix")
-                | (F.length("name") < PREFIX)
-                | (F.length("other") < PREFIX)
-                | (F.substring("name", 1, PREFIX) != F.substring("other", 1, PREFIX))
-            )
-        )
+        .join(right.alias("r"), [*same_tile, first_time, _may_be_near("l", "r")])
+        .select(F.col("l.country").alias("country"), F.col("l.name").alias("name"), F.col("r.name").alias("other"), "winner")
         .withColumn("similarity", once(F.round(jaro_winkler("name", "other"), 9)))
         .where(F.col("similarity") >= NEAR)
         .withColumn("level", F.when(F.col("similarity") >= CLOSE, "close").otherwise("near"))

@@ -54,8 +54,8 @@ class Inputs:
         region = self.table("region")
         balance = F.col("c_acctbal")
         started = F.concat(
-            F.lit("20"), F.lpad((F.col("c_custkey") % 25).cast("string"), 2, "0"), F.lit("-"),
-            F.lpad((F.col("c_nationkey") % 14 + 1).cast("string"), 2, "0"), F.lit("-15T08:30:00.000Z"),
+            F.lit("20"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.lit("-"),
+            F.lpad((F.floor(F.abs(balance) / 700) + 1).cast("string"), 2, "0"), F.lit("-15T08:30:00.000Z"),
         )
         return (
             self.customers()
@@ -231,7 +231,7 @@ class Inputs:
             .when(kind == "MEDIUM", F.lit("7")).otherwise(F.lit('"key"'))
         )
         local = F.when(kind == "ECONOMY", F.lit('["key","size"]')).when(kind == "PROMO", F.lit('"colour"')).otherwise(F.lit('"key"'))
-        target = F.concat_ws("_", F.replace("p_name", F.lit(" "), F.lit("_")), (F.col("p_size") % 50 + 1).cast("string"))
+        target = F.concat_ws("_", F.replace("p_name", F.lit(" "), F.lit("_")), (51 - F.col("p_size")).cast("string"))
         text = F.concat(
             F.lit('{"name":"pkg'), F.col("p_partkey").cast("string"),
             F.lit('","resources":[{"name":"'), part_resource(),

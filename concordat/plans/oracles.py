@@ -196,7 +196,7 @@ resolved AS (
 PACKAGES = """
 packages AS (
   SELECT *, 'pkg' || p_partkey AS package, replace(p_name, ' ', '_') || '_' || p_size AS resource,
-         replace(p_name, ' ', '_') || '_' || (p_size % 50 + 1) AS target,
+         replace(p_name, ' ', '_') || '_' || (51 - p_size) AS target,
          CASE p_type WHEN 'STANDARD' THEN 'string' WHEN 'ECONOMY' THEN 'integer' WHEN 'LARGE' THEN 'number'
                      WHEN 'MEDIUM' THEN 'date' WHEN 'PROMO' THEN 'any' ELSE 'money' END AS key_type
   FROM part
@@ -440,7 +440,7 @@ SELECT lei, c_name || ' Société ' || n_name AS legal_name, n_name AS country,
        TRY_CAST(CASE WHEN c_mktsegment <> 'MACHINERY' THEN started ELSE '' END[1:10] AS DATE) AS next_renewal,
        lower(strip_accents(concat_ws(' ', c_name, 'Société', n_name,
          CASE WHEN c_acctbal >= 0 THEN c_mktsegment END, n_name))) AS corpus
-FROM (SELECT *, '20' || lpad((c_custkey % 25)::VARCHAR, 2, '0') || '-' || lpad((c_nationkey % 14 + 1)::VARCHAR, 2, '0')
+FROM (SELECT *, '20' || lpad(c_nationkey::VARCHAR, 2, '0') || '-' || lpad((floor(abs(c_acctbal) / 700)::BIGINT + 1)::VARCHAR, 2, '0')
              || '-15T08:30:00.000Z' AS started FROM customers)
 JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "slice_dates": """SELECT o_orderkey, written, TRY_CAST(written[1:10] AS DATE) AS day FROM (

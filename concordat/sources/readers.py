@@ -51,6 +51,8 @@ def file_system(uri: str):
     """The file system a path belongs to, and the path within it."""
     if uri.startswith("file:/") and not uri.startswith("file:///"):
         uri = "file://" + uri[len("file:"):]
+    if uri.startswith(("s3a://", "s3n://")):
+        uri = "s3" + uri[3:]
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 

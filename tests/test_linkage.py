@@ -65,7 +65,7 @@ def sides(rows):
     return linkage.named(left), linkage.named(register)
 
 
-@pytest.mark.parametrize("tile", [4000, 3])
+@pytest.mark.parametrize("tile", [1000, 3])
 def test_resolution_equals_brute_force_with_and_without_hot_blocks(sides, monkeypatch, tile):
     monkeypatch.setattr(linkage, "TILE", tile)
     left, register = sides
