@@ -25,7 +25,8 @@ DEFAULT_CATEGORY = "GENERAL"
 
 
 def published_ids(register: DataFrame) -> DataFrame:
-    return register.select(tidy_id(F.col("lei")).alias("lei")).distinct()
+    """Identifiers of the register, to be met by semi and anti joins only."""
+    return register.select(tidy_id(F.col("lei")).alias("lei"))
 
 
 def admit_identifiers(filings: DataFrame, register: DataFrame) -> DataFrame:

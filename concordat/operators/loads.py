@@ -101,6 +101,6 @@ def type_registrations(raw: DataFrame) -> DataFrame:
     )
     key = F.when(is_digits(number), unpad(number)).otherwise(F.trim(number))
     return (
-        raw.where(F.col("lei").isNotNull() & kind.isNotNull())
+        raw.where(kind.isNotNull() & F.col("lei").isNotNull())
         .select(tidy_id(F.col("lei")).alias("lei"), kind.alias("key_type"), key.alias("key"), "category")
     )

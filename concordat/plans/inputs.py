@@ -44,7 +44,7 @@ class Inputs:
         wrong = F.concat(
             F.substring(good, 1, 18), F.lpad((F.substring(good, 19, 2).cast("int") + 1).cast("string"), 2, "0")
         )
-        return self.table("customer").withColumn(
+        return self.spread("customer").withColumn(
             "lei", F.when(F.col("c_mktsegment") == "FURNITURE", wrong).otherwise(good)
         )
 
@@ -134,7 +134,7 @@ class Inputs:
                 F.concat(F.lit("S"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("registered_as"),
                 F.lit("FUND").alias("category"),
             ),
-            self.table("part").select(
+            self.spread("part").select(
                 identifier("p_partkey").alias("lei"),
                 F.concat(F.lit("C"), F.lpad(F.col("p_partkey").cast("string"), 9, "0"), F.lit(" ")).alias("registered_as"),
                 F.when(F.col("p_type") == "PROMO", F.lit(None)).otherwise("GENERAL").alias("category"),
