@@ -114,3 +114,26 @@ def test_a_name_shared_by_a_third_of_all_rows(spark, rows):
                     ("r2", "Hot Name", "us", "LAPSED", "US"), ("r1", "hot name", "us", "ISSUED", "XX"), ("r0", "hot name", "de", "ISSUED", "US"))
     got = linkage.resolve_entities(linkage.named(left), linkage.named(register))
     assert [tuple(r) for r in got.groupBy("lei", "status").count().collect()] == [("r1", "ambiguous", 1000)]
+
+
+def test_short_cuts_never_drop_a_near_pair(spark):
+    """Lengths, letters and bands let every pair through that reaches the threshold."""
+    from test_functions import some_names
+
+    rng = random.Random(5)
+    names = sorted({n.strip() for n in some_names(60, 4) if n.strip()} | {"q", "ab", "abc", "中国 bank", "日本 bank", "x1 y2", "x1 y3"})
+    near = [(a, b) for a in names for b in names if plain_jaro_winkler(a, b) >= linkage.NEAR]
+    far = [(rng.choice(names), rng.choice(names)) for _ in range(300)]
+    frame = spark.createDataFrame([(*p, p in near) for p in near + far], "a string, b string, near boolean")
+    ratio = linkage.least_length_ratio(linkage.NEAR)
+
+    def side(column, alias):
+        own = frame.select("a", "b", "near", F.col(column).alias("name"))
+        return own.select("a", "b", "near", F.length("name").alias("length"), linkage._letters(F.col("name")).alias("letters"),
+                          linkage._length_band(ratio).alias("band")).distinct().alias(alias)
+
+    met = side("a", "l").join(side("b", "r"), [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("a", "b", "near")])
+    kept = met.select(F.col("l.near").alias("near"), linkage._may_be_near("l", "r").alias("may"),
+                      (F.abs(F.col("l.band") - F.col("r.band")) <= 1).alias("band")).collect()
+    assert all(r.may and r.band for r in kept if r.near)
+    assert any(not r.may for r in kept)
