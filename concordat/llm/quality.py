@@ -1,10 +1,11 @@
-"""Quality rules: an isolation forest over rule statistics, with a threshold from labelled rows.
+"""Quality rules: isolation forests over rule statistics, with thresholds from labelled rows.
 
-The forest is a set of trees, each grown on a small random subset of labelled documents by
-random splits of random statistics. A document that few splits set apart is an anomaly. The
-forest alone knows no good or bad, so its threshold is read off the labelled rows: of the
-scores at which no more than `spare` of the good labelled documents would be rejected, the one
-that best tells the labels apart.
+A forest is a set of trees, each grown on a small random subset of labelled documents by random
+splits of random statistics. A document that few splits set apart is an anomaly. There is a
+forest for each rule (symbols, repetition, shape), as what is rare need not be poor: a forest
+knows no good or bad, so its threshold is read off the labelled rows. Of the scores at which no
+more than a share `spare` of the good ones would be rejected, and more poor than good ones, it
+is the one that best tells the labels apart; a rule without such a score rejects nothing.
 
 The statistics of a document are worked out in its own row, from its whole text; no text is
 shuffled.
@@ -14,6 +15,8 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -67,14 +70,19 @@ def base_failed(stats: Column) -> Column:
     return (stats["n_words"] < MIN_WORDS) | (stats["n_repeat_words"] * 100 > stats["n_words"] * MAX_REPEAT_PERCENT)
 
 
-def features(stats: pd.DataFrame) -> np.ndarray:
-    """What the forest splits: log size and the shares that sizes do not sway."""
+RULES = ("symbols", "repetition", "shape")
+
+
+def features(stats: pd.DataFrame) -> list[np.ndarray]:
+    """What the forest of each rule splits: shares, which a document's size does not sway, and the log size."""
     words = np.maximum(stats["n_words"].to_numpy(float), 1)
     lines = np.maximum(stats["n_lines"].to_numpy(float), 1)
-    return np.column_stack([
-        np.log1p(stats["n_words"]), stats["word_chars"] / words, stats["n_symbols"] / words,
-        stats["n_dup_lines"] / lines, stats["n_repeat_words"] / words,
-    ]).astype(float)
+    symbols = stats["n_symbols"].to_numpy(float)
+    return [
+        np.column_stack([symbols / words, symbols / np.maximum(stats["word_chars"], 1)]),
+        np.column_stack([stats["n_dup_lines"] / lines, stats["n_repeat_words"] / words]),
+        np.column_stack([np.log1p(stats["n_words"].to_numpy(float)), stats["word_chars"] / words]),
+    ]
 
 
 def _expected(n: np.ndarray) -> np.ndarray:
@@ -137,47 +145,60 @@ def grow(rows: np.ndarray, trees: int = 200, subset: int = 256, seed: int = 7) -
 
 @dataclass
 class QualityModel:
-    forest: Forest
-    threshold: float  # a score above it rejects
+    forests: list[Forest]
+    thresholds: list[float]  # a score above its rule's rejects
 
     def anomaly(self):
-        forest = self.forest
+        """A function of the statistics: the score of each rule."""
+        forests = self.forests
+
+        @F.pandas_udf("array<double>")
+        def scores(stats: pd.DataFrame) -> pd.Series:
+            return pd.Series(list(np.column_stack([f.score(x) for f, x in zip(forests, features(stats))])))
+
+        return scores
 
-        @F.pandas_udf("double")
-        def score(stats: pd.DataFrame) -> pd.Series:
-            return pd.Series(forest.score(features(stats)))
+    def kept(self, stats: Column, scores: Column) -> Column:
+        kept = ~base_failed(stats)
+        for i, threshold in enumerate(self.thresholds):
+            kept &= scores[i] <= threshold
+        return kept
 
-        return score
 
-    def kept(self, stats: Column, score: Column) -> Column:
-        return ~base_failed(stats) & (score <= self.threshold)
+def _threshold(counts: pd.DataFrame, good: int, bad: int, spare: float) -> float:
+    """From counts of good and bad rows by score, highest first."""
+    lost, caught = counts["good"].cumsum(), counts["bad"].cumsum()
+    gain = (caught / bad - lost / good).where((lost <= spare * good) & (caught > lost), -1.0)
+    if not len(gain) or gain.max() <= 0:
+        return 1.0
+    last = int(gain.to_numpy().argmax())
+    below = counts["s"].iloc[last + 1] if last + 1 < len(counts) else 0.0
+    return float((counts["s"].iloc[last] + below) / 2)
 
 
-def fit(labelled: DataFrame, stats: str, quality: str, key: str, max_rows: int = 4096, spare: float = 0.01, trees: int = 200) -> QualityModel:
+def fit(labelled: DataFrame, stats: str, quality: str, key: str, max_rows: int = 4096, spare: float = 0.005, trees: int = 100) -> QualityModel:
     """A model of `labelled` rows: struct column `stats`, 0/1 column `quality`, sampling key `key`.
 
-    The forest grows on at most `max_rows` rows, those whose key hashes smallest. The
-    threshold comes from all labelled rows, as counts by rounded score. Rows that the base
+    The forests grow on at most `max_rows` rows, those whose key hashes smallest. The
+    thresholds come from all labelled rows, as counts by rounded score. Rows that the base
     rules reject and rows without a label have no say in it. Without labelled rows of both
     kinds the model rejects nothing beyond the base rules.
     """
     rows = labelled.where(F.col(quality).isin(0, 1) & ~base_failed(F.col(stats)))
     sample = rows.orderBy(F.xxhash64(key), key, *(f"{stats}.{n}" for n in BASE)).limit(max_rows)
-    forest = grow(features(sample.select(f"{stats}.*").toPandas()), trees)
-    score = QualityModel(forest, 1.0).anomaly()(F.col(stats))
-    counts = rows.groupBy(F.round(score, 4).alias("s")).agg(
-        F.sum(F.col(quality).cast("long")).alias("good"), F.sum(1 - F.col(quality).cast("long")).alias("bad")
-    ).orderBy(F.desc("s")).toPandas()
-    good, bad = counts["good"].sum(), counts["bad"].sum()
-    if not good or not bad:
-        return QualityModel(forest, 1.0)
-    lost, caught = counts["good"].cumsum() / good, counts["bad"].cumsum() / bad
-    gain = (caught - lost).where(lost <= spare, -1.0)
-    if gain.max() <= 0:
-        return QualityModel(forest, 1.0)
-    last = int(gain.to_numpy().argmax())
-    below = counts["s"].iloc[last + 1] if last + 1 < len(counts) else 0.0
-    return QualityModel(forest, float((counts["s"].iloc[last] + below) / 2))
+    forests = [grow(x, trees, seed=7 + i) for i, x in enumerate(features(sample.select(f"{stats}.*").toPandas()))]
+    model = QualityModel(forests, [1.0] * len(forests))
+    scored = rows.select(quality, model.anomaly()(F.col(stats)).alias("scores"))
+    for rule in range(len(forests)):
+        # Rows that an earlier rule rejects are no reason for a later one.
+        left = scored.where(reduce(and_, (F.col("scores")[i] <= t for i, t in enumerate(model.thresholds))))
+        counts = left.groupBy(F.round(F.col("scores")[rule], 4).alias("s")).agg(
+            F.sum(F.col(quality).cast("long")).alias("good"), F.sum(1 - F.col(quality).cast("long")).alias("bad")
+        ).orderBy(F.desc("s")).toPandas()
+        good, bad = int(counts["good"].sum()), int(counts["bad"].sum())
+        if good and bad:
+            model.thresholds[rule] = _threshold(counts, good, bad, spare)
+    return model
 
 
 def label_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:

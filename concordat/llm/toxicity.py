@@ -55,8 +55,9 @@ class Vocabulary:
         own, met = Counter(words(text)), self.met
         if len(met) > self.limit:
             met.clear()
-        for w in own.keys() - met.keys():
-            met[w] = tuple(self.number[t] for t in terms(w) if t in self.number)
+        for w in own:
+            if w not in met:
+                met[w] = tuple(self.number[t] for t in terms(w) if t in self.number)
         out: dict[int, int] = {}
         for w, n in own.items():
             for t in met[w]:
@@ -73,27 +74,28 @@ class Index:
 
     idf: np.ndarray
     labels: np.ndarray
-    block: int = 64
-    doc: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
-    weight: np.ndarray = field(default_factory=lambda: np.empty(0))
-    ends: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    blocks: list = field(default_factory=list)
+    block: int
+    n_blocks: int = 0
+    doc: np.ndarray | None = None
+    weight: np.ndarray | None = None
+    cut: list | None = None  # where the postings of (term, block) begin
+    most: np.ndarray | None = None  # greatest weight of (term, block)
 
     @staticmethod
-    def build(counts: list[dict[int, int]], labels: np.ndarray, idf: np.ndarray, block: int = 64) -> Index:
+    def build(counts: list[dict[int, int]], labels: np.ndarray, idf: np.ndarray, block: int = 512) -> Index:
         index = Index(idf, labels, block)
         vectors = [index.unit(c) for c in counts]
         term = np.array([t for v in vectors for t in v], np.int64)
         doc = np.repeat(np.arange(len(vectors)), [len(v) for v in vectors])
         weight = np.array([w for v in vectors for w in v.values()], float)
         order = np.lexsort((doc, term))
-        index.doc, index.weight = doc[order], weight[order]
-        index.ends = np.searchsorted(term[order], np.arange(len(idf) + 1))
-        for t in range(len(idf)):
-            span = slice(index.ends[t], index.ends[t + 1])
-            number, first = np.unique(index.doc[span] // block, return_index=True)
-            most = np.maximum.reduceat(index.weight[span], first) if len(first) else np.empty(0)
-            index.blocks.append((number, most, np.append(first, span.stop - span.start) + span.start))
+        term, index.doc, index.weight = term[order], doc[order], weight[order]
+        index.n_blocks = -(-len(vectors) // block)
+        cell = term * index.n_blocks + index.doc // block
+        index.cut = np.searchsorted(cell, np.arange(len(idf) * index.n_blocks + 1)).tolist()
+        index.most = np.zeros(len(idf) * index.n_blocks)
+        np.maximum.at(index.most, cell, index.weight)
+        index.most = index.most.reshape(len(idf), index.n_blocks)
         return index
 
     def unit(self, counts: dict[int, int]) -> dict[int, float]:
@@ -103,23 +105,19 @@ class Index:
 
     def nearest(self, query: dict[int, float], k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k examples of highest cosine above zero, ties to the earlier, and their cosines; never `but`."""
-        bound = np.zeros(len(self.labels) // self.block + 1)
-        for t, w in query.items():
-            number, most, _ = self.blocks[t]
-            bound[number] += w * most
-        visit = np.argsort(-bound, kind="stable")
+        if not query:
+            return np.empty(0, np.int64), np.empty(0)
+        bound = np.array(list(query.values())) @ self.most[list(query)]
         ids, scores = np.empty(0, np.int64), np.empty(0)
-        for b in visit:
+        for b in np.argsort(-bound, kind="stable").tolist():
             if bound[b] <= 0 or len(ids) == k and bound[b] < scores[-1] - 1e-12:
                 break
             got = np.zeros(self.block)
             for t, w in query.items():
-                number, _, cut = self.blocks[t]
-                at = int(np.searchsorted(number, b))
-                if at < len(number) and number[at] == b:
-                    span = slice(cut[at], cut[at + 1])
-                    got[self.doc[span] - b * self.block] += w * self.weight[span]
-            own = np.flatnonzero(got > 0)
+                low, high = self.cut[t * self.n_blocks + b], self.cut[t * self.n_blocks + b + 1]
+                if low < high:
+                    got[self.doc[low:high] - b * self.block] += w * self.weight[low:high]
+            own = np.flatnonzero(got > (scores[-1] - 1e-12 if len(ids) == k else 0))
             own = own[own + b * self.block != but]
             ids, scores = np.append(ids, own + b * self.block), np.append(scores, got[own])
             best = np.lexsort((ids, -scores.round(12)))[:k]
@@ -176,6 +174,16 @@ def _monotone(value: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), v) for v, _, n in held])
 
 
+def _distinct(ranked: list[tuple[float, bytes]]) -> list[tuple[float, bytes]]:
+    """Of terms that begin alike and tell the labels apart equally well, which are as good as one, the first."""
+    seen, out = set(), []
+    for z, t in ranked:
+        if (mark := (z, t[: ROOTS[0] - 1])) not in seen:
+            seen.add(mark)
+            out.append((z, t))
+    return out
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
     max_examples: int = 16384, max_terms: int = 2048, least_z: float = 6.0, k: int = 15,
@@ -219,8 +227,9 @@ def fit(
         share = (a + b) / (n1 + n0)
         z = (a / n1 - b / n0) / math.sqrt(max(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
         scored.append((-z, bytes(row["term"])))
-    floor = min(least_z, math.sqrt(n1 + n0) / 8)  # a small sample cannot reach a high z
-    vocabulary = Vocabulary([t for z, t in sorted(scored) if -z >= floor][:max_terms])
+    # A small sample cannot reach a high z; in a large one, chance words of often copied texts pass a low one.
+    floor = max(min(least_z, math.sqrt(n1 + n0) / 8), 0.2 * max((-z for z, _ in scored), default=0.0))
+    vocabulary = Vocabulary([t for _, t in _distinct(sorted(x for x in scored if -x[0] >= floor))][:max_terms])
     size = len(vocabulary.number)
 
     def meet(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +255,9 @@ def fit(
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     seen = sample.select("doc_id", "label", "text").mapInArrow(look, f"doc_id {kind}, label int, counts map<int,int>").toPandas()
-    seen = seen.assign(h=[str(x) for x in seen["doc_id"]]).sort_values(["h", "label"], kind="stable")
+    # Examples of like terms stand together, which makes the blocks' bounds tight.
+    seen["terms"] = [tuple(sorted(c)) for c in seen["counts"]]
+    seen = seen.sort_values(["terms", "label", "doc_id"], kind="stable")
     counts = [dict(c) for c in seen["counts"]]
     y = seen["label"].to_numpy(float)
     index = Index.build(counts, y, idf)
@@ -255,7 +266,7 @@ def fit(
     model = ToxicityModel(vocabulary, index, list(seen["doc_id"]), k, prior, np.linspace(0, 1, 11))
     if len(y):
         # Leave-one-out votes; examples with equal counts share a vector, so each meets the others.
-        raw = [model.vote(index.unit(c), i)[0] if c else None for i, c in enumerate(counts)]
+        raw = [model.vote(index.unit(c), i)[0] for i, c in enumerate(counts)]
         pairs = [(r, t) for r, t in zip(raw, y) if r is not None]
         if pairs:
             r, t = np.array(pairs).T
