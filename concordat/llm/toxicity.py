@@ -228,7 +228,7 @@ def fit(
         z = (a / n1 - b / n0) / math.sqrt(max(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
         scored.append((-z, bytes(row["term"])))
     # A small sample cannot reach a high z; in a large one, chance words of often copied texts pass a low one.
-    floor = max(min(least_z, math.sqrt(n1 + n0) / 8), 0.2 * max((-z for z, _ in scored), default=0.0))
+    floor = max(min(least_z, math.sqrt(n1 + n0) / 8), 0.25 * max((-z for z, _ in scored), default=0.0))
     vocabulary = Vocabulary([t for _, t in _distinct(sorted(x for x in scored if -x[0] >= floor))][:max_terms])
     size = len(vocabulary.number)
 
