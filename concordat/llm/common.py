@@ -63,6 +63,14 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
+    """`frame`, after the session is held to `rows` rows in an Arrow batch: texts are long, and a batch is held whole."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(frame.sparkSession.conf.get(key)) <= rows:
+        frame.sparkSession.conf.set(key, str(rows))
+    return frame
+
+
 def pieces(stream: Iterator[pa.RecordBatch], limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut so that each holds about `limit` bytes, or one row."""
     for batch in stream:

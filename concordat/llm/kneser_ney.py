@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, pieces, written
+from .common import partitions, pieces, small_batches, written
 
 START, END = 0, 1  # numbers of the two marks in every batch
 MARKS = [b" start", b" end"]  # no word holds a space
@@ -112,7 +112,7 @@ def encode(docs: DataFrame, train: Column, batch_words: int, doc_id: str, text:
             yield row()
 
     # A null condition (a null id) is not held out.
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(~train, F.lit(False)).alias("held"))
+    own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(~train, F.lit(False)).alias("held"))
     return own.mapInArrow(run, STATE)
 
 
@@ -259,7 +259,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(
-    docs: DataFrame, train: Column, batch_words: int = 2_000_000, shard_words: int = 1_000_000,
+    docs: DataFrame, train: Column, batch_words: int = 1_200_000, shard_words: int = 1_000_000,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """A row for each row of `docs`: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, free_name, partitions, word_count, written
+from .common import WORD, free_name, partitions, small_batches, word_count, written
 
 # Fixed values of the mix: weights by rank of the source, total against all sizes, greatest share of a source.
 WEIGHTS, TOTAL, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
@@ -172,7 +172,8 @@ class Mix:
         slots = spark.range(0, shards, 1, max(1, min(shards, partitions(spark)))).mapInPandas(
             draw, "shard long, slot long, s int, pass_ int, block long"
         )
-        self.pieces = slots.join(spans, ["s", "block"]).select(
+        # The planner takes the slots for as small as the range they come from; they are as many as the blocks.
+        self.pieces = slots.hint("merge").join(spans, ["s", "block"]).select(
             "uid", "shard", "slot", "pass_", "start", (F.col("stop") - F.col("start")).alias("n_words")
         )
 
@@ -204,7 +205,7 @@ def mixed_rows(docs: DataFrame, text: str = "text", n_chars: str | None = "n_cha
     """The mix as rows of `docs`: one for each run of words taken of a document in one pass, its text the run as it
     stands in the document, its `n_chars` the run's length. Whole documents taken stay whole. Columns stay as they are."""
     uid, runs = free_name(docs, "row_number"), free_name(docs, "runs")
-    held = written(docs.withColumn(uid, F.monotonically_increasing_id()), "mixed")
+    held = written(small_batches(docs).withColumn(uid, F.monotonically_increasing_id()), "mixed")
     spans = Mix(held, uid=uid, text=text, **options).pieces.groupBy("uid").agg(F.collect_list(F.struct("pass_", "start", "n_words")).alias(runs))
     cut = held.join(spans.withColumnRenamed("uid", uid), uid).withColumn(runs, _cut(F.col(text), F.col(runs)))
     rows = cut.withColumn(runs, F.explode(runs)).withColumn(text, F.col(runs))

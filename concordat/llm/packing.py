@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, small_batches
 from .tokens import encoder
 
 K1, B = 1.2, 0.75
@@ -152,5 +152,5 @@ def pack(
         settle()
         yield batch()
 
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return own.mapInArrow(run, SCHEMA)

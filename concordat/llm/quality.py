@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, small_batches
 
 # The characters that count as symbols, and the limits of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -158,6 +158,19 @@ class QualityModel:
 
         return scores
 
+    def verdicts(self):
+        """A function of a text column: whether base rules and model keep the text."""
+        forests, thresholds = self.forests, np.array(self.thresholds)
+
+        @F.pandas_udf("boolean")
+        def kept(text: pd.Series) -> pd.Series:
+            stats = pd.DataFrame([measure(t) for t in text], columns=BASE)
+            scores = np.column_stack([f.score(x) for f, x in zip(forests, features(stats))])
+            failed = (stats["n_words"] < MIN_WORDS) | (stats["n_repeat_words"] * 100 > stats["n_words"] * MAX_REPEAT_PERCENT)
+            return ~failed & (scores <= thresholds).all(axis=1)
+
+        return kept
+
     def kept(self, stats: Column, scores: Column) -> Column:
         kept = ~base_failed(stats)
         for i, threshold in enumerate(self.thresholds):
@@ -203,7 +216,7 @@ def fit(labelled: DataFrame, stats: str, quality: str, key: str, max_rows: int =
 
 def label_rows(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> DataFrame:
     """(key, stats, quality) of the labelled rows of `docs`; a label of a null id belongs to none."""
-    own = docs.select(F.col(doc_id).alias("key"), rule_statistics(F.col(text)).alias("stats"))
+    own = small_batches(docs).select(F.col(doc_id).alias("key"), rule_statistics(F.col(text)).alias("stats"))
     told = labels.select(F.col(doc_id).alias("key"), F.col(quality).cast("int").alias("quality")).where("quality in (0, 1)")
     return own.join(told.groupBy("key").agg(F.min("quality").alias("quality")), "key")
 
@@ -213,8 +226,5 @@ def reject_poor(docs: DataFrame, model: QualityModel, text: str = "text") -> Dat
 
     Null and empty texts have no words and go. Repeated rows are judged alike.
     """
-    stats = free_name(docs, "rule_statistics")
-    score = free_name(docs, "anomaly")
-    told = docs.withColumn(stats, rule_statistics(F.col(text)))
-    told = told.withColumn(score, model.anomaly()(F.col(stats)))
-    return told.where(model.kept(F.col(stats), F.col(score))).drop(stats, score)
+    name = free_name(docs, "kept")
+    return small_batches(docs).withColumn(name, model.verdicts()(F.col(text))).where(name).drop(name)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, kneser_ney, mixing, packing, quality, simhash, token_files, topk, toxicity, urls
-from .common import scratch, written
+from .common import scratch, small_batches, written
 
 # Fixed values of the contracts.
 RULES = [
@@ -37,7 +37,7 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    stats = written(docs.select("doc_id", quality.rule_statistics("text").alias("stats")), "stats")
+    stats = written(small_batches(docs).select("doc_id", quality.rule_statistics("text").alias("stats")), "stats")
     labels = table(spark, folder, "labels").where("quality in (0, 1) and doc_id is not null")
     labels = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     labelled = written(stats.join(labels, "doc_id").withColumnRenamed("doc_id", "key"), "labelled")

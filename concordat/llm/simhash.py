@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, written
+from .common import free_name, small_batches, written
 from .components import connected
 
 CHUNK = 1 << 14
@@ -127,7 +127,7 @@ def near_groups(
     the fingerprint zero, which links like any other. A null id is in no component's name; a
     component of null ids only has a null name.
     """
-    prints = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(shingle)(F.col(text)).alias("f")), "prints")
+    prints = written(small_batches(docs).select(F.col(doc_id).alias("doc_id"), fingerprint(shingle)(F.col(text)).alias("f")), "prints")
     nodes = prints.groupBy("f").agg(F.min("doc_id").alias("least"))
     groups = connected(print_links(nodes.select("f"), max_distance, blocks, group_rows), "a", "b")
     placed = nodes.join(groups.withColumnRenamed("node", "f"), "f", "left")
@@ -180,7 +180,7 @@ def similar_rows(
     head_limit = 22  # of 64 bits: far above what such pairs differ in, far below what unrelated texts do
 
     uid, mark = free_name(docs, "row_number"), free_name(docs, "long_print")
-    held = written(docs.withColumn(uid, F.monotonically_increasing_id()).withColumn(mark, _long_print(shingle, width, blocks)(F.col(text))), "held")
+    held = written(small_batches(docs).withColumn(uid, F.monotonically_increasing_id()).withColumn(mark, _long_print(shingle, width, blocks)(F.col(text))), "held")
     rows = held.select(F.col(uid).alias("uid"), F.col(doc_id).alias("id"), F.col(f"{mark}.node").alias("node"))
     prints = written(
         held.select(f"{mark}.*").groupBy("node").agg(F.first("head").alias("head"), F.first("blocks").alias("blocks")), "long-prints"
@@ -214,7 +214,7 @@ def similar_rows(
     hubs = many.join(middle, ["c", "v"]).groupBy("c", "v").agg(F.min(F.struct(gap.alias("gap"), "node", "head")).alias("hub"))
     hubs = hubs.select("c", "v", "hub.node", "hub.head")
     links = written(verified(against(few, few, True).unionAll(against(many, hubs, False))), "links")
-    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    linked = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
     rest = many.join(linked, "node", "left_anti")
     links = links.unionAll(verified(against(rest, many, False)))
 

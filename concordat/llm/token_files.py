@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import partitions, pieces
+from .common import partitions, pieces, small_batches
 from .tokens import encoder
 
 OPTIONS = {
@@ -58,7 +58,7 @@ def write_tokens(
             )
             at += int(ends[-1])
 
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     # A document id that holds very many rows is split by its texts, then by its place in the input.
     order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
     dealt = own.repartitionByRange(files or partitions(spark), *order)

@@ -22,7 +22,7 @@ _SAFE = re.compile(f"[{_VISIBLE}](?:.*[{_VISIBLE}])?", re.DOTALL)
 class Encoder:
     """Encodes texts with the tokenizer at `path`. `joins_space`: a piece begins with its space."""
 
-    def __init__(self, path: str, joins_space: bool, limit: int = 600_000):
+    def __init__(self, path: str, joins_space: bool, limit: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, pieces
+from .common import free_name, pieces, small_batches
 
 # ASCII letters lower-cased and digits stay, other ASCII turns to spaces, other bytes stay.
 FOLD = bytes(
@@ -45,7 +45,7 @@ def terms(word: bytes) -> list[bytes]:
 class Vocabulary:
     """Numbers of terms; remembers the numbers of each word it has met."""
 
-    def __init__(self, names: list[bytes], limit: int = 500_000):
+    def __init__(self, names: list[bytes], limit: int = 150_000):
         self.number = {t: i for i, t in enumerate(names)}
         self.limit = limit
         self.met: dict[bytes, tuple[int, ...]] = {}
@@ -152,7 +152,7 @@ class ToxicityModel:
         counts = self.vocabulary.count(text)
         key = tuple(sorted(counts.items()))
         if key not in self.known:
-            if len(self.known) > 50_000:
+            if len(self.known) > 20_000:
                 self.known.clear()
             raw, ids = self.vote(self.index.unit(counts))
             self.known[key] = (self.calibrated(raw), [self.example_ids[i] for i in ids])
@@ -198,7 +198,7 @@ def fit(
     told = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
     told = told.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = told.where(train).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    own = small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     sample = own.join(F.broadcast(chosen), "doc_id")
 
     def spell(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
