@@ -1,10 +1,10 @@
-"""Token ids of a `tokenizers` file, encoded in batches with a cache of words.
+"""Token ids of a `tokenizers` file, encoded in batches with a cache of pieces.
 
-A text is cut at single spaces that stand between two visible characters. No merge and no
-added token of the two vocabularies spans such a place, so the ids of a text are those of its
-pieces in order (a test holds this to whole texts). Each distinct piece is encoded once and
-kept as bytes of unsigned 32-bit ids, and the ids of a text are its pieces' bytes
-joined. Texts with other white space beside a cut are encoded whole.
+Both vocabularies first split a text by a pattern, then merge within each piece. Texts of ASCII
+and Latin letters are split here by the same pattern, and each distinct piece is encoded once by
+the library, as a text of its own; the ids of a text are its pieces' ids in order. All other
+texts, and those that may hold an added token, are encoded whole by the library. A test holds
+either way to the library's ids of whole texts.
 """
 
 from __future__ import annotations
@@ -14,61 +14,61 @@ import re
 from array import array
 from itertools import chain
 
-# Visible characters: ASCII, and what follows up to the next Unicode space.
-_VISIBLE = "!-~¡-¬®-˿Ͱ-ᙿ"
-_SAFE = re.compile(f"[{_VISIBLE}](?:.*[{_VISIBLE}])?", re.DOTALL)
+# ASCII and Latin-1 but for what the library's tables and Python's might sort differently.
+_PLAIN = re.compile("[\t-\r -~¡-©«¬®-±´¶-¸»¿-ÿ]*")
+_L, _N = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
+# The splitting patterns of the two kinds of vocabulary over those characters. The
+# alternatives begin with different characters but for spaces, so their order may follow frequency.
+_ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
+_BY_SPACE = re.compile(rf" ?[{_L}]+|{_ENDINGS}| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
+_BY_WORD = re.compile(rf"[{_L}]+|{_ENDINGS}|[{_N}]|[^\s{_L}{_N}]+")
 
 
 class Encoder:
-    """Encodes texts with the tokenizer at `path`. `joins_space`: a piece begins with its space."""
+    """Encodes texts with the tokenizer at `path`.
 
-    def __init__(self, path: str, joins_space: bool, limit: int = 300_000):
+    `joins_space`: the vocabulary splits so that a piece begins with the space before it; else it
+    lower-cases and drops white space. `limit` bounds the pieces kept.
+    """
+
+    def __init__(self, path: str, joins_space: bool, limit: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.lead = " " if joins_space else ""
+        self.joins_space = joins_space
         self.limit = limit
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def _learn(self, words: set[str], cache: dict[str, bytes | None], lead: str) -> None:
-        safe = [w for w in words if _SAFE.fullmatch(w)]
-        cache.update(dict.fromkeys(words))  # None: not to be cut here
-        cache.update(zip(safe, self._encode([lead + w for w in safe])))
+    def _split(self, text: str) -> list[str] | None:
+        """The pieces of a plain text; None for another."""
+        if "<|" in text or not _PLAIN.fullmatch(text):
+            return None
+        return _BY_SPACE.findall(text) if self.joins_space else _BY_WORD.findall(text.lower())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; none for a null."""
-        cut = [t.split(" ") if t else [""] for t in texts]
-        heads = [words.pop(0) for words in cut]
-        if len(self.first) + len(self.later) > self.limit:
-            self.first.clear()
-            self.later.clear()
-        self._learn(set(heads).difference(self.first), self.first, "")
-        self._learn(set(chain.from_iterable(cut)).difference(self.later), self.later, self.lead)
-        out: list[bytes | None] = []
-        for head, words in zip(heads, cut):
-            try:
-                out.append(b"".join([self.first[head], *map(self.later.__getitem__, words)]))
-            except TypeError:  # a word that must not be cut off
-                out.append(None)
-        if whole := [i for i, ids in enumerate(out) if ids is None]:
-            for i, ids in zip(whole, self._encode([texts[i] or "" for i in whole])):
-                out[i] = ids
-        return out
+        """The ids of each text, as unsigned 32-bit integers; none for a null."""
+        if len(self.known) > self.limit:
+            self.known.clear()
+        split = [self._split(t or "") for t in texts]
+        new = list(set(chain.from_iterable(x for x in split if x)).difference(self.known))
+        self.known.update(zip(new, self._encode(new)))
+        get = self.known.__getitem__
+        whole = iter(self._encode([t for t, x in zip(texts, split) if x is None]))
+        return [next(whole) if x is None else b"".join(map(get, x)) for x in split]
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 def encoder(path: str, joins_space: bool) -> Encoder:
-    """This worker's encoder for `path`, with the words it has met."""
+    """This worker's encoder for `path`, with the pieces it has met."""
     if (path, joins_space) not in _ENCODERS:
         _ENCODERS[path, joins_space] = Encoder(path, joins_space)
     return _ENCODERS[path, joins_space]
