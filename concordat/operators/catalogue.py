@@ -9,11 +9,11 @@ from ..functions.text import grouped_digits, written_like
 from .contract import union_all
 
 
-def count_rows(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows per table; a bare count reads no column."""
+def count_rows(tables: dict[str, DataFrame] | list[tuple[str, DataFrame]]) -> DataFrame:
+    """Rows per table; a bare count reads no column. Tables of one name are counted each."""
     return union_all(
         t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
-        for name, t in tables.items()
+        for name, t in (tables.items() if isinstance(tables, dict) else tables)
     )
 
 

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.identifiers import check_digits_hold, tidy_id, unpad
 from ..functions.text import once, search_text
@@ -24,6 +25,11 @@ NAME_TIERS = ["confirmed", "candidate", "ambiguous"]
 DEFAULT_CATEGORY = "GENERAL"
 
 
+def tidy_key(key: Column) -> Column:
+    """A filer's key in one form: trimmed, a number without leading zeros."""
+    return F.regexp_replace(F.trim(key), r"^0+(?=[0-9]+$)", "")
+
+
 def published_ids(register: DataFrame) -> DataFrame:
     """Identifiers of the register, to be met by semi and anti joins only."""
     return register.select(tidy_id(F.col("lei")).alias("lei"))
@@ -32,12 +38,14 @@ def published_ids(register: DataFrame) -> DataFrame:
 def admit_identifiers(filings: DataFrame, register: DataFrame) -> DataFrame:
     """Distinct (key, lei) claims whose identifier holds, or which the register publishes.
 
+    Keys are admitted in their tidy form; a blank key is none.
+
     Identifiers are reduced to one row each before their digits are checked, so a
     placeholder that very many claims carry is checked once. Those that fail meet the
     register, and the claims then meet only the few that the register does publish.
     """
-    claims = filings.where(F.col("lei").isNotNull() & (F.col("lei") != "") & F.col("key").isNotNull()).select(
-        "key", tidy_id(F.col("lei")).alias("lei")
+    claims = filings.select(tidy_key(F.col("key")).alias("key"), tidy_id(F.col("lei")).alias("lei")).where(
+        "lei <> '' and key <> ''"
     )
     holds = check_digits_hold(F.col("lei"))
     doubtful = claims.select("lei").distinct().select("lei", once(holds).alias("holds")).where(~F.col("holds"))
@@ -232,11 +240,28 @@ def excluded_keys(sources: list[DataFrame], edges: DataFrame) -> DataFrame:
     return keys.where(usable).distinct().join(carried, ["key_type", "key"], "left_anti")
 
 
+def _sorting(table: DataFrame, column: str, descending: bool) -> list:
+    """What sorts like the column in the direction asked for, a NULL last in either."""
+    value, kind = F.col(column), table.schema[column].dataType
+    if descending:
+        if isinstance(kind, T.DateType):
+            value = F.unix_date(value)
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            value = F.unix_micros(value.cast("timestamp"))
+        elif isinstance(kind, T.BooleanType):
+            value = value.cast("int")
+        elif not isinstance(kind, T.NumericType):
+            raise TypeError(f"{column}: {kind.simpleString()} has no descending order here")
+        value = -value
+    return [F.col(column).isNull(), value]
+
+
 def best_per_key(rows: DataFrame, keys: list[str], order: list, keep: list[str]) -> DataFrame:
     """The first row of each group in a total order, by a partial aggregate.
 
-    `order` lists (column, descending) pairs over numbers.
+    `order` lists (column, descending) pairs; a NULL comes last in either direction.
     """
-    ranked = [(-F.col(c) if descending else F.col(c)).alias(f"o{i}") for i, (c, descending) in enumerate(order)]
+    parts = [part for column, descending in order for part in _sorting(rows, column, descending)]
+    ranked = [part.alias(f"o{i}") for i, part in enumerate(parts)]
     first = F.min(F.struct(*ranked, *[F.col(c).alias(c) for c in keep])).alias("first")
     return rows.groupBy(*keys).agg(first).select(*keys, *[f"first.{c}" for c in keep])

@@ -33,9 +33,11 @@ def content_digest(table: DataFrame, resource: str) -> DataFrame:
     """One row that changes when any row does, whatever the order of the rows.
 
     Two independent hashes per row are summed wide enough that neither can overflow, so
-    the digest needs no shuffle but that of one row per task.
+    the digest needs no shuffle but that of one row per task. A hash passes over a NULL, so
+    each column is hashed with whether it is one: a NULL that moves to another column counts.
     """
-    columns = [F.col(f"`{c}`") for c in sorted(table.columns)]
+    names = [F.col(f"`{c}`") for c in sorted(table.columns)]
+    columns = [part for c in names for part in (c.isNull(), c)]
     wide = "decimal(38,0)"
     return table.agg(
         F.count(F.lit(1)).alias("rows"),

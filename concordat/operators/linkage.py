@@ -79,30 +79,36 @@ def per_level(level: Column, values: dict[str, float]) -> Column:
 
 
 def named(entities: DataFrame) -> DataFrame:
-    """Entities under their normal name; those without a name are left out."""
-    return entities.withColumn("name", normal_name(F.col("name"))).where(F.col("name") != "")
+    """Entities under their normal name; those without a name are left out.
+
+    Names meet within a country. The dimension is optional: where a side has no such column,
+    drop it on the other, and all names meet; unknown countries meet each other.
+    """
+    country = F.coalesce(F.col("country"), F.lit("")) if "country" in entities.columns else F.lit("")
+    return entities.withColumns({"name": normal_name(F.col("name")), "country": country}).where(F.col("name") != "")
 
 
 def register_names(register: DataFrame) -> DataFrame:
     """Distinct register names, how many entities share each, and the one that wins.
 
-    Current registrations go first, then home entities, then the smallest identifier.
+    Current registrations go first, then home entities, an unknown jurisdiction being abroad,
+    then the smallest identifier.
     """
     rank = F.lit(len(STATUS_RANK))
     for place, status in reversed(list(enumerate(STATUS_RANK))):
         rank = F.when(F.col("status") == status, place).otherwise(rank)
     first = F.struct(
-        rank.alias("rank"), (F.col("jurisdiction") != HOME).cast("int").alias("abroad"), F.col("id").alias("id")
+        rank.alias("rank"), (~F.col("jurisdiction").eqNullSafe(HOME)).cast("int").alias("abroad"), F.col("id").alias("id")
     )
     return register.groupBy(*NAME).agg(F.count(F.lit(1)).alias("entities"), F.min(first).alias("winner"))
 
 
 def block_keys(names: DataFrame) -> DataFrame:
-    """Each name once per block it falls in: its first characters, and its first word."""
+    """Each name once per block it falls in: its first characters, all of a short one, and its first word."""
     word = F.substring_index("name", " ", 1)
     lead = F.substring("name", 1, PREFIX)
     keys = F.array(
-        F.struct(F.lit("prefix").alias("rule"), F.when(F.length("name") >= PREFIX, lead).alias("block")),
+        F.struct(F.lit("prefix").alias("rule"), lead.alias("block")),
         F.struct(F.lit("word").alias("rule"), F.when(~word.isin(STOPWORDS), word).alias("block")),
     )
     return (
@@ -207,7 +213,7 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
     measures = {"length": F.length("name"), "letters": _letters(F.col("name"))}
     left, right = (side.repartition(tasks, *tile).withColumns(measures) for side in (left, right))
     lead_l, lead_r = F.substring("l.name", 1, PREFIX), F.substring("r.name", 1, PREFIX)
-    first_time = (F.col("l.rule") == "prefix") | (F.col("l.length") < PREFIX) | (lead_l != lead_r)
+    first_time = (F.col("l.rule") == "prefix") | (lead_l != lead_r)
     same_tile = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in tile]
     pairs = (
         left.alias("l")
@@ -217,10 +223,10 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
         .where(F.col("similarity") >= NEAR)
         .withColumn("level", F.when(F.col("similarity") >= CLOSE, "close").otherwise("near"))
     )
-    # "close" sorts before "near"; then the tie-break that equal names use.
-    best = F.min(F.struct("level", "winner")).alias("best")
-    return pairs.groupBy(*NAME).agg(best, F.max("similarity").alias("similarity")).select(
-        *NAME, "best.level", F.round("similarity", 6).alias("similarity"), F.col("best.winner.id").alias("match")
+    # "close" sorts before "near"; then the nearest; then the tie-break that equal names use.
+    best = F.min(F.struct("level", (-F.col("similarity")).alias("far"), "winner")).alias("best")
+    return pairs.groupBy(*NAME).agg(best).select(
+        *NAME, "best.level", F.round(-F.col("best.far"), 6).alias("similarity"), F.col("best.winner.id").alias("match")
     )
 
 

@@ -8,12 +8,8 @@ from pyspark.sql import types as T
 
 from ..functions.text import as_text
 
-# A column with no more distinct values than this gets its values listed.
+# A column with no more distinct values than this gets its values listed, unless told otherwise.
 DOMAIN_LIMIT = 50
-# A column with a value longer than this holds text, not terms, and has no domain.
-TERM_LENGTH = 256
-# Items the sketch behind a domain has room for; it is exact up to three quarters of that.
-SKETCH_ITEMS = 1024
 
 # The declared type each physical type is described as.
 DECLARED = {
@@ -42,35 +38,31 @@ def melt(table: DataFrame) -> DataFrame:
     return table.select(F.inline(F.array(*cells)))
 
 
-def profile_columns(table: DataFrame) -> DataFrame:
+def profile_columns(table: DataFrame, domain_limit: int | None = None) -> DataFrame:
     """One row per column: type, counts, lengths, and the domain where it is small.
 
-    One scan. Values are counted per (column, value) before anything is shuffled, and long
-    ones are counted by their digest, so that no text is shuffled whole. The domain comes from a frequent-items sketch, whose size is fixed and which loses nothing
-    until it holds far more distinct items than a domain may have.
+    One scan. Values are counted per (column, value) before anything is shuffled. A column of
+    more than `domain_limit` distinct values has no domain. Up to that number the domain is
+    exact: it comes from a frequent-items sketch with room for many times as many.
     """
+    limit = DOMAIN_LIMIT if domain_limit is None else domain_limit
     types = F.create_map(
         *[x for f in table.schema.fields for x in (F.lit(f.name), F.lit(declared_type(f.dataType)))]
     )
     order = F.create_map(*[x for i, c in enumerate(table.columns) for x in (F.lit(c), F.lit(i))])
-    long = F.length("value") > TERM_LENGTH
     counted = (
         melt(table)
         .select(
             "column",
             F.length("value").alias("length"),
-            F.when(long, F.sha2("value", 256)).otherwise(F.col("value")).alias("value"),
+            "value",
         )
         .groupBy("column", "value", "length")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    sketch = F.call_function("approx_top_k", F.col("value"), F.lit(DOMAIN_LIMIT + 1), F.lit(SKETCH_ITEMS))
+    sketch = F.call_function("approx_top_k", F.col("value"), F.lit(limit + 1), F.lit(max(1024, 20 * limit)))
     values = F.filter(F.transform("sketch", lambda item: item["item"]), lambda v: v.isNotNull())
-    few = (
-        F.col("distinct_values").between(1, DOMAIN_LIMIT)
-        & (F.size(values) == F.col("distinct_values"))
-        & (F.col("max_length") <= TERM_LENGTH)
-    )
+    few = F.col("distinct_values").between(1, limit) & (F.size(values) == F.col("distinct_values"))
     return (
         counted.groupBy("column")
         .agg(

@@ -65,7 +65,8 @@ def run_provenance(runs: DataFrame, objects: DataFrame, descriptor_path: str) ->
     """For each object: the newest run that licenses it, or why none does.
 
     `objects` holds object, hash and descriptor_hash. Runs meet objects on the digest of
-    the bytes, never on a path: a path says where a file was, a digest what it holds.
+    the bytes, never on a path: a path says where a file was, a digest what it holds. An
+    object without a descriptor digest is licensed by no run.
     Runs that say the same about the same bytes are reduced to the newest of them before
     they meet an object, so bytes that very many runs claim are a few rows.
     """
@@ -77,7 +78,7 @@ def run_provenance(runs: DataFrame, objects: DataFrame, descriptor_path: str) ->
     )
     refusal = (
         F.when(F.col("flaw").isNotNull(), F.col("flaw"))
-        .when(F.col("described_hash") != F.col("descriptor_hash"), "wrote another descriptor")
+        .when(~F.col("described_hash").eqNullSafe(F.col("descriptor_hash")), "wrote another descriptor")
         .when(F.col("outcome") != "success", "did not finish")
     )
     met = objects.join(claims, "hash", "left").withColumn("refusal", refusal)

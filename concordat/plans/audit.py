@@ -55,7 +55,7 @@ def audit_packages(
 
     parsed = descriptors.parse_descriptors(texts, "value")
     fields = descriptors.contract_fields(parsed)
-    tables: dict[str, DataFrame] = {}
+    tables: list[tuple[str, DataFrame]] = []  # two packages may have a resource of one name
     findings = [spark.createDataFrame([], contract.VIOLATION)]
     for path, document in documents:
         if only and path.rsplit("/", 2)[-2] not in only:
@@ -67,7 +67,8 @@ def audit_packages(
             if not resource.get("path") or not schema.get("fields"):
                 raise contract.ContractError(f"{package}: resource {name!r} declares no path or no fields")
             place = locate(path, resource["path"])
-            table = tables[name] = spark.read.parquet(place)
+            table = spark.read.parquet(place)
+            tables.append((name, table))
             mine = fields.where((F.col("package") == package) & (F.col("resource") == name))
             physical = contract.physical_fields(table, package, name)
             findings += [

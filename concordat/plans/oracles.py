@@ -153,7 +153,7 @@ STOPWORDS = "('a','an','and','das','de','der','die','el','en','in','la','le','le
 
 def blocks(side: str) -> str:
     return f"""
-  SELECT DISTINCT country, 'prefix' AS rule, left(name, 6) AS block, name FROM {side} WHERE length(name) >= 6
+  SELECT DISTINCT country, 'prefix' AS rule, left(name, 6) AS block, name FROM {side}
   UNION ALL SELECT DISTINCT country, 'word', split_part(name, ' ', 1), name FROM {side}
             WHERE split_part(name, ' ', 1) NOT IN {STOPWORDS}"""
 
@@ -175,11 +175,10 @@ scored AS (
   SELECT f.country, f.name, 'exact' AS level, 1.0::DOUBLE AS similarity, t.winner.id AS match, t.entities
   FROM (SELECT DISTINCT country, name FROM filers) f JOIN theirs t USING (country, name)
   UNION ALL
-  SELECT country, name, best.level, round(similarity, 6), best.winner.id, 1
-  FROM (
-    SELECT country, name, max(similarity) AS similarity,
-           min({{'level': CASE WHEN similarity >= 0.95 THEN 'close' ELSE 'near' END, 'winner': winner}}) AS best
-    FROM near WHERE similarity >= 0.92 GROUP BY ALL)
+  SELECT country, name, CASE WHEN similarity >= 0.95 THEN 'close' ELSE 'near' END, round(similarity, 6), winner.id, 1
+  FROM near
+  WHERE similarity >= 0.92
+  QUALIFY row_number() OVER (PARTITION BY country, name ORDER BY similarity DESC, winner) = 1
 ),
 weighed AS (
   SELECT *, round(log2(1e-4 / (1 - 1e-4)) + log2(ratio), 6) AS weight,

@@ -41,16 +41,6 @@ def local_session(app: str, cores: str = "*", partitions: int = 8, memory: str =
     return spark
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """A table read in fewer splits than there are cores, dealt out over all of them.
-
-    That holds only for a few small files. A table at scale is read in many more splits
-    and passes through as it is.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from concordat.operators import contract, coverage, documents, profile, provenance, registry
 from concordat.operators.catalogue import check_catalogue, count_rows
 from concordat.operators.contract import ContractError, Rule
-from concordat.operators.coverage import Join, JoinError, read_join
+from concordat.operators.coverage import Join, UnusableJoin, read_join
 from concordat.operators.inventory import verify_objects
 from concordat.sources import descriptors, runs
 
@@ -216,11 +216,11 @@ DECLARED = {"name": "j", "fields": "key", "reference": {"resource": "r", "fields
 def test_declarations_are_read(typed):
     join = read_join(DECLARED)
     assert join == Join("j", ("key",), "r", ("id",), "text", ("key_type", "num"), (3, 2))
-    assert coverage.own_resource({"edges": typed[0], "other": typed[1]}, join) == "edges"
+    assert coverage.left_side({"edges": typed[0], "other": typed[1]}, join) == "edges"
     assert read_join({k: v for k, v in DECLARED.items() if k != "coverage"}, need_coverage=False).coverage is None
     for tables in ({"other": typed[1]}, {"a": typed[0], "b": typed[0]}):
-        with pytest.raises(JoinError):
-            coverage.own_resource(tables, join)
+        with pytest.raises(UnusableJoin):
+            coverage.left_side(tables, join)
 
 
 @pytest.mark.parametrize("change", [
@@ -228,7 +228,7 @@ def test_declarations_are_read(typed):
     {"where": {"field": "x", "equals": 1, "not": 2}}, {"coverage": None}, {"coverage": {"rows": 1}}, {"coverage": {"rows": 1, "matched": 2}},
     {"coverage": {"rows": True, "matched": 0}}, {"coverage": {"rows": -1, "matched": -2}}])
 def test_malformed_declarations_are_errors(change):
-    with pytest.raises(JoinError):
+    with pytest.raises(UnusableJoin):
         read_join({**DECLARED, **change})
 
 
@@ -297,11 +297,19 @@ def test_provenance_ladder(rows):
     assert licence(rows, record("r1", outcome="partial")) == (None, "did not finish", 1)
     none = "no run produced these bytes"
     assert licence(rows, record("r1", hash="sha256:else")) == (None, none, 0)
+
     assert licence(rows, record("r1", producer=None)) == (None, none, 0)
     assert licence(rows, record("r1", export=("skipped", None))) == (None, none, 0)
     assert licence(rows, record("r1", export=("failed", None))) == (None, none, 0)
 
 
+def test_an_object_without_a_descriptor_is_not_licensed(rows):
+    parsed = runs.parse_runs(rows("t string, s string", record("r1")), "t", "s")
+    objects = rows("object string, hash string, descriptor_hash string", ("o", "sha256:d", None))
+    got = provenance.run_provenance(parsed, objects, "datapackage.json").first()
+    assert (got.run_id, got.refusal) == (None, "wrote another descriptor")
+
+
 def test_the_newest_licensing_run_wins(rows):
     records = [record("old", "2026-01-01"), record("new", "2026-02-01"), record("newest", "2026-03-01", outcome="partial")]
     assert licence(rows, *records) == ("new", None, 3)
@@ -348,7 +356,8 @@ def test_bytes_that_very_many_runs_claim(spark, rows):
 def test_long_texts_are_profiled_whole(rows):
     long = "x" * 5000
     table = rows("t string", (long + "a",), (long + "b",), (long + "a",), ("s",))
-    assert rows.of(profile.profile_columns(table), "distinct_values", "min_length", "max_length", "domain") == [(3, 1, 5001, None)]
+    assert rows.of(profile.profile_columns(table), "distinct_values", "min_length", "max_length", "domain") == [
+        (3, 1, 5001, "|".join(["s", long + "a", long + "b"]))]
 
 
 def test_a_domain_at_the_limit_is_whole(spark):

@@ -112,3 +112,17 @@ def test_universe_takes_one_ticker(rows):
 def test_best_per_key_is_a_total_order(rows):
     frame = rows("k int, p double, i int, v string", (1, 2.0, 9, "a"), (1, 5.0, 8, "b"), (1, 5.0, 7, "c"), (2, 1.0, 1, "d"))
     assert rows.of(edges.best_per_key(frame, ["k"], [("p", True), ("i", False)], ["v"])) == [(1, "c"), (2, "d")]
+
+
+def test_nulls_come_last_in_either_direction(rows):
+    frame = rows("k int, p double, d date, v string", (1, None, None, "none"), (1, 5.0, None, "five"), (1, 7.0, None, "seven"))
+    assert rows.of(edges.best_per_key(frame, ["k"], [("p", True)], ["v"])) == [(1, "seven")]
+    assert rows.of(edges.best_per_key(frame, ["k"], [("p", False)], ["v"])) == [(1, "five")]
+    assert rows.of(edges.best_per_key(frame, ["k"], [("d", True), ("p", True)], ["v"])) == [(1, "seven")]
+
+
+def test_keys_are_admitted_in_one_form(rows):
+    good = "529900T8BM49AURSDO55"
+    filings = rows("key string, lei string", ("0000000012", good), (" 12 ", good), ("", good), ("  ", good), (None, good), ("S000000012", good), ("12", None))
+    register = rows("lei string", ("x",))
+    assert rows.of(edges.admit_identifiers(filings, register), "key") == [("12",), ("S000000012",)]

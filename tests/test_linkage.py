@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from concordat.functions.similarity import jaro_winkler
 from concordat.operators import linkage
 from test_functions import plain_jaro_winkler
 
@@ -32,7 +33,7 @@ def brute_force(left, register):
 
     def keys(country, name):
         word = name.split(" ")[0]
-        found = {(country, "prefix", name[:6])} if len(name) >= 6 else set()
+        found = {(country, "prefix", name[:6])}
         return found | ({(country, "word", word)} if word not in linkage.STOPWORDS else set())
 
     rank = {s: n for n, s in enumerate(linkage.STATUS_RANK)}
@@ -41,7 +42,7 @@ def brute_force(left, register):
         options = []
         for other_id, other, other_country, status, jurisdiction in register:
             if name == other and country == other_country:
-                level = 0
+                level, score = 0, 1.0
             elif keys(country, name) & keys(other_country, other):
                 score = round(plain_jaro_winkler(name, other), 9)
                 if score < linkage.NEAR:
@@ -49,9 +50,9 @@ def brute_force(left, register):
                 level = 1 if score >= linkage.CLOSE else 2
             else:
                 continue
-            options.append((level, rank.get(status, 3), jurisdiction != "US", other_id))
+            options.append((level, -score, rank.get(status, 3), jurisdiction != "US", other_id))
         if options:
-            level, _, _, match = min(options)
+            level, _, _, _, match = min(options)
             equal = sum(o[0] == 0 for o in options)
             status = "candidate" if level else ("confirmed" if equal == 1 else "ambiguous")
             out.add((ident, match, "jaro_winkler" if level else "exact_name", status))
@@ -137,3 +138,18 @@ def test_short_cuts_never_drop_a_near_pair(spark):
                       (F.abs(F.col("l.band") - F.col("r.band")) <= 1).alias("band")).collect()
     assert all(r.may and r.band for r in kept if r.near)
     assert any(not r.may for r in kept)
+
+
+def test_a_home_entity_beats_an_unknown_jurisdiction(rows):
+    register = rows("country string, name string, id string, status string, jurisdiction string",
+                    ("x", "acme", "r1", "ISSUED", None), ("x", "acme", "r2", "ISSUED", linkage.HOME))
+    assert linkage.register_names(register).first().winner.id == "r2"
+
+
+def test_the_similarity_is_that_of_the_match(rows):
+    names = rows("id string, country string, name string", ("l", None, "international business machines"))
+    register = rows("id string, country string, name string, status string, jurisdiction string",
+                    ("a", None, "international business machine", None, None), ("b", None, "international business machinez", "ISSUED", linkage.HOME))
+    got = linkage.link_scores(linkage.named(names), linkage.named(register)).first()
+    both = {r.id: r.s for r in register.select("id", F.round(jaro_winkler("name", F.lit("international business machines")), 6).alias("s")).collect()}
+    assert got.similarity == both[got.match] == max(both.values())

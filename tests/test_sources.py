@@ -222,3 +222,13 @@ def test_self_description_shapes(spark, carrier):
         export.read_description(twice)
     unreadable = description(primaryKey=7)
     assert export.check_self_description(carrier(unreadable), unreadable, "p", "r").count() == 1
+
+
+def test_a_null_that_moves_changes_the_digest(rows):
+    one, two = rows("a int, b int", (None, 1)), rows("a int, b int", (1, None))
+    assert not inventory.unchanged(inventory.content_digest(one, "t"), inventory.content_digest(two, "t")).first().unchanged
+
+
+def test_a_register_value_may_hold_a_line_break(spark, tmp_path):
+    (tmp_path / "r.csv").write_text('LEI,Name\nA,"Two\nLines"\nB,One\n')
+    assert readers.read_text_table(spark, str(tmp_path), multiline=True).count() == 2
