@@ -14,6 +14,8 @@ import re
 from array import array
 from itertools import chain
 
+import numpy as np
+
 # ASCII and Latin-1 but for what the library's tables and Python's might sort differently.
 _PLAIN = re.compile("[\t-\r -~¡-©«¬®-±´¶-¸»¿-ÿ]*")
 _L, _N = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
@@ -46,6 +48,21 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
+    def _learn(self, new: list[str]) -> None:
+        """The ids of pieces, many to a text where they part again there: the library has a price by the text."""
+        alone = [x for x in new if x[0] != " "] if self.joins_space else []
+        rows = [x for x in new if x[0] == " "] if self.joins_space else new
+        for at in range(0, len(rows), 64):
+            row = rows[at : at + 64]
+            found = self.tokenizer.encode(("" if self.joins_space else " ").join(row), add_special_tokens=False)
+            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(row) + 1)).tolist()
+            if found.word_ids and found.word_ids[-1] == len(row) - 1:
+                ids = array("I", found.ids)
+                self.known.update((x, ids[i:j].tobytes()) for x, i, j in zip(row, ends, ends[1:]))
+            else:
+                alone += row
+        self.known.update(zip(alone, self._encode(alone)))
+
     def _split(self, text: str) -> list[str] | None:
         """The pieces of a plain text; None for another."""
         if "<|" in text or not _PLAIN.fullmatch(text):
@@ -54,11 +71,11 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as unsigned 32-bit integers; none for a null."""
-        if len(self.known) > self.limit:
-            self.known.clear()
         split = [self._split(t or "") for t in texts]
-        new = list(set(chain.from_iterable(x for x in split if x)).difference(self.known))
-        self.known.update(zip(new, self._encode(new)))
+        met = set(chain.from_iterable(x for x in split if x))
+        if len(self.known) > self.limit:
+            self.known = {x: self.known[x] for x in met if x in self.known}
+        self._learn(list(met.difference(self.known)))
         get = self.known.__getitem__
         whole = iter(self._encode([t for t, x in zip(texts, split) if x is None]))
         return [next(whole) if x is None else b"".join(map(get, x)) for x in split]
