@@ -48,8 +48,11 @@ class Bm25:
         self.starts = np.concatenate([[0], np.cumsum([len(g[0]) for g in grams])])
         self.place = place
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share one of the seed's rarest terms, best score first, then by position."""
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share one of the seed's rarest terms, best score first, then by position.
+
+        A window takes a few of them, so those after the best are sorted when they are asked for.
+        """
         own = self.place[self.starts[seed] : self.starts[seed + 1]]
         if len(own) > self.terms:
             own = own[np.argsort(-self.idf[own], kind="stable")[: self.terms]]
@@ -57,7 +60,12 @@ class Bm25:
         for t in own:
             score[self.owner[self.ends[t] : self.ends[t + 1]]] += self.weight[self.ends[t] : self.ends[t + 1]]
         found = np.flatnonzero((score > 0) & unused)
-        return found[np.argsort(-score[found], kind="stable")]
+        if len(found) > 64:
+            own = score[found]
+            best = own >= np.partition(own, -32)[-32]
+            yield from found[best][np.argsort(-own[best], kind="stable")].tolist()
+            found = found[~best]
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
 def fill(tails: list[np.ndarray], window: int, terms: int = 24) -> list[list[tuple[int, int, int]]]:
@@ -75,7 +83,7 @@ def fill(tails: list[np.ndarray], window: int, terms: int = 24) -> list[list[tup
         total -= size
         while not unused[seed]:
             seed += 1
-        row, room, near, k, nxt = [], size, None, 0, seed
+        row, room, near, nxt = [], size, None, seed
         item = seed
         while True:
             n = int(min(room, left[item]))
@@ -88,9 +96,8 @@ def fill(tails: list[np.ndarray], window: int, terms: int = 24) -> list[list[tup
                 break
             if near is None:
                 near = index.neighbours(seed, unused)
-            if k < len(near):
-                item, k = int(near[k]), k + 1
-            else:
+            item = next(near, -1)
+            if item < 0:
                 while not unused[nxt]:
                     nxt += 1
                 item = nxt

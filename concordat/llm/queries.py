@@ -73,8 +73,7 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
 def op7_tokens(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch(spark, "tokens")
     token_files.write_tokens(table(spark, folder, "documents"), out, tokenizer("word_bpe_49k.json"), WORD_END)
-    read = token_files.read_tokens(spark, out)
-    return read.select("doc_id", "start", "n_tokens", token_files.ids_crc32("ids").alias("ids_crc32"))
+    return token_files.with_crc32(token_files.read_tokens(spark, out))
 
 
 def op8_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,12 +13,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import partitions, pieces, small_batches
 from .tokens import encoder
@@ -76,7 +74,17 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.LongType())
-def ids_crc32(ids: pd.Series) -> pd.Series:
-    """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
-    return pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in ids], dtype="int64")
+def with_crc32(rows: DataFrame) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of rows as `read_tokens` returns them: the unsigned CRC-32 of a document's
+    ids as little-endian unsigned 32-bit integers, taken over the ids where they lie in an Arrow batch."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            lists = batch.column("ids")
+            ends = lists.offsets.to_numpy().tolist()
+            flat = memoryview(lists.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)).cast("B")
+            sums = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])]
+            columns = [batch.column(c) for c in ("doc_id", "start", "n_tokens")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")

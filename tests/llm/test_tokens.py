@@ -121,5 +121,5 @@ def test_bm25_against_plain_scores():
             score[d] += np.log1p((30 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(x) / mean))
     unused = np.ones(30, bool)
     unused[4] = False
-    got = index.neighbours(4, unused)
+    got = list(index.neighbours(4, unused))
     assert np.allclose(score[got], sorted(score[unused & (score > 0)], reverse=True), rtol=1e-4)
