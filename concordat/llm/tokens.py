@@ -18,6 +18,16 @@ import numpy as np
 
 # ASCII and Latin-1 but for what the library's tables and Python's might sort differently.
 _PLAIN = re.compile("[\t-\r -~¡-©«¬®-±´¶-¸»¿-ÿ]*")
+_ASCII = bytes([*range(9, 14), *range(32, 127)])
+
+
+def _plain(text: str) -> bool:
+    """Whether the text has such characters only; the quick way for ASCII."""
+    if text.isascii():
+        return not text.encode().translate(None, _ASCII)
+    return bool(_PLAIN.fullmatch(text))
+
+
 _L, _N = "A-Za-zÀ-ÖØ-öø-ÿ", "0-9"
 # The splitting patterns of the two kinds of vocabulary over those characters. The
 # alternatives begin with different characters but for spaces, so their order may follow frequency.
@@ -65,7 +75,7 @@ class Encoder:
 
     def _split(self, text: str) -> list[str] | None:
         """The pieces of a plain text; None for another."""
-        if "<|" in text or not _PLAIN.fullmatch(text):
+        if "<|" in text or not _plain(text):
             return None
         return _BY_SPACE.findall(text) if self.joins_space else _BY_WORD.findall(text.lower())
 
