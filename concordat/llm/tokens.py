@@ -2,7 +2,7 @@
 
 Both vocabularies first split a text by a pattern, then merge within each piece. Texts of ASCII
 and Latin letters are split here by the same pattern, and each distinct piece is encoded once by
-the library, as a text of its own; the ids of a text are its pieces' ids in order. All other
+the library, with its vocabulary and merges; the ids of a text are its pieces' ids in order. All other
 texts, and those that may hold an added token, are encoded whole by the library. A test holds
 either way to the library's ids of whole texts.
 """
@@ -45,11 +45,28 @@ class Encoder:
 
     def __init__(self, path: str, joins_space: bool, limit: int = 500_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        def load() -> Tokenizer:
+            found = Tokenizer.from_file(path)
+            found.no_truncation()
+            found.no_padding()
+            return found
+
+        self.tokenizer = load()
+        # The same vocabulary and merges for pieces that are split and lower-cased already, many to a text.
+        self.merger = load()
+        if not joins_space:
+            self.merger.normalizer = None
+        cut = pre_tokenizers.Split(" ", "merged_with_next" if joins_space else "removed")
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+            [cut, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        # Which ids begin a piece (they hold its space) or end one (they hold the mark of a word's end).
+        vocabulary = self.tokenizer.get_vocab()
+        self.edge = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        mark = (lambda token: token.startswith("\u0120")) if joins_space else (lambda token: token.endswith("</w>"))
+        self.edge[[i for token, i in vocabulary.items() if mark(token)]] = True
         self.joins_space = joins_space
         self.limit = limit
         self.known: dict[str, bytes] = {}
@@ -60,15 +77,18 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """The ids of pieces, many to a text where they part again there: the library has a price by the text."""
-        alone = [x for x in new if x[0] != " "] if self.joins_space else []
-        rows = [x for x in new if x[0] == " "] if self.joins_space else new
-        for at in range(0, len(rows), 64):
-            row = rows[at : at + 64]
-            found = self.tokenizer.encode(("" if self.joins_space else " ").join(row), add_special_tokens=False)
-            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(row) + 1)).tolist()
-            if found.word_ids and found.word_ids[-1] == len(row) - 1:
-                ids = array("I", found.ids)
-                self.known.update((x, ids[i:j].tobytes()) for x, i, j in zip(row, ends, ends[1:]))
+        alone = [x for x in new if x[0] != " " or x.isspace()] if self.joins_space else []
+        rows = [x for x in new if x[0] == " " and not x.isspace()] if self.joins_space else new
+        rows = [rows[at : at + 64] for at in range(0, len(rows), 64)]
+        found = self.merger.encode_batch_fast(
+            [("" if self.joins_space else " ").join(x) for x in rows], add_special_tokens=False
+        )
+        for row, one in zip(rows, found):
+            ids = np.array(one.ids, np.uint32)
+            edges = np.flatnonzero(self.edge[ids]) * 4
+            if len(edges) == len(row):
+                ends = [*edges.tolist(), 4 * len(ids)] if self.joins_space else [0, *(edges + 4).tolist()]
+                self.known.update(zip(row, map(ids.tobytes().__getitem__, map(slice, ends, ends[1:]))))
             else:
                 alone += row
         self.known.update(zip(alone, self._encode(alone)))
