@@ -1,18 +1,25 @@
 """Packing by lexical retrieval: windows filled with the nearest unused documents.
 
-A document longer than a window is cut into full windows and a tail. Tails are packed in
-shards of a bounded number of rows that lie together in the input. Each shard has a BM25
-inverted index of its tails. The first unused tail is the seed of a window; the index returns
-its unused neighbours, best first, which fill the window; the last one is cut where the window
-ends and its rest stays unused. When no neighbour is left, the next unused tails follow. What is
-left of a shard at the end fills windows of powers of two, which need no padding.
-
-No text is shuffled: a shard is a run of rows of one input split, so its size is bounded,
-whatever the table's, and a lost task is run again from its split.
+A document longer than a window is cut into full windows and a tail. Tails are dealt to shards
+by what they say, wherever they lie in the input: document frequencies are counted over all
+tails, a tail's BM25 weights are hashed to a vector, and tails are ordered by the two nearest
+of the centres of a bounded sample, then by a term that texts of like rare terms are likely to
+share. Runs of that order are the shards. The runs are cut at bounds taken from the sample, and
+a run that is too long is cut again, so a shard is bounded, whatever the table's size, and so
+are copies of one text. Neither the order nor the bounds depend on how the input is split.
+
+Each shard has a BM25 inverted index of its tails. The first unused tail is the seed of a
+window; the index returns its unused neighbours, best first, which fill the window; the last
+one is cut where the window ends and its rest stays unused. When no neighbour is left, the next
+unused tails follow. What is left of a shard at the end fills windows of powers of two, which
+need no padding.
+
+Texts are encoded once and their ids written; tails are shuffled once.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +28,88 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, small_batches
+from .common import partitions, pieces, small_batches, written
 from .tokens import encoder
 
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+DIMENSIONS, CENTRES, SAMPLE, PARTS = 512, 128, 8192, 1024
+
+
+def _mixed(terms: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each term."""
+    h = (terms.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+class Deal:
+    """Gives each token list its key in an order where like lists lie together, and its run of that order.
+
+    `df` has the number of lists that hold each term, `sample` the lists, with a hash of each,
+    from which centres and bounds are taken.
+    """
+
+    def __init__(self, df: np.ndarray, rows: int, mean: float, sample: list[tuple[np.ndarray, int]], parts: int):
+        self.mean = max(mean, 1e-9)
+        self.idf = np.log1p((rows - df + 0.5) / (df + 0.5)).astype(np.float32)
+        hashes = _mixed(np.arange(len(df)))
+        self.bucket = (hashes >> np.uint64(55)).astype(np.int64) % DIMENSIONS
+        self.sign = np.where(hashes >> np.uint64(54) & np.uint64(1), 1, -1).astype(np.float32)
+        # The least of these among a list's terms is a draw weighted by idf; a term of one list is never drawn.
+        draw = (_mixed(hashes) >> np.uint64(11)).astype(float) / 2**53
+        self.rank = np.argsort(np.argsort(np.where(df > 1, -np.log(draw + 1e-300) / np.maximum(self.idf, 1e-9), np.inf), kind="stable"))
+        self.centres = np.zeros((1, DIMENSIONS), np.float32)
+        self.bounds: list[tuple[int, int]] = []
+        if parts > 1 and sample:
+            sample = sorted(sample, key=lambda x: (x[1], x[0].tobytes()))
+            lists = [x[0] for x in sample]
+            self.centres = self._centres(self.vectors(lists))
+            keys = sorted(zip(self.keys(lists), (x[1] for x in sample)))
+            self.bounds = sorted({keys[len(keys) * i // parts] for i in range(1, parts)})
+
+    def vectors(self, lists: list[np.ndarray]) -> np.ndarray:
+        """The BM25 weights of each list, hashed, at length one."""
+        grams = [np.unique(x, return_counts=True) for x in lists]
+        term = np.concatenate([g[0] for g in grams])
+        owner = np.repeat(np.arange(len(lists)), [len(g[0]) for g in grams])
+        times = np.concatenate([g[1] for g in grams]).astype(float)
+        norm = K1 * (1 - B + B * np.array([len(x) for x in lists]) / self.mean)
+        weight = self.idf[term] * times * (K1 + 1) / (times + norm[owner]) * self.sign[term]
+        made = np.bincount(owner * DIMENSIONS + self.bucket[term], weight, len(lists) * DIMENSIONS).reshape(len(lists), DIMENSIONS)
+        return (made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+    def _centres(self, vectors: np.ndarray) -> np.ndarray:
+        """Centres of `vectors` by spherical k-means, those of like place next to each other."""
+        rng = np.random.default_rng(1)
+        made = vectors[rng.choice(len(vectors), min(CENTRES, -(-len(vectors) // 16)), False)]
+        for _ in range(8):
+            nearest = (vectors @ made.T).argmax(1)
+            sums = np.stack([vectors[nearest == j].sum(0) if (nearest == j).any() else c for j, c in enumerate(made)])
+            made = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+
+        def halved(at: np.ndarray) -> list[int]:
+            if len(at) < 2:
+                return at.tolist()
+            own = made[at] - made[at].mean(0)
+            at = at[np.argsort(own @ np.linalg.svd(own, full_matrices=False)[2][0], kind="stable")]
+            return halved(at[: len(at) // 2]) + halved(at[len(at) // 2 :])
+
+        return made[halved(np.arange(len(made)))]
+
+    def keys(self, lists: list[np.ndarray]) -> list[int]:
+        """Nearest centre, second nearest, and a term, as one number."""
+        score = self.vectors(lists) @ self.centres.T
+        rows = np.arange(len(lists))
+        first = score.argmax(1)
+        score[rows, first] = -np.inf
+        term = np.array([self.rank[x].min() for x in lists], np.int64)
+        return (first.astype(np.int64) << 48 | score.argmax(1).astype(np.int64) << 40 | term).tolist()
+
+    def part(self, key: int, salt: int) -> int:
+        return bisect_right(self.bounds, (key, salt))
 
 
 class Bm25:
@@ -114,50 +198,107 @@ def pack(
     `ids` are the piece's token ids as little-endian unsigned 32-bit integers. Each row of
     `docs` is a document of its own, also where ids are null or repeated. A null text is
     empty and holds its end id only. Every id of every document lies in exactly one piece.
+    A shard has about `shard_rows` tails, and under twice as many.
     `terms` of a seed, those rarest in its shard, are looked up.
     """
 
-    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, serial = TaskContext.get().partitionId() << 40, 0
+    def batch(rows: list[tuple], kinds: list = KINDS, names: list[str] = NAMES) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[] for _ in names]
+        found = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+        rows.clear()
+        return found
+
+    def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Full windows, which have an offset, and tails, which have none yet; even sequence ids."""
+        serial = TaskContext.get().partitionId() << 40
         end = np.array([end_id], "<u4").tobytes()
-        tails: list[tuple] = []
         rows: list[tuple] = []
+        for part in pieces(stream):
+            blobs = encoder(tokenizer, joins_space).encode(part.column("text").to_pylist())
+            for doc, blob in zip(part.column("doc_id").to_pylist(), blobs):
+                blob += end
+                total = len(blob) // 4
+                for start in range(0, total, window):
+                    n = min(window, total - start)
+                    rows.append((doc, start, n, blob[4 * start : 4 * (start + n)], total, serial, 0 if n == window else None))
+                    serial += 2
+                if len(rows) >= 4096:
+                    yield batch(rows)
+        yield batch(rows)
+
+    def lists(part: pa.RecordBatch) -> list[np.ndarray]:
+        return [np.frombuffer(x, "<u4") for x in part.column("ids").to_pylist()]
 
-        def batch() -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-            columns = zip(*rows) if rows else [[] for _ in names]
-            found = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
-            rows.clear()
-            return found
+    def frequencies(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(term, n): how many tails hold a term; under -1 the number of tails, under -2 that of their ids."""
+        found, seen, size = np.zeros(0, np.int64), 0, 0
+        for part in stream:
+            own = lists(part)
+            if not own:
+                continue
+            seen, size = seen + len(own), size + sum(map(len, own))
+            more = np.bincount(np.concatenate([np.unique(x) for x in own]).astype(np.int64), minlength=len(found))
+            more[: len(found)] += found
+            found = more
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *at.tolist()], pa.int64()), pa.array([seen, size, *found[at].tolist()], pa.int64())], ["term", "n"])
 
-        def settle() -> None:
+    held = written(
+        small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, SCHEMA), "pieces"
+    )
+    tails = held.where("offset is null")
+    counts = {r.term: r.n for r in tails.select("ids").mapInArrow(frequencies, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    count, size = counts.pop(-1, 0), counts.pop(-2, 0)
+    df = np.zeros(max(counts, default=0) + 1, np.int64)
+    df[list(counts)] = list(counts.values())
+    parts = min(PARTS, -(-count // shard_rows))
+    salt = F.xxhash64("doc_id", "ids")
+    sample = []
+    if parts > 1:
+        some = tails.where(F.pmod(F.xxhash64("ids", "doc_id"), F.lit(1 << 30)) < int(min(1, SAMPLE / count) * (1 << 30)))
+        sample = [(np.frombuffer(r.ids, "<u4"), r.salt) for r in some.select("ids", salt.alias("salt")).limit(2 * SAMPLE).collect()]
+    deal = Deal(df, count, size / max(count, 1), sample, parts)
+
+    def place(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in stream:
+            if part.num_rows:
+                keys = deal.keys(lists(part))
+                runs = [deal.part(*x) for x in zip(keys, part.column("salt").to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.int64()), pa.array(runs, pa.int64())], [*part.schema.names, "key", "part"])
+
+    def settle(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows of runs that follow each other; odd sequence ids."""
+        tails: list[tuple] = []
+        rows: list[tuple] = []
+        run, serial = None, 0
+
+        def shard(size: int) -> None:
             nonlocal serial
-            for row in fill([t[3] for t in tails], window, terms):
+            own = tails[:size]
+            for row in fill([t[3] for t in own], window, terms):
                 offset = 0
                 for item, start, n in row:
-                    doc, begin, total, ids = tails[item]
-                    rows.append((doc, begin + start, n, ids[start : start + n].tobytes(), total, base + serial, offset))
+                    doc, begin, total, ids = own[item]
+                    rows.append((doc, begin + start, n, ids[start : start + n].tobytes(), total, (run << 40) + serial, offset))
                     offset += n
-                serial += 1
-            tails.clear()
+                serial += 2
+            del tails[:size]
 
-        for part in pieces(stream):
-            blobs = encoder(tokenizer, joins_space).encode(part.column("text").to_pylist())
-            for doc, blob in zip(part.column("doc_id").to_pylist(), blobs):
-                ids = np.frombuffer(blob + end, "<u4")
-                whole = len(ids) // window * window
-                for start in range(0, whole, window):
-                    rows.append((doc, start, window, ids[start : start + window].tobytes(), len(ids), base + serial, 0))
-                    serial += 1
-                if whole < len(ids):
-                    tails.append((doc, whole, len(ids), ids[whole:]))
-                if len(tails) >= shard_rows:
-                    settle()
+        for part in stream:
+            columns = (part.column(x).to_pylist() for x in ("part", "doc_id", "start", "doc_tokens"))
+            for now, doc, start, total, ids in zip(*columns, lists(part)):
+                if now != run:
+                    shard(len(tails))
+                    run, serial = now, 1
+                tails.append((doc, start, total, ids))
+                if len(tails) >= 2 * shard_rows:
+                    shard(shard_rows)
                 if len(rows) >= 4096:
-                    yield batch()
-        settle()
-        yield batch()
+                    yield batch(rows)
+        shard(len(tails))
+        yield batch(rows)
 
-    own = small_batches(docs).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(run, SCHEMA)
+    kept = "doc_id long, start long, doc_tokens long, ids binary, sequence_id long, salt long"
+    dealt = tails.select("doc_id", "start", "doc_tokens", "ids", "sequence_id", salt.alias("salt")).mapInArrow(place, f"{kept}, key long, part long")
+    dealt = dealt.repartition(partitions(docs.sparkSession), "part").sortWithinPartitions("part", "key", "salt", "sequence_id")
+    return held.where("offset is not null").unionAll(dealt.mapInArrow(settle, SCHEMA))

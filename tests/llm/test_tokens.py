@@ -100,6 +100,36 @@ def test_packing_query(spark, folder):
     assert sequences(op10_packing(spark, folder).collect()) == 0
 
 
+def scattered():
+    """Texts of twelve topics, those of a topic as far apart as can be."""
+    rng = random.Random(3)
+    words = [["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60)] for _ in range(12)]
+    return [(i, " ".join(rng.choice(words[i % 12]) for _ in range(60))) for i in range(600)]
+
+
+def windows(rows):
+    made = {}
+    for r in rows:
+        made.setdefault(r.sequence_id, []).append((r.offset, r.doc_id, r.start, r.length))
+    return [sorted(x) for x in made.values()]
+
+
+def test_related_texts_meet_wherever_they_lie(spark, frame):
+    docs = frame(scattered()).repartitionByRange(12, "doc_id")
+    packed = packing.pack(docs, tokenizer("byte_bpe_50k.json"), 0, shard_rows=40).collect()
+    assert sequences(packed) == 0
+    shared = [len({doc % 12 for _, doc, _, _ in x}) for x in windows(packed) if len(x) > 2]
+    assert np.mean(shared) < 2  # a window of near rows would have as many topics as texts
+
+
+def test_packing_does_not_depend_on_splits(frame):
+    made = [
+        sorted(windows(packing.pack(frame(scattered()).repartition(n), tokenizer("byte_bpe_50k.json"), 0, shard_rows=100).collect()))
+        for n in (2, 7)
+    ]
+    assert made[0] == made[1]
+
+
 def test_windows_prefer_neighbours():
     rng = np.random.default_rng(1)
     topics = [rng.integers(1000 * k, 1000 * k + 300, (12, 100)).astype(np.uint32) for k in range(5)]
