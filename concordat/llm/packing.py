@@ -113,9 +113,12 @@ class Deal:
 
 
 class Bm25:
-    """An inverted index of token lists, with the BM25 weight of each posting."""
+    """An inverted index of token lists, with the BM25 weight of each posting.
 
-    def __init__(self, lists: list[np.ndarray], terms: int):
+    `terms`, where given, bounds the terms of a seed that are looked up, rarest of the shared first.
+    """
+
+    def __init__(self, lists: list[np.ndarray], terms: int | None = None):
         self.terms = terms
         sizes = np.array([len(x) for x in lists], float)
         grams = [np.unique(x, return_counts=True) for x in lists]
@@ -133,16 +136,19 @@ class Bm25:
         self.place = place
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
-        """Unused documents that share one of the seed's rarest terms, best score first, then by position.
+        """Unused documents that share a term with the seed, best full BM25 score first, then by position.
 
         A window takes a few of them, so those after the best are sorted when they are asked for.
         """
         own = self.place[self.starts[seed] : self.starts[seed + 1]]
-        if len(own) > self.terms:
+        own = own[self.ends[own + 1] - self.ends[own] > 1]  # a term of the seed alone finds nothing
+        if self.terms is not None and len(own) > self.terms:
             own = own[np.argsort(-self.idf[own], kind="stable")[: self.terms]]
-        score = np.zeros(len(unused), np.float32)
-        for t in own:
-            score[self.owner[self.ends[t] : self.ends[t + 1]]] += self.weight[self.ends[t] : self.ends[t + 1]]
+        if not len(own):
+            return
+        spans = [slice(a, b) for a, b in zip(self.ends[own].tolist(), self.ends[own + 1].tolist())]
+        owner, weight = (np.concatenate([x[span] for span in spans]) for x in (self.owner, self.weight))
+        score = np.bincount(owner, weight, len(unused))
         found = np.flatnonzero((score > 0) & unused)
         if len(found) > 64:
             own = score[found]
@@ -152,7 +158,7 @@ class Bm25:
         yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
-def fill(tails: list[np.ndarray], window: int, terms: int = 24) -> list[list[tuple[int, int, int]]]:
+def fill(tails: list[np.ndarray], window: int, terms: int | None = None) -> list[list[tuple[int, int, int]]]:
     """Windows over `tails` as lists of (tail, start in it, length); each position is used once.
 
     All windows are full but for those at the end, whose lengths are distinct powers of two.
@@ -190,7 +196,7 @@ def fill(tails: list[np.ndarray], window: int, terms: int = 24) -> list[list[tup
 
 
 def pack(
-    docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard_rows: int = 2048, terms: int = 24,
+    docs: DataFrame, tokenizer: str, end_id: int, window: int = 1024, shard_rows: int = 2048, terms: int | None = None,
     joins_space: bool = True, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids, doc_tokens, sequence_id, offset).
@@ -199,7 +205,7 @@ def pack(
     `docs` is a document of its own, also where ids are null or repeated. A null text is
     empty and holds its end id only. Every id of every document lies in exactly one piece.
     A shard has about `shard_rows` tails, and under twice as many.
-    `terms` of a seed, those rarest in its shard, are looked up.
+    All terms of a seed are looked up, or the `terms` rarest that it shares within its shard.
     """
 
     def batch(rows: list[tuple], kinds: list = KINDS, names: list[str] = NAMES) -> pa.RecordBatch:

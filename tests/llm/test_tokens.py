@@ -153,3 +153,24 @@ def test_bm25_against_plain_scores():
     unused[4] = False
     got = list(index.neighbours(4, unused))
     assert np.allclose(score[got], sorted(score[unused & (score > 0)], reverse=True), rtol=1e-4)
+
+
+def test_terms_of_one_text_hide_no_neighbour():
+    own = [np.arange(1000 * k, 1000 * k + 40) for k in range(1, 5)]  # forty terms that no other text has
+    common = [np.arange(5), np.arange(5), np.arange(100, 105), np.arange(100, 105)]
+    tails = [np.concatenate(x).astype(np.uint32) for x in zip(own, common)]
+    for order in ([0, 2, 1, 3], [0, 3, 2, 1]):
+        pairs = packing.fill([tails[i] for i in order], 90)
+        assert [{order[item] // 2 for item, _, _ in row} for row in pairs] in ([{0}, {1}], [{1}, {0}])
+
+
+def test_every_term_of_a_seed_counts():
+    rng = np.random.default_rng(4)
+    rare = [np.arange(30) + 30 * k for k in range(20)]
+    seed = np.arange(600, 900)
+    some = [np.concatenate([seed[10 * k : 10 * k + 3], rare[k]]) for k in range(20)]
+    best = np.concatenate([seed[150:], rng.integers(2000, 3000, 20)])  # shares many terms, none of them rarest
+    others = [np.concatenate([seed[150:200], rng.integers(3000, 9000, 300)]) for _ in range(20)]
+    lists = [x.astype(np.uint32) for x in [seed, *some, *others, best]]
+    windows = packing.fill(lists, 450)
+    assert [item for item, _, _ in windows[0]][:2] == [0, len(lists) - 1]
