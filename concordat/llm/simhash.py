@@ -10,7 +10,8 @@ smallest. That costs 65 rows a member, whatever the group's size, and loses no c
 
 `similar_rows` is for a similarity of word shingles, which 64 bits are too few to tell. Its
 fingerprints are long: as many blocks as a pair of that similarity needs to agree on one of
-them nearly surely, each wide enough that unrelated texts seldom do.
+them nearly surely, each wide enough that unrelated texts seldom do. Their Hamming distance only
+sorts out pairs that are surely alike or surely not; between, the sets of shingles are compared.
 
 Equal fingerprints are one node from the start, so copies never form pairs.
 """
@@ -150,7 +151,7 @@ def _long_print(shingle: int, width: int, blocks: int):
     def print_(text: pd.Series) -> pd.DataFrame:
         rows = []
         for t in text:
-            bits = majority_bits(shingle_hashes(t, shingle), lanes)
+            bits = majority_bits(np.unique(shingle_hashes(t, shingle)), lanes)
             packed = np.packbits(bits).tobytes()
             own = bits[: width * blocks].reshape(blocks, width) @ weights
             rows.append((hashlib.md5(packed).digest(), int.from_bytes(packed[:8], "big", signed=True), own.astype(np.int32)))
@@ -159,16 +160,26 @@ def _long_print(shingle: int, width: int, blocks: int):
     return print_
 
 
+def _shingle_set(shingle: int):
+    @F.pandas_udf("array<long>")
+    def set_(text: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in text])
+
+    return set_
+
+
 def similar_rows(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.98, slack: float = 0.015,
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.98,
     group_rows: int = 64, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """The rows of `docs` without near copies: of each group of texts linked by the similarity, one row.
 
     The kept row is the one of the smallest id, a null id last. `recall` is the chance that a
-    pair of just that similarity shares a block; `slack` the similarity below it at which the
-    verified distance still links. Block width follows the logarithm of the row count, block
-    number the recall. In a block that more than `group_rows` texts share, each is compared
+    pair of just that similarity shares a block. Block width follows the logarithm of the row
+    count, block number the recall; neither decides on a pair that is compared: it is linked if
+    the Jaccard similarity of its shingle sets is `similarity` or more. Only where the distance
+    is six standard deviations below that of such a pair is it linked unread, and where it is
+    four above, left. In a block that more than `group_rows` texts share, each is compared
     with the text nearest to the group's majority, which for copies of one original is the
     original or the copy closest to it; those that no comparison links are then compared with
     all of the group. Texts without words are equal to each other. Columns stay as they are.
@@ -176,14 +187,19 @@ def similar_rows(
     width = min(28, max(12, math.ceil(math.log2(max(2, docs.count())))))
     agree = (1 - differing(similarity)) ** width
     blocks = math.ceil(math.log(1 - recall) / math.log(1 - agree))
-    limit = int(differing(similarity - slack) * width * blocks)
+    bits, edge = width * blocks, differing(similarity)
+    spread = lambda p: math.sqrt(p * (1 - p) / bits)
+    sure = int((edge - 6 * spread(edge)) * bits)
+    most = max(edge, 3 / 16)  # sets of four and five differ in so many bits, larger ones of 0.8 in fewer
+    limit = int((most + 4 * spread(most)) * bits)
     head_limit = 22  # of 64 bits: far above what such pairs differ in, far below what unrelated texts do
 
     uid, mark = free_name(docs, "row_number"), free_name(docs, "long_print")
     held = written(small_batches(docs).withColumn(uid, F.monotonically_increasing_id()).withColumn(mark, _long_print(shingle, width, blocks)(F.col(text))), "held")
     rows = held.select(F.col(uid).alias("uid"), F.col(doc_id).alias("id"), F.col(f"{mark}.node").alias("node"))
     prints = written(
-        held.select(f"{mark}.*").groupBy("node").agg(F.first("head").alias("head"), F.first("blocks").alias("blocks")), "long-prints"
+        held.select(F.col(uid).alias("uid"), f"{mark}.*").groupBy("node").agg(F.first("head").alias("head"), F.first("blocks").alias("blocks"), F.min("uid").alias("uid")),
+        "long-prints",
     )
     keyed = prints.select("node", "head", F.posexplode("blocks").alias("c", "v"))
     sizes = keyed.groupBy("c", "v").agg(F.count("*").alias("n")).where("n > 1")
@@ -200,7 +216,17 @@ def similar_rows(
     def verified(pairs: DataFrame) -> DataFrame:
         left, right = (prints.select(F.col("node").alias(n), F.col("blocks").alias(f"{n}_blocks")) for n in ("a", "b"))
         apart = F.aggregate(F.zip_with("a_blocks", "b_blocks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        return pairs.distinct().join(left, "a").join(right, "b").where(apart <= limit).select("a", "b")
+        met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"))
+        met = written(met.where(F.col("apart") <= limit), "near")
+        open_ = met.where(F.col("apart") > sure).select("a", "b")
+        ends = open_.select(F.col("a").alias("node")).unionAll(open_.select("b")).distinct()
+        texts = held.select(F.col(uid).alias("uid"), F.col(text).alias("text"))
+        read = prints.join(ends, "node", "left_semi").select("node", "uid").join(texts, "uid")
+        sets = written(read.select("node", _shingle_set(shingle)("text").alias("s")), "sets")
+        left, right = (sets.select(F.col("node").alias(n), F.col("s").alias(f"{n}_set")) for n in ("a", "b"))
+        both = F.size(F.array_intersect("a_set", "b_set"))
+        alike = both * (1 + similarity) >= (F.size("a_set") + F.size("b_set")) * similarity - 1e-6
+        return met.where(F.col("apart") <= sure).select("a", "b").unionAll(open_.join(left, "a").join(right, "b").where(alike).select("a", "b"))
 
     few, many = shared.where(F.col("n") <= group_rows), shared.where(F.col("n") > group_rows)
     ones = [F.sum(F.shiftrightunsigned("head", i).bitwiseAND(F.lit(1))).alias(f"s{i}") for i in range(64)]

@@ -113,6 +113,25 @@ def test_near_copies_go_and_others_stay(frame):
     assert sorted(kept) == [*range(40), *range(4000, 4005)]
 
 
+def test_pairs_at_the_similarity_are_judged_exactly(frame):
+    rng = random.Random(6)
+    rows = []
+    for i in range(120):  # one run of new words at the end: 400 shingles, of which all but n are shared
+        words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(404)]
+        n = 42 if i % 2 else 49  # similarities of 0.810 and 0.782
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(words[: 404 - n] + [f"{w}x" for w in words[404 - n :]]))]
+    kept = {r.doc_id for r in simhash.similar_rows(frame(rows)).collect()}
+    assert all(1000 + i in kept for i in range(0, 120, 2))
+    assert sum(1000 + i in kept for i in range(1, 120, 2)) <= 4  # blocks find 98 %
+
+
+def test_a_repeated_line_does_not_outweigh_the_rest(frame):
+    rng = random.Random(7)
+    texts = [" ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(40)) for _ in range(2)]
+    rows = [(i, "one line comes again and again " * 60 + t) for i, t in enumerate(texts)]
+    assert {r.doc_id for r in simhash.similar_rows(frame(rows)).collect()} == {0, 1}
+
+
 def test_bits_in_which_alike_sets_differ():
     rng = np.random.default_rng(1)
     shared, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (8000, 1000, 1000))
