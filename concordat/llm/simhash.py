@@ -181,8 +181,8 @@ def similar_rows(
     is six standard deviations below that of such a pair is it linked unread, and where it is
     four above, left. In a block that more than `group_rows` texts share, each is compared
     with the text nearest to the group's majority, which for copies of one original is the
-    original or the copy closest to it; those that no comparison links are then compared with
-    all of the group. Texts without words are equal to each other. Columns stay as they are.
+    original or the copy closest to it; then all pairs of the block that are in different
+    components so far are compared, so that only pairs already connected are left out. Texts without words are equal to each other. Columns stay as they are.
     """
     width = min(28, max(12, math.ceil(math.log2(max(2, docs.count())))))
     agree = (1 - differing(similarity)) ** width
@@ -240,9 +240,18 @@ def similar_rows(
     hubs = many.join(middle, ["c", "v"]).groupBy("c", "v").agg(F.min(F.struct(gap.alias("gap"), "node", "head")).alias("hub"))
     hubs = hubs.select("c", "v", "hub.node", "hub.head")
     links = written(verified(against(few, few, True).unionAll(against(many, hubs, False))), "links")
-    linked = links.select(F.col("a").alias("node")).unionAll(links.select("b")).distinct()
-    rest = many.join(linked, "node", "left_anti")
-    links = links.unionAll(verified(against(rest, many, False)))
+    groups = written(connected(links, "a", "b"), "groups")
+
+    def in_group(frame: DataFrame) -> DataFrame:
+        return frame.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    # All pairs of hot blocks that are not connected yet: one of the two is not in the hub's component.
+    placed = written(in_group(many.select("c", "v", "node", "head")), "placed")
+    centre = in_group(hubs).select("c", "v", F.col("component").alias("hub"))
+    strange = placed.join(centre, ["c", "v"]).where("component <> hub").select("c", "v", F.col("node").alias("a"), F.col("head"), F.col("component").alias("own"))
+    met = strange.join(placed.select("c", "v", F.col("node").alias("b"), F.col("head").alias("other"), "component"), ["c", "v"])
+    met = met.where((F.col("own") != F.col("component")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = links.unionAll(verified(met))
 
     groups = connected(links, "a", "b")
     placed = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

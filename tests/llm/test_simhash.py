@@ -132,6 +132,22 @@ def test_a_repeated_line_does_not_outweigh_the_rest(frame):
     assert {r.doc_id for r in simhash.similar_rows(frame(rows)).collect()} == {0, 1}
 
 
+def test_groups_that_meet_in_hot_blocks_only(frame):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(404)]
+
+    def changed(words, at, n, mark):
+        return words[:at] + [f"{mark}z{j}" for j in range(n)] + words[at + n :]
+
+    rows = []
+    for m in range(60):  # two pairs of near twins, 0.85 alike, among texts that are 0.6 alike
+        own = changed(base, rng.randrange(150), 36, f"m{m}")
+        for i, words in enumerate((changed(own, rng.randrange(200, 280), 12, f"p{m}"), changed(own, rng.randrange(300, 380), 12, f"q{m}"))):
+            rows += [(10 * m + 2 * i, " ".join(words)), (10 * m + 2 * i + 1, " ".join([*words[:-1], f"end{m}"]))]
+    kept = sorted(r.doc_id for r in simhash.similar_rows(frame(rows), group_rows=2).collect())
+    assert set(kept) >= {10 * m for m in range(60)} and len(kept) <= 62  # blocks find over 98 %
+
+
 def test_bits_in_which_alike_sets_differ():
     rng = np.random.default_rng(1)
     shared, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (8000, 1000, 1000))
