@@ -114,7 +114,11 @@ def print_links(prints: DataFrame, max_distance: int = 2, blocks: int = 4, group
     flips = [F.col("f")] + [F.col("f").bitwiseXOR(F.lit((1 << i) - (1 << 64 if i == 63 else 0))) for i in range(64)]
     many = shared.where(F.col("n") > group_rows).select("f").distinct()
     met = many.select("f", F.explode(F.array(*flips)).alias("place")).groupBy("place").agg(F.array_sort(F.collect_set("f")).alias("s"))
-    met = met.where("size(s) > 1").select(F.element_at("s", 1).alias("a"), F.explode(F.slice("s", 2, 65)).alias("b"))
+    if max_distance == 1:  # two members of a place may be at two; the place itself, where it is one, is at one from each
+        met = met.where(F.array_contains("s", F.col("place"))).select("place", F.explode("s").alias("b")).where("place <> b")
+        met = met.select(F.least("place", "b").alias("a"), F.greatest("place", "b").alias("b"))
+    else:
+        met = met.where("size(s) > 1").select(F.element_at("s", 1).alias("a"), F.explode(F.slice("s", 2, 65)).alias("b"))
     return pairs.unionAll(met.where(near)).distinct()
 
 

@@ -74,6 +74,12 @@ def test_crowded_keys_lose_no_link(spark):
         assert {f: byte[root(f)] for (f,) in signed} == plain
 
 
+def test_links_at_distance_one_in_crowded_keys(spark):
+    prints = [*range(16), 1 << 40, 3 << 40]
+    links = {tuple(r) for r in simhash.print_links(spark.createDataFrame([(p,) for p in prints], "f long"), max_distance=1, group_rows=1).collect()}
+    assert links == {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() == 1}
+
+
 def test_empty_table(frame):
     assert simhash.near_groups(frame([])).collect() == []
     assert simhash.similar_rows(frame([])).collect() == []
