@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, kneser_ney, mixing, packing, quality, simhash, token_files, topk, toxicity, urls
+from . import (
+    chat, kneser_ney, mixing, packing, periods, quality, resampling, simhash, token_files, topk, toxicity, transducer, urls,
+)
 from .common import scratch, small_batches, written
 
 # Fixed values of the contracts.
@@ -93,9 +95,26 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_periods(spark: SparkSession, folder: str) -> DataFrame:
+    return periods.run_digests(periods.collapse_runs(table(spark, folder, "documents"), rewrite=periods.repeat_tail))
+
+
+def op13_transducer(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    coded = transducer.decode(transducer.encode(table(spark, folder, "documents"), path), path)
+    decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", "n_tokens", F.sha2(decimal, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_simhash, op2_quality, op3_urls, op4_mixing, op5_topk, op6_chat, op7_tokens, op8_scores, op9_toxicity, op10_packing,
+        op11_resampling, op12_periods, op13_transducer,
     )
 }
