@@ -1,79 +1,122 @@
-"""Where two JSON documents disagree, by JSON pointer."""
+"""Where two JSON documents disagree, by JSON pointer.
+
+Documents are variants, compared level by level: what is alike so far is taken apart one level
+further, in the row it stands in, so documents are shuffled once, to meet each other, and what lies
+beneath a disagreement is never looked at. There are as many levels as documents are deep.
+"""
 
 from __future__ import annotations
 
-import json
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-FINDINGS = T.ArrayType(
-    T.StructType([T.StructField(n, T.StringType()) for n in ("pointer", "finding", "expected", "actual")])
-)
-# Names of JSON kinds; whole and broken numbers are one kind.
-KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "number", float: "number"}
-
-
-def _nodes(text: str) -> dict[tuple[str, ...], tuple[str, object]]:
-    """Every node of a document by its path: its kind, and its value or a list's length."""
-    found, waiting = {}, [((), json.loads(text))]
-    while waiting:
-        path, node = waiting.pop()
-        kind = KINDS.get(type(node), "null")
-        if kind == "object":
-            waiting += [((*path, k), v) for k, v in node.items()]
-            found[path] = (kind, None)
-        elif kind == "array":
-            waiting += [((*path, str(i)), v) for i, v in enumerate(node)]
-            found[path] = (kind, len(node))
-        else:
-            found[path] = (kind, node)
-    return found
-
-
-def _disagreements(expected: str | None, actual: str | None) -> list[tuple]:
-    """Topmost nodes at which two documents differ, in path order.
-
-    A path sorts right before the paths beneath it, so whatever follows a disagreement and
-    starts with its path is beneath it and is passed over.
-    """
-    left = _nodes(expected) if expected is not None else {}
-    right = _nodes(actual) if actual is not None else {}
-    found, top = [], None
-    for path in sorted(left.keys() | right.keys()):
-        if top is not None and path[: len(top)] == top:
-            continue
-        a, b = left.get(path), right.get(path)
-        if a == b:
-            continue
-        if a is None or b is None:
-            finding = "unexpected" if a is None else "absent"
-        elif a[0] != b[0]:
-            finding = "kind"
-        else:
-            finding = "length" if a[0] == "array" else "value"
-        shown = [
-            None if n is None else (json.dumps(n[1], ensure_ascii=False) if finding in ("length", "value") else n[0])
-            for n in (a, b)
-        ]
-        found.append(("/" + "/".join(path), finding, *shown))
-        top = path
-    return found
-
-
-@F.pandas_udf(FINDINGS)
-def disagreements(expected: pd.Series, actual: pd.Series) -> pd.Series:
-    return pd.Series([_disagreements(e, a) for e, a in zip(expected, actual)])
+
+from ..session import staged
+
+
+def _kind(node: Column) -> Column:
+    """The JSON kind of a variant; whole and broken numbers are one kind."""
+    said = F.schema_of_variant(node)
+    return (
+        F.when(said.startswith("OBJECT"), "object").when(said.startswith("ARRAY"), "array").when(said == "STRING", "string")
+        .when(said == "BOOLEAN", "boolean").when(said == "VOID", "null").otherwise("number")
+    )
+
+
+def _items(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "array<variant>")
+
+
+def _members(node: Column) -> Column:
+    return F.try_variant_get(node, "$", "map<string,variant>")
+
+
+def _same_value(a: Column, b: Column) -> Column:
+    """Equal scalars; numbers are equal if their values are, whichever way they are written."""
+    number = F.try_variant_get(a, "$", "double") == F.try_variant_get(b, "$", "double")
+    whole = F.schema_of_variant(a).isin("BIGINT") & F.schema_of_variant(b).isin("BIGINT")
+    return (F.to_json(a) == F.to_json(b)) | F.coalesce((F.col("kind_a") == "number") & ~whole & number, F.lit(False))
+
+
+def _judged(pairs: DataFrame) -> DataFrame:
+    """`pairs` with the kinds of both nodes, their lengths, and what they disagree on."""
+    a, b = F.col("a"), F.col("b")
+    told = pairs.withColumns(
+        {
+            "kind_a": F.when(F.col("bad_a"), "unreadable").otherwise(F.when(F.col("has_a"), _kind(a))),
+            "kind_b": F.when(F.col("bad_b"), "unreadable").otherwise(F.when(F.col("has_b"), _kind(b))),
+        }
+    )
+    told = told.withColumns(
+        {s: F.when(F.col(f"kind_{x}") == "array", F.size(_items(v))) for s, x, v in (("size_a", "a", a), ("size_b", "b", b))}
+    )
+    alike = F.col("kind_a")
+    finding = (
+        F.when(F.col("bad_a") | F.col("bad_b"), "unreadable")
+        .when(~F.col("has_a"), "unexpected")
+        .when(~F.col("has_b"), "absent")
+        .when(alike != F.col("kind_b"), "kind")
+        .when((alike == "array") & (F.col("size_a") != F.col("size_b")), "length")
+        .when(~alike.isin("array", "object") & ~_same_value(a, b), "value")
+    )
+    return told.withColumn("finding", finding)
+
+
+def _shown(side: str) -> Column:
+    """A node as a finding shows it: its length, its value, or its kind."""
+    found, size = F.col("finding"), F.col(f"size_{side}").cast("string")
+    return F.when(found == "length", size).when(found == "value", F.to_json(F.col(side))).otherwise(F.col(f"kind_{side}"))
+
+
+def _beneath(judged: DataFrame, key: str) -> DataFrame:
+    """The children of nodes that are alike, each with its counterpart."""
+    step = F.replace(F.replace(F.col("child"), F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+    names = F.when(
+        F.col("kind_a") == "object", F.array_union(F.map_keys(_members(F.col("a"))), F.map_keys(_members(F.col("b"))))
+    ).otherwise(F.transform(F.sequence(F.lit(0), F.col("size_a") - 1), lambda i: i.cast("string")))
+    inner = judged.where(
+        F.col("finding").isNull() & ((F.col("kind_a") == "object") | ((F.col("kind_a") == "array") & (F.col("size_a") > 0)))
+    )
+    taken = inner.select(key, "pointer", "kind_a", "a", "b", F.explode(names).alias("child"))
+    place = F.when(F.col("kind_a") == "array", F.col("child")).cast("int")
+
+    def child(side: str) -> Column:
+        return F.when(F.col("kind_a") == "array", F.get(_items(F.col(side)), place)).otherwise(
+            F.try_element_at(_members(F.col(side)), F.col("child"))
+        )
+
+    def there(side: str) -> Column:
+        return (F.col("kind_a") == "array") | F.map_contains_key(_members(F.col(side)), F.col("child"))
+
+    return taken.select(
+        key, F.concat("pointer", F.lit("/"), step).alias("pointer"), child("a").alias("a"), child("b").alias("b"),
+        there("a").alias("has_a"), there("b").alias("has_b"), F.lit(False).alias("bad_a"), F.lit(False).alias("bad_b"),
+    )
 
 
 def document_diff(expected: DataFrame, actual: DataFrame, key: str, column: str) -> DataFrame:
     """One row per topmost node at which two documents with the same key disagree.
 
     Lists of unlike length and nodes of unlike kind are one disagreement each; what lies
-    beneath them is not compared. Only whole documents are shuffled, once.
+    beneath them is not compared. A text that is no JSON, or names a member twice, is a finding at the
+    root, never an error; a document without a counterpart is absent or unexpected whole. Pointers escape `~` and `/`
+    as the standard says; the root is `/`.
     """
     e = expected.select(key, F.col(column).alias("e"))
-    a = actual.select(key, F.col(column).alias("a"))
-    return e.join(a, key, "full").select(key, F.inline(disagreements("e", "a")))
+    a = actual.select(key, F.col(column).alias("o"))
+    met = e.join(a, key, "full").select(key, F.lit("").alias("pointer"), "e", "o")
+    pairs = met.select(key, "pointer", F.try_parse_json("e").alias("a"), F.try_parse_json("o").alias("b"), "e", "o").select(
+        key, "pointer", "a", "b", F.col("e").isNotNull().alias("has_a"), F.col("o").isNotNull().alias("has_b"),
+        (F.col("e").isNotNull() & F.col("a").isNull()).alias("bad_a"), (F.col("o").isNotNull() & F.col("b").isNull()).alias("bad_b"),
+    ).where("has_a or has_b")
+    level, found = staged(pairs, "documents"), []
+    while not level.isEmpty():
+        judged = _judged(level)
+        found.append(judged.where("finding is not null"))
+        level = staged(_beneath(judged, key), "documents")
+    told = found or [_judged(level).where("finding is not null")]
+    return reduce(DataFrame.unionByName, told).select(
+        key, F.when(F.col("pointer") == "", "/").otherwise(F.col("pointer")).alias("pointer"), "finding",
+        _shown("a").alias("expected"), _shown("b").alias("actual"),
+    )

@@ -81,6 +81,12 @@ def gate_report(edges: DataFrame, register: DataFrame, examples: int = 5) -> Dat
     )
 
 
+def split_edges(edges: DataFrame, register: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges that pass the gate, and those it would refuse; the failing identifiers are one row each."""
+    failing = unresolved(edges.where(F.col("lei").isNotNull()), register).select("lei")
+    return edges.join(failing, "lei", "left_anti").select(*edges.columns), edges.join(failing, "lei", "left_semi").select(*edges.columns)
+
+
 class GateError(Exception):
     """A gate refused the table behind it."""
 

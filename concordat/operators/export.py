@@ -35,25 +35,38 @@ def export_ordered(
     )
 
 
-def order_report(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+# Rows of a file that one task compares.
+SLICE = 1 << 20
+
+
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of exported files with the file each lies in, and its place there."""
+    return spark.read.parquet(path).select(
+        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at")
+    )
+
+
+def order_report(spark: SparkSession, path: str, order: list[str], slice_rows: int = SLICE) -> DataFrame:
     """One row: files, rows, rows out of order within a file, files that overlap.
 
-    Rows are compared with the one before them in the file, and files by their first and
-    last key; the window over files holds one row per file.
+    A file is compared in slices of its row numbers. The last row of a slice is handed to the next one, too,
+    so every row meets the one before it, and no task sorts more than a slice. Files are compared by their
+    least and greatest key; the window over files holds one row per file.
     """
-    key = F.struct(*order)
-    rows = spark.read.parquet(path).select(
-        key.alias("key"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
+    slice_ = F.floor(F.col("_at") / slice_rows)
+    ends = F.when((F.col("_at") + 1) % slice_rows == 0, F.array(slice_, slice_ + 1)).otherwise(F.array(slice_))
+    rows = _placed(spark, path).select(
+        F.struct(*order).alias("key"), "_file", "_at", slice_.alias("own"), F.explode(ends).alias("slice")
     )
-    within = Window.partitionBy("file").orderBy("at")
-    steps = rows.withColumn("before", F.lag("key").over(within))
-    files = steps.groupBy("file").agg(
+    within = Window.partitionBy("_file", "slice").orderBy("_at")
+    steps = rows.withColumn("before", F.lag("key").over(within)).where("own = slice")
+    files = steps.groupBy("_file").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("key") < F.col("before")).alias("out_of_order"),
         F.min("key").alias("low"),
         F.max("key").alias("high"),
     )
-    between = Window.orderBy("file")
+    between = Window.orderBy("_file")
     return files.withColumn("last", F.lag("high").over(between)).agg(
         F.count(F.lit(1)).alias("files"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
@@ -62,6 +75,18 @@ def order_report(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
     )
 
 
+def ranked_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Exported rows with their place in the whole order, from 1: what earlier files hold, and their own place.
+
+    Nothing is sorted: files are counted, one row each, and their counts added up.
+    """
+    rows = _placed(spark, path)
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))
+    bases = counts.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
+    return rows.join(bases, "_file").withColumn("rank", F.col("_base") + F.col("_at") + 1).drop("_file", "_at", "_base")
+
+
 def carried_form(descriptor: dict) -> dict:
     """The descriptor as a file can carry it: without its own size and digest."""
     carried = dict(descriptor)

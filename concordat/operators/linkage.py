@@ -187,14 +187,13 @@ def _tiles(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame,
     return l_tiled, r_tiled
 
 
-def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
-    """For each name without an equal, the best register name that is near to it.
+def near_pairs(names: DataFrame, register: DataFrame) -> DataFrame:
+    """Every pair of a name and a register name that share a block and are near, equal names included.
 
     Sound short cuts keep the block from being compared whole: the block key carries a
     length band outside of which the threshold cannot be reached; the join itself lets
     through only pairs whose lengths and letters leave room for it, and a pair that shares
-    both blocks in the first only. What is left is compared where it is formed and reduced
-    to one row per name before any shuffle.
+    both blocks in the first only. What is left is compared where it is formed.
     """
     ratio = least_length_ratio(NEAR)
     on = [*BLOCK, "band"]
@@ -215,7 +214,7 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
     lead_l, lead_r = F.substring("l.name", 1, PREFIX), F.substring("r.name", 1, PREFIX)
     first_time = (F.col("l.rule") == "prefix") | (lead_l != lead_r)
     same_tile = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in tile]
-    pairs = (
+    return (
         left.alias("l")
         .join(right.alias("r"), [*same_tile, first_time, _may_be_near("l", "r")])
         .select(F.col("l.country").alias("country"), F.col("l.name").alias("name"), F.col("r.name").alias("other"), "winner")
@@ -223,6 +222,12 @@ def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
         .where(F.col("similarity") >= NEAR)
         .withColumn("level", F.when(F.col("similarity") >= CLOSE, "close").otherwise("near"))
     )
+
+
+def near_names(names: DataFrame, register: DataFrame) -> DataFrame:
+    """For each name without an equal, the best register name that is near to it, reduced to
+    one row per name before any shuffle."""
+    pairs = near_pairs(names, register)
     # "close" sorts before "near"; then the nearest; then the tie-break that equal names use.
     best = F.min(F.struct("level", (-F.col("similarity")).alias("far"), "winner")).alias("best")
     return pairs.groupBy(*NAME).agg(best).select(

@@ -117,3 +117,53 @@ def overlay_descriptor(profile: DataFrame, overrides: DataFrame) -> DataFrame:
          | F.col("_pattern").isNotNull() | F.col("_description").isNotNull()
          | F.col("_required").isNotNull()).alias("curated"),
     )
+
+
+# Formats a column of text may have, the narrowest first: its first letters say which, and every value must fit.
+FORMATS = {
+    "integer": r"[+-]?[0-9]+",
+    "number": r"[+-]?[0-9]*\.?[0-9]+([eE][+-]?[0-9]+)?",
+    "date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+    "datetime": r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?",
+    "uri": r"[A-Za-z][A-Za-z0-9+.\-]*://[^\s]+",
+    "code": r"[A-Z0-9]+([\-_#][A-Z0-9]+)*",
+    "word": r"[^\s]+",
+    "line": r"[^\n\r]*",
+}
+
+
+def describe_columns(table: DataFrame, enums: dict[str, list[str]] | None = None, domain_limit: int | None = None) -> DataFrame:
+    """What a descriptor says of each column beyond its type: format, domain, and how the domain meets a declared enum.
+
+    `format` is the first of FORMATS that every value fits, `text` if none does, NULL without values. `domain` lists the values
+    of a column of up to `domain_limit` distinct ones, exactly and apart, whatever they hold; `open` says that the data do not settle
+    the domain: it is longer than listed, or a declared enum names values that do not occur. `outside` are listed values that the
+    enum lacks, `unseen` declared ones that do not occur. One scan: values are counted before they are shuffled, and
+    a fixed number of flags and a list of at most `domain_limit` + 1 values is all that is kept for a column.
+    """
+    limit = DOMAIN_LIMIT if domain_limit is None else domain_limit
+    counted = melt(table).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    fits = [F.min(F.col("value").rlike(rf"\A(?:{p})\z")).alias(f"fits_{name}") for name, p in FORMATS.items()]
+    sketch = F.call_function("approx_top_k", F.col("value"), F.lit(limit + 1), F.lit(max(1024, 20 * limit)))
+    values = F.filter(F.transform("sketch", lambda item: item["item"]), lambda v: v.isNotNull())
+    told = counted.groupBy("column").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("rows"),
+        F.count("value").alias("distinct_values"), *fits, sketch.alias("sketch"),
+    )
+    kind = F.lit(None).cast("string")
+    for name in reversed(FORMATS):
+        kind = F.when(F.col(f"fits_{name}"), name).otherwise(kind)
+    few = (F.col("distinct_values") <= limit) & (F.size(values) == F.col("distinct_values"))
+    lists = [(c, list(v)) for c, v in (enums or {}).items()]
+    declared = table.sparkSession.createDataFrame(lists, "column string, enum array<string>")
+    order = table.sparkSession.createDataFrame(list(enumerate(table.columns)), "position int, column string")
+    met = order.join(told, "column", "left").join(declared, "column", "left").withColumn("domain", F.when(few, F.array_sort(values)))
+    unseen = F.array_sort(F.array_except("enum", "domain"))
+    return met.select(
+        "position", "column",
+        F.when(F.col("distinct_values") > 0, F.coalesce(kind, F.lit("text"))).alias("format"),
+        F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"),
+        F.coalesce("domain", F.when(F.coalesce("distinct_values", F.lit(0)) == 0, F.array().cast("array<string>"))).alias("domain"),
+        (F.col("domain").isNull() | (F.coalesce(F.size(unseen), F.lit(0)) > 0)).alias("open"),
+        F.array_sort(F.array_except("domain", "enum")).alias("outside"), unseen.alias("unseen"),
+    )

@@ -95,3 +95,79 @@ def run_provenance(runs: DataFrame, objects: DataFrame, descriptor_path: str) ->
     return judged.select(
         "object", "claimants", "licensing", F.col("yes.run_id").alias("run_id"), why.alias("refusal")
     )
+
+
+# The rungs of refusal, from the specific to the general.
+RUNGS = ["descriptor", "step", "digest", "outcome"]
+
+
+def step_said(name: Column) -> Column:
+    """What the record says about the step of this name."""
+    status = F.get(F.filter("steps", lambda s: s["name"].eqNullSafe(name)), F.lit(0))["status"]
+    return (
+        F.when(status["state"].isNull(), "is not on record")
+        .when((status["state"] == "skipped") & status["skip_reason"].isNull(), "was skipped and no reason is given")
+        .when(status["state"] == "skipped", F.concat(F.lit("was skipped: "), status["skip_reason"]))
+        .otherwise(F.concat(F.lit("is "), status["state"]))
+    )
+
+
+def claimant_reasons(runs: DataFrame, objects: DataFrame, descriptor_path: str) -> DataFrame:
+    """One row per object and run that claims its bytes: the first rung the run fails on, and why; none where it licenses.
+
+    The rungs are tried in order: the record ties no descriptor to the bytes, the step that writes it never
+    got there, the descriptor it wrote is another, the run did not finish. An object that no run claims has one row without a run.
+    """
+    descriptor = F.get(F.filter("assets", lambda a: (a["kind"] == "file") & (a["path"] == descriptor_path)), F.lit(0))
+    made = F.filter("assets", lambda a: (a["kind"] == "file") & a["produced_by"].isNotNull() & step_reached(a["produced_by"]))
+    failed = F.transform(F.filter("steps", lambda s: s["status"]["state"] == "failed"), lambda s: s["name"])
+    claims = (
+        runs.where(F.col("error").isNull())
+        .withColumn("d", descriptor)
+        .select(
+            "source", "run_id", "started_at", "outcome",
+            F.col("d").isNull().alias("untied"),
+            (~step_reached(F.col("d.produced_by"))).alias("unreached"),
+            F.concat(F.coalesce("d.produced_by", F.lit("no step")), F.lit(" "), step_said(F.col("d.produced_by"))).alias("said"),
+            digest_form(F.col("d.content_hash")).alias("wrote"),
+            F.array_join(F.array_sort(failed), ", ").alias("failed"),
+            F.explode(F.array_distinct(F.transform(made, lambda a: digest_form(a["content_hash"])))).alias("hash"),
+        )
+        .where(F.col("hash") != "")
+    )
+    met = objects.join(claims, "hash", "left")
+    no_run = F.col("run_id").isNull()
+    differs = ~F.col("wrote").eqNullSafe(F.col("descriptor_hash"))
+    rung = (
+        F.when(no_run, None).when(F.col("untied"), RUNGS[0]).when(F.col("unreached"), RUNGS[1]).when(differs, RUNGS[2])
+        .when(~F.col("outcome").eqNullSafe("success"), RUNGS[3])
+    )
+    why = (
+        F.when(no_run, "no run produced these bytes")
+        .when(F.col("rung") == RUNGS[0], "records no descriptor")
+        .when(F.col("rung") == RUNGS[1], F.col("said"))
+        .when(F.col("rung") == RUNGS[2], F.concat(F.lit("wrote "), F.substring("wrote", 8, 12), F.lit(", the object has "), F.substring("descriptor_hash", 8, 12)))
+        .when(F.col("rung") == RUNGS[3], F.concat(
+            F.lit("ended as "), F.coalesce("outcome", F.lit("nothing")), F.when(F.col("failed") == "", "").otherwise(F.concat(F.lit("; failed: "), F.col("failed")))))
+    )
+    return met.withColumn("rung", rung).select("object", "run_id", "started_at", "source", "rung", why.alias("reason"))
+
+
+def refusals(reasons: DataFrame) -> DataFrame:
+    """One answer per object, from `claimant_reasons`: whether a run licenses it; if none does, each reason with how many
+    runs give it and the newest that does, newest first.
+
+    Equal reasons are counted before objects meet them, so bytes that very many runs claim fold to a few rows.
+    """
+    licensed = F.col("run_id").isNotNull() & F.col("reason").isNull()
+    per = reasons.groupBy("object", "reason").agg(
+        F.count("run_id").alias("runs"), F.max(F.struct("started_at", "source", "run_id")).alias("newest"), F.max(licensed).alias("licensed")
+    )
+    told = F.struct(F.col("newest.started_at").alias("at"), F.col("newest.source").alias("source"), "reason", "runs", F.col("newest.run_id").alias("run_id"))
+    folded = per.groupBy("object").agg(
+        F.max("licensed").alias("licensed"), F.sum("runs").alias("claimants"),
+        F.reverse(F.array_sort(F.collect_list(F.when(F.col("reason").isNotNull(), told)))).alias("told"),
+    )
+    line = F.transform("told", lambda t: F.when(t["run_id"].isNull(), t["reason"]).otherwise(
+        F.concat(t["run_id"], F.lit(" ("), t["runs"].cast("string"), F.lit(") "), t["reason"])))
+    return folded.select("object", "licensed", "claimants", F.when(~F.col("licensed"), F.array_join(line, "; ")).alias("refusal"))

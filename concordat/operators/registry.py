@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,3 +46,60 @@ def registry_invariants(registry: DataFrame) -> DataFrame:
             "last",
         )
     )
+
+
+def _addresses(states: DataFrame) -> DataFrame:
+    """(version, uid, address, retired): what each id answers to in each state."""
+    address = lambda name: F.concat_ws(".", "schema", name)
+    own = F.array(F.struct(address(F.col("name")).alias("address"), F.lit(False).alias("retired")))
+    old = F.transform(
+        F.coalesce("aliases", F.array().cast("array<string>")),
+        lambda a: F.struct(address(a).alias("address"), F.lit(True).alias("retired")),
+    )
+    return states.select("version", "uid", F.inline(F.concat(own, old))).distinct()
+
+
+def address_history(states: DataFrame) -> DataFrame:
+    """When each id answered to each address: one row per unbroken interval of states.
+
+    `states` holds version (a whole number, one up from state to state), uid, schema, name, aliases. An address that
+    is given up and taken again has two intervals. Windows hold one row a state.
+    """
+    held = _addresses(states).groupBy("uid", "address", "version").agg(F.min("retired").alias("retired"))
+    run = F.col("version") - F.row_number().over(Window.partitionBy("uid", "address").orderBy("version"))
+    return held.withColumn("run", run).groupBy("uid", "address", "run").agg(
+        F.min("version").alias("first_version"), F.max("version").alias("last_version"),
+        F.max(F.when(~F.col("retired"), F.col("version"))).alias("last_own"),
+    ).drop("run")
+
+
+def history_violations(states: DataFrame) -> DataFrame:
+    """What breaks the promises that hold over time: (rule, subject, version, before, after).
+
+    `uid.reused`: an id has another address than in the state before, and does not answer to the old one: it names another dataset.
+    `address.repointed`: an address leads to another id than it did in an earlier state. `uid.gone`: an id of a state is not in the next.
+    `uid.returned`: an id that was gone is back.
+    """
+    own = states.select("version", "uid", F.concat_ws(".", "schema", "name").alias("address"), "schema", "aliases")
+    by_id = Window.partitionBy("uid").orderBy("version")
+    steps = own.groupBy("uid", "version").agg(
+        F.min("address").alias("address"),
+        F.array_distinct(F.flatten(F.collect_list(F.transform(F.coalesce("aliases", F.array().cast("array<string>")), lambda a: F.concat_ws(".", "schema", a))))).alias("answers"),
+    )
+    last = states.agg(F.max("version").alias("newest"))
+    steps = steps.withColumns({c: F.lag(c.removeprefix("was_")).over(by_id) for c in ("was_version", "was_address")})
+    reused = steps.where((F.col("was_address") != F.col("address")) & ~F.array_contains("answers", F.col("was_address")))
+    shape = lambda rule, subject, before, after: (
+        F.lit(rule).alias("rule"), F.col(subject).alias("subject"), "version", before.alias("before"), after.alias("after"))
+    found = [
+        reused.select(*shape("uid.reused", "uid", F.col("was_address"), F.col("address"))),
+        steps.where(F.col("version") > F.col("was_version") + 1).select(*shape("uid.returned", "uid", F.col("was_version").cast("string"), F.col("address"))),
+    ]
+    ends = steps.withColumn("next", F.lead("version").over(by_id)).join(last, F.col("version") < F.col("newest"))
+    gone = ends.where(F.coalesce(F.col("next") > F.col("version") + 1, F.lit(True)))
+    found.append(gone.withColumn("version", F.col("version") + 1).select(*shape("uid.gone", "uid", F.col("address"), F.lit(None).cast("string"))))
+    leads = _addresses(states).groupBy("address", "version").agg(F.min("uid").alias("uid"))
+    by_address = Window.partitionBy("address").orderBy("version")
+    turns = leads.withColumn("was", F.lag("uid").over(by_address)).where("was != uid")
+    found.append(turns.select(*shape("address.repointed", "address", F.col("was"), F.col("uid"))))
+    return reduce(DataFrame.unionByName, found)

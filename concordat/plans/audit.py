@@ -8,7 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import catalogue, contract, export
+from ..operators import catalogue, contract, export, joins
 from ..sources import descriptors
 from ..sources.readers import list_files
 
@@ -29,44 +29,66 @@ def check_bytes(spark: SparkSession, package: str, resource: dict, place: str) -
     return contract.violations(wrong, f"declares {resource['bytes']:,} bytes; there are ", F.format_number("bytes", 0))
 
 
+class Published(dict):
+    """Tables by (package, resource), read when they are first asked for."""
+
+    def __init__(self, spark: SparkSession, places: dict[tuple[str, str], str]):
+        super().__init__()
+        self.spark, self.places = spark, places
+
+    def __missing__(self, key: tuple[str, str]) -> DataFrame:
+        self[key] = table = self.spark.read.parquet(self.places[key])
+        return table
+
+    def __contains__(self, key: object) -> bool:
+        return key in self.places
+
+
+def read_documents(texts: DataFrame) -> list[tuple[str, dict]]:
+    """(path, document) of each descriptor, in order; one that is no JSON object is an error."""
+    documents = []
+    for row in texts.orderBy("path").collect():
+        try:
+            document = json.loads(row.value)
+        except json.JSONDecodeError as error:
+            raise contract.ContractError(f"{row.path}: not a descriptor: {error}") from error
+        if not isinstance(document, dict):
+            raise contract.ContractError(f"{row.path}: not a descriptor: no object")
+        documents.append((row.path, document))
+    return documents
+
+
 def audit_packages(
     spark: SparkSession,
     pattern: str,
     claims: DataFrame | None = None,
     require_self_description: bool = False,
     only: set[str] | None = None,
+    local: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Violations of every package whose descriptor the pattern names.
 
     Packages are few and their tables large: the driver goes over the declarations, and
     each check is a job over a table. `claims` (dataset, stated) are row counts to hold to
-    the tables. What cannot be checked raises, and is never taken for a pass.
+    the tables; `local` redirects resources that a declared join reads to tables not published yet.
+    What cannot be checked raises, and is never taken for a pass.
     """
     texts = descriptors.descriptor_texts(spark, pattern)
-    documents = []
-    for row in texts.orderBy("path").collect():
-        try:
-            documents.append((row.path, json.loads(row.value)))
-        except json.JSONDecodeError as error:
-            raise contract.ContractError(f"{row.path}: not a descriptor: {error}") from error
-    known = {path.rsplit("/", 2)[-2] for path, _ in documents}
-    if not documents or (only and only - known):
-        raise contract.ContractError(f"no descriptor for {sorted(only - known) if only else pattern}")
+    documents = read_documents(texts)
+    folder_of = {path: path.rsplit("/", 2)[-2] for path, _ in documents}
+    missing = (only or set()) - set(folder_of.values())
+    if missing or not documents:
+        raise contract.ContractError(f"no descriptor for {sorted(missing) if missing else pattern}")
+    chosen = [(path, d) for path, d in documents if not only or folder_of[path] in only]
 
     parsed = descriptors.parse_descriptors(texts, "value")
     fields = descriptors.contract_fields(parsed)
     tables: list[tuple[str, DataFrame]] = []  # two packages may have a resource of one name
     findings = [spark.createDataFrame([], contract.VIOLATION)]
-    for path, document in documents:
-        if only and path.rsplit("/", 2)[-2] not in only:
-            continue
+    for path, document in chosen:
         package = document.get("name") or path
         for resource in document.get("resources") or []:
-            name = resource.get("name") or resource.get("path") or "<unnamed>"
-            schema = resource.get("schema") or {}
-            if not resource.get("path") or not schema.get("fields"):
-                raise contract.ContractError(f"{package}: resource {name!r} declares no path or no fields")
-            place = locate(path, resource["path"])
+            name, place, schema = stated_resource(path, package, resource)
             table = spark.read.parquet(place)
             tables.append((name, table))
             mine = fields.where((F.col("package") == package) & (F.col("resource") == name))
@@ -89,7 +111,40 @@ def audit_packages(
             descriptors.contract_foreign_keys(parsed), fields, descriptors.contract_resources(parsed)
         )
     )
+    if any("x-joins" in document for _, document in chosen):
+        findings.append(joins.join_violations(run_declared(spark, documents, {d.get("name") for _, d in chosen}, local=local)))
     if claims is not None:
         checked = catalogue.check_catalogue(claims, catalogue.count_rows(tables))
         findings.append(catalogue.catalogue_violations(checked, "catalogue"))
     return contract.union_all(findings)
+
+
+def stated_resource(path: str, package: str, resource: dict) -> tuple[str, str, dict]:
+    """Name, place and schema of a resource; one that states no path or no fields cannot be checked."""
+    name, schema = resource.get("name") or resource.get("path") or "<unnamed>", resource.get("schema") or {}
+    for member, there in (("path", resource.get("path")), ("schema.fields", schema.get("fields"))):
+        if not there:
+            raise contract.ContractError(f"{package}: {name} has no {member}, so nothing of it can be checked")
+    return name, locate(path, resource["path"]), schema
+
+
+def run_declared(
+    spark: SparkSession, documents: list[tuple[str, dict]], packages: set[str], write: bool = False,
+    local: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The declared joins of some packages, planned over all of them and measured. `write`: coverage need not be stated yet."""
+    places = {
+        (d.get("name") or path, r.get("name")): locate(path, r["path"])
+        for path, d in documents for r in d.get("resources") or [] if r.get("path")
+    }
+    plan = joins.plan_joins(joins.documents_frame(spark, [d for _, d in documents]), write)
+    return joins.run_joins(plan.where(F.col("package").isin(list(packages))), Published(spark, places), local)
+
+
+def stamp_joins(spark: SparkSession, pattern: str, package: str, local: dict[str, DataFrame] | None = None) -> dict:
+    """Write mode: the descriptor of a package with the coverage of all its declared joins as measured now."""
+    documents = read_documents(descriptors.descriptor_texts(spark, pattern))
+    [document] = [d for _, d in documents if d.get("name") == package] or [None]
+    if document is None:
+        raise contract.ContractError(f"no descriptor names {package}")
+    return joins.with_coverage(document, run_declared(spark, documents, {package}, True, local))

@@ -238,6 +238,25 @@ class Inputs:
         )
         return parse_descriptors(self.table("part").select(text.alias("text")), "text")
 
+    def joining_descriptors(self) -> DataFrame:
+        """One package per part that declares a join with another part's resource; what is wrong with it hangs on its type."""
+        kind = F.col("p_type")
+        key = F.lit('"key"')
+        ours = F.when(kind == "ECONOMY", F.lit('["key","size"]')).when(kind == "PROMO", F.lit('"colour"')).otherwise(key)
+        theirs = F.when(kind == "SMALL", F.lit('["weight"]')).otherwise(F.lit('["size"]'))
+        compare = F.when(kind == "LARGE", F.lit('"compareAs":"fuzzy",')).when(kind == "STANDARD", F.lit('"compareAs":"text",')).otherwise(F.lit(""))
+        scope = F.when(F.col("p_brand") == "Brand#11", F.lit('"where":{"field":"brand"},')).otherwise(
+            F.lit('"where":{"field":"brand","equals":"x"},'))
+        coverage = F.when(kind == "MEDIUM", F.lit('{"rows":3,"matched":5}')).otherwise(F.lit('{"matched":7,"rows":10}'))
+        target = F.concat_ws("_", F.replace("p_name", F.lit(" "), F.lit("_")), (51 - F.col("p_size")).cast("string"))
+        text = F.concat(
+            F.lit('{"name":"pkg'), F.col("p_partkey").cast("string"), F.lit('","resources":[{"name":"'), part_resource(),
+            F.lit('","schema":{"fields":[{"name":"key"},{"name":"brand"},{"name":"size"}]}}],"x-joins":{"joins":[{"name":"other","fields":'),
+            ours, F.lit(',"reference":{"resource":"'), target, F.lit('","fields":'), theirs, F.lit("},"), compare, scope,
+            F.lit('"coverage":'), coverage, F.lit("}]}}"),
+        )
+        return parse_descriptors(self.table("part").select(text.alias("text")), "text")
+
     def published_columns(self) -> DataFrame:
         """The columns each part's published file really has."""
         column = lambda name, physical: F.struct(F.lit(name).alias("field"), physical.alias("physical"))
@@ -277,6 +296,7 @@ class Inputs:
             F.lit('","produced_by":"export"},{"kind":"file","path":"datapackage.json","content_hash":"sha256:'), described,
             F.lit('","produced_by":"describe"},{"kind":"file","path":"raw/*.csv","produced_by":null}],"steps":['),
             F.lit('{"name":"export","status":{"state":"success","skip_reason":null}},{"name":"describe","status":'), describe,
+            F.when(F.col("o_orderstatus") == "P", F.lit('},{"name":"verify","status":{"state":"failed","skip_reason":null}')).otherwise(F.lit("")),
             F.lit("}]}"),
         )
         records = self.table("orders").select(
@@ -307,6 +327,23 @@ class Inputs:
         )
         return suppliers.unionByName(customers)
 
+    def registry_states(self) -> DataFrame:
+        """Customers as datasets in three states of a registry, where some are renamed, lost, found again or pointed elsewhere.
+
+        Names follow keys at first. In the second state machinery is renamed and keeps its old name as an alias, buildings are renamed and do
+        not, and furniture is missing; in the third, households trade names with the key after theirs.
+        """
+        key, kind = F.col("c_custkey"), F.col("c_mktsegment")
+        name = F.concat(F.lit("set"), key.cast("string"))
+        later = F.when(kind.isin("MACHINERY", "BUILDING"), F.concat(F.lit("new"), key.cast("string"))).otherwise(name)
+        traded = F.when(kind == "HOUSEHOLD", F.concat(F.lit("set"), (key + 1).cast("string"))).otherwise(later)
+        kept = F.when(kind == "MACHINERY", F.array(name)).otherwise(F.array().cast("array<string>"))
+        state = lambda version, name, aliases: F.struct(F.lit(version).alias("version"), name.alias("name"), aliases.alias("aliases"))
+        none = F.array().cast("array<string>")
+        states = F.array(state(1, name, none), state(2, later, kept), state(3, traded, kept))
+        told = self.table("customer").select(F.concat(F.lit("u"), key.cast("string")).alias("uid"), kind.alias("kind"), F.inline(states))
+        return told.where("not (version = 2 and kind = 'FURNITURE')").select("version", "uid", F.lit("source").alias("schema"), "name", "aliases")
+
     def document_pairs(self) -> tuple[DataFrame, DataFrame]:
         """Orders as JSON documents, as kept and as carried; they differ by priority."""
         key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")

@@ -192,6 +192,97 @@ resolved AS (
   FROM filers f JOIN weighed w USING (country, name)
 )"""
 
+LEVELS = {"name": {"exact": 0.6, "close": 0.2, "near": 0.1, "else": 0.1}, "tail": {"same": 0.9, "else": 0.1}, "words": {"same": 0.9, "else": 0.1}}
+
+
+def learned(rounds: int = 25) -> str:
+    """Patterns of all pairs that share a block, formed one by one, and the rounds of the estimation, a table each."""
+    start = ", ".join(f"('{c}', '{level}', {share})" for c, x in LEVELS.items() for level, share in x.items())
+    melted = " UNION ALL ".join(f"SELECT '{c}' AS c, \"{c}\" AS l, n, x, y FROM e{{0}}" for c in LEVELS)
+    parts = [f"""{NAMES},
+theirs AS (
+  SELECT country, name, min({{'rank': rank, 'abroad': abroad, 'id': id}}) AS winner FROM entities GROUP BY ALL
+),
+pairs AS MATERIALIZED (
+  SELECT *, CASE WHEN name = other THEN 'exact' WHEN similarity >= 0.95 THEN 'close' WHEN similarity >= 0.92 THEN 'near' ELSE 'else' END AS level,
+         CASE WHEN split_part(name, ' ', -1) = split_part(other, ' ', -1) THEN 'same' ELSE 'else' END AS tail,
+         CASE WHEN len(string_split(name, ' ')) = len(string_split(other, ' ')) THEN 'same' ELSE 'else' END AS words
+  FROM (SELECT *, CASE WHEN name = other THEN 1.0::DOUBLE ELSE round(jaro_winkler_similarity(name, other), 9) END AS similarity
+        FROM (SELECT DISTINCT l.country, l.name, r.name AS other
+              FROM ({blocks('filers')}) l JOIN ({blocks('entities')}) r USING (country, rule, block)))
+),
+patterns AS MATERIALIZED (SELECT level AS name, tail, words, count(*)::DOUBLE AS n FROM pairs GROUP BY ALL),
+shares AS (SELECT c, l, sum(n) / sum(sum(n)) OVER (PARTITION BY c) AS u
+           FROM (SELECT 'name' AS c, name AS l, n FROM patterns UNION ALL SELECT 'tail', tail, n FROM patterns UNION ALL SELECT 'words', words, n FROM patterns)
+           GROUP BY c, l),
+q0 AS MATERIALIZED (SELECT s.c, s.l, s.m::DOUBLE AS m, u, 0.05::DOUBLE AS prior FROM (VALUES {start}) s(c, l, m) JOIN shares USING (c, l))"""]
+    for i in range(1, rounds + 1):
+        parts.append(f"""e{i} AS MATERIALIZED (
+  SELECT p.*, a.prior * a.m * b.m * d.m AS x, (1 - a.prior) * a.u * b.u * d.u AS y FROM patterns p
+  JOIN q{i - 1} a ON a.c = 'name' AND a.l = p.name JOIN q{i - 1} b ON b.c = 'tail' AND b.l = p.tail JOIN q{i - 1} d ON d.c = 'words' AND d.l = p.words),
+q{i} AS MATERIALIZED (
+  SELECT c, l, greatest(sum(n * x / (x + y)) / any_value(all_m), 1e-9) AS m, greatest(sum(n * y / (x + y)) / any_value(all_u), 1e-9) AS u, any_value(all_m / all_n) AS prior
+  FROM ({melted.format(i)}), (SELECT sum(n * x / (x + y)) AS all_m, sum(n * y / (x + y)) AS all_u, sum(n) AS all_n FROM e{i}) t GROUP BY c, l)""")
+    parts.append(f"model AS (SELECT c, l, m, u, prior, log2(m / u) AS weight FROM q{rounds})")
+    return ",\n".join(parts)
+
+
+MODEL = f"""WITH {learned()}
+SELECT c AS comparison, l AS level, round(m, 6) AS m, round(u, 6) AS u, round(weight, 4) AS weight FROM model
+UNION ALL SELECT 'prior', 'match', round(prior, 6), round(1 - prior, 6), round(log2(prior / (1 - prior)), 4) FROM (SELECT any_value(prior) AS prior FROM model)"""
+
+ESTIMATED = f"""WITH {learned()},
+judged AS (
+  SELECT p.*, t.winner, round(1 / (1 + 1 / (a.prior / (1 - a.prior) * exp2(a.weight + b.weight + d.weight))), 6) AS p
+  FROM pairs p JOIN theirs t ON t.country = p.country AND t.name = p.other
+  JOIN model a ON a.c = 'name' AND a.l = p.level JOIN model b ON b.c = 'tail' AND b.l = p.tail JOIN model d ON d.c = 'words' AND d.l = p.words
+  WHERE p.level <> 'else'
+)
+SELECT country, name, level, tail, words, round(similarity, 6) AS similarity, winner.id AS match, p AS match_probability
+FROM judged QUALIFY row_number() OVER (PARTITION BY country, name ORDER BY p DESC, similarity DESC, winner) = 1""".replace("exp2(", "pow(2, ")
+
+PLANNED_JOINS = """
+WITH packages AS (
+  SELECT *, replace(p_name, ' ', '_') || '_' AS stem FROM part
+),
+named AS (
+  SELECT 'pkg' || p_partkey AS package, stem || p_size AS resource, stem || (51 - p_size) AS target, p_type AS kind, p_brand FROM packages
+),
+owned AS (SELECT resource AS target, count(*) AS owners, min(package) AS owner FROM named GROUP BY 1)
+SELECT package, 'other' AS "join", CASE WHEN kind <> 'PROMO' THEN resource END AS resource, target, CASE WHEN owners = 1 THEN owner END AS owner,
+       CASE kind WHEN 'LARGE' THEN 'fuzzy' WHEN 'STANDARD' THEN 'text' ELSE 'exact' END AS compare_as,
+       CASE WHEN kind = 'ECONOMY' THEN 'maps 2 field(s) onto 1'
+            WHEN kind = 'LARGE' THEN 'has no comparison fuzzy'
+            WHEN p_brand = 'Brand#11' THEN 'its scope is not one field and one value'
+            WHEN kind = 'MEDIUM' THEN 'its coverage has more matched rows than rows'
+            WHEN kind = 'PROMO' THEN 'no resource of the package declares colour, brand'
+            WHEN owners IS NULL THEN 'refers to ' || target || ', which no package declares'
+            WHEN owners > 1 THEN 'refers to ' || target || ', of which there are ' || owners
+            WHEN kind = 'SMALL' THEN 'refers to ' || target || '.weight, which is not declared' END AS finding
+FROM named LEFT JOIN owned USING (target)"""
+
+DECLARED_JOINS = """
+WITH told(package, "join", resource, target, owner, compare_as, declared_rows, declared_matched) AS (VALUES
+  ('sales', 'buyers', 'orders', 'customer', 'parties', 'exact', 15000, 15000),
+  ('sales', 'pending', 'orders', 'labels', 'texts', 'text', 1, 0),
+  ('sales', 'own lines', 'lineitem', 'orders', 'sales', 'exact', 60000, 12),
+  ('sales', 'returned parts', 'lineitem', 'part', 'parties', 'exact', 20000, 20000),
+  ('texts', 'judged', 'documents', 'judgements', 'quality', 'exact', 1000, 399),
+  ('texts', 'english', 'documents', 'customer', 'parties', 'exact', 1000, 0)
+),
+met AS (
+  SELECT 'buyers' AS "join", (SELECT count(*) FROM orders) AS rows, (SELECT count(*) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer)) AS matched
+  UNION ALL SELECT 'pending', count(*), count(*) FILTER (o_custkey IN (SELECT doc_id FROM labels WHERE quality = 1)) FROM orders WHERE o_orderstatus = 'P'
+  UNION ALL SELECT 'own lines', count(*), count(o.k) FROM lineitem LEFT JOIN (SELECT DISTINCT o_orderkey AS k, o_custkey AS s FROM orders) o ON k = l_orderkey AND s = l_suppkey
+  UNION ALL SELECT 'returned parts', count(*), count(*) FILTER (l_partkey IN (SELECT p_partkey FROM part)) FROM lineitem WHERE l_returnflag = 'R'
+  UNION ALL SELECT 'judged', count(*), count(*) FILTER (doc_id IN (SELECT doc_id FROM labels)) FROM documents WHERE lang = 'en'
+  UNION ALL SELECT 'english', count(*), count(*) FILTER (TRY_CAST(lang AS BIGINT) IN (SELECT c_custkey FROM customer)) FROM documents
+)
+SELECT package, "join", resource, target, owner, compare_as, declared_rows::BIGINT AS declared_rows, declared_matched::BIGINT AS declared_matched,
+       rows, matched, declared_rows = rows AND declared_matched = matched AS agrees, 'check' AS mode
+FROM told JOIN met USING ("join")
+UNION ALL SELECT package, "join", resource, target, owner, compare_as, rows, matched, rows, matched, true, 'written' FROM told JOIN met USING ("join")"""
+
 PACKAGES = """
 packages AS (
   SELECT *, 'pkg' || p_partkey AS package, replace(p_name, ' ', '_') || '_' || p_size AS resource,
@@ -243,7 +334,7 @@ SELECT package, resource, local AS field, 'schema.foreignKeys' AS rule, detail F
   SELECT *, CASE WHEN owners = 0 THEN 'refers to ' || target || ', which nothing declares'
                  WHEN owners > 1 THEN 'refers to ' || target || ', declared ' || owners || ' times'
                  WHEN p_type = 'ECONOMY' THEN 'maps 2 field(s) onto 1'
-                 WHEN p_type = 'PROMO' THEN 'names a field this resource does not declare'
+                 WHEN p_type = 'PROMO' THEN 'no such field here: colour'
                  WHEN p_type IN ('STANDARD', 'MEDIUM', 'SMALL')
                  THEN 'declared ' || key_type || ' refers to ' || target || '.size declared integer' END AS detail
   FROM keyed) WHERE detail IS NOT NULL"""
@@ -426,6 +517,71 @@ DIFFS = {
     "/status": ("o_orderpriority = '3-MEDIUM'", "absent", "'string'", "NULL"),
     "/note": ("o_orderpriority = '4-NOT SPECIFIED'", "unexpected", "NULL", "'object'"),
 }
+REASONED = """
+reasons AS (
+  SELECT o_custkey, 'run' || o_orderkey AS run_id, strftime(o_orderdate, '%Y-%m-%d') AS began, 'runs/' || lpad(o_orderkey::VARCHAR, 12, '0') AS source,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN 'step' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'digest'
+              WHEN o_orderstatus = 'P' THEN 'outcome' END AS rung,
+         CASE WHEN o_orderpriority = '2-HIGH' THEN 'describe was skipped and no reason is given'
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'wrote ' || left(sha256('descriptor ' || o_custkey || ' old'), 12) || ', the object has ' || left(sha256('descriptor ' || o_custkey), 12)
+              WHEN o_orderstatus = 'P' THEN 'ended as partial; failed: verify' END AS reason
+  FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')
+),
+told AS (
+  SELECT c_custkey::VARCHAR AS object, run_id, began, source, rung, CASE WHEN run_id IS NULL THEN 'no run produced these bytes' ELSE reason END AS reason
+  FROM customer LEFT JOIN reasons ON o_custkey = c_custkey
+)"""
+
+STATES = """
+states AS (
+  SELECT version, 'u' || c_custkey AS uid, CASE
+           WHEN version > 1 AND c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'new' || c_custkey
+           WHEN version = 3 AND c_mktsegment = 'HOUSEHOLD' THEN 'set' || (c_custkey + 1) ELSE 'set' || c_custkey END AS name,
+         CASE WHEN version > 1 AND c_mktsegment = 'MACHINERY' THEN 'set' || c_custkey END AS alias
+  FROM customer, (VALUES (1), (2), (3)) v(version) WHERE NOT (version = 2 AND c_mktsegment = 'FURNITURE')
+),
+answers AS (
+  SELECT version, uid, 'source.' || name AS address, false AS retired FROM states
+  UNION SELECT version, uid, 'source.' || alias, true FROM states WHERE alias IS NOT NULL
+)"""
+
+
+def described(table: str, columns: dict[str, str], enums: dict[str, list[str]] | None = None) -> str:
+    """Formats and domains: each pattern is tried on every value, a listing is made where there are 50 values or fewer."""
+    patterns = [
+        ("integer", "[+-]?[0-9]+"), ("number", "[+-]?[0-9]*[.]?[0-9]+([eE][+-]?[0-9]+)?"), ("date", "[0-9]{4}-[0-9]{2}-[0-9]{2}"),
+        ("datetime", "[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?"),
+        ("uri", "[A-Za-z][A-Za-z0-9+.-]*://[^ \t\n\x0b\f\r]+"), ("code", "[A-Z0-9]+([-_#][A-Z0-9]+)*"),
+        ("word", "[^ \t\n\x0b\f\r]+"), ("line", "[^\n\r]*"),
+    ]
+    kind = " ".join(f"WHEN bool_and(regexp_full_match(v, '{p}')) THEN '{name}'" for name, p in patterns)
+    parts = []
+    for at, (column, text) in enumerate(columns.items()):
+        enum = (enums or {}).get(column)
+        listed = "[" + ", ".join(f"'{v}'" for v in enum) + "]" if enum else "NULL::VARCHAR[]"
+        parts.append(f"""
+SELECT '{table}' AS resource, {at} AS position, '{column}' AS "column", CASE WHEN count(v) = 0 THEN NULL {kind} ELSE 'text' END AS format,
+       count(v) AS rows, count(DISTINCT v) AS distinct_values,
+       CASE WHEN count(DISTINCT v) <= 50 THEN coalesce(list(DISTINCT v ORDER BY v) FILTER (v IS NOT NULL), []) END AS d, {listed} AS e
+FROM (SELECT {text} AS v FROM {table})""")
+    minus = lambda a, b: f"list_sort(list_filter({a}, lambda x: NOT list_contains({b}, x)))"
+    shown = lambda x: f"CASE WHEN d IS NOT NULL AND e IS NOT NULL THEN to_json({x})::VARCHAR END"
+    return f"""
+SELECT resource, position, "column", format, rows, distinct_values, CASE WHEN d IS NOT NULL THEN to_json(d)::VARCHAR END AS domain,
+       d IS NULL OR (e IS NOT NULL AND len({minus('e', 'd')}) > 0) AS open, {shown(minus('d', 'e'))} AS outside, {shown(minus('e', 'd'))} AS unseen
+FROM ({" UNION ALL ".join(parts)})"""
+
+
+def own_text(*columns: str) -> dict[str, str]:
+    return {c: f"{c}::VARCHAR" for c in columns}
+
+
+def changed(table: str, after: str) -> str:
+    return f"""
+SELECT '{table}' AS resource, (SELECT count(*) FROM {table}) AS rows, (SELECT count(*) FROM ({after})) AS rows_after,
+       NOT EXISTS (SELECT * FROM {table} EXCEPT ALL ({after})) AND NOT EXISTS (({after}) EXCEPT ALL SELECT * FROM {table}) AS unchanged"""
+
+
 SPACES = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 
 ORACLES = {
@@ -506,6 +662,18 @@ JOIN (SELECT country, rule, block, count(*) AS n FROM ({blocks('entities')}) GRO
     "crosswalk": f"""WITH {OFFICIAL},{UNIVERSE},{SCORED},
 guessed AS (SELECT cik AS key, upper(lei) AS lei, method, status AS tier, match_probability AS confidence FROM resolved),
 {named('matched', 'guessed')} {ENRICHED}""",
+    "estimate_model": MODEL,
+    "estimated_links": ESTIMATED,
+    "published_crosswalk": f"""WITH {TIERED},{UNIVERSE},
+whole AS ({ENRICHED}),
+names_nothing AS (
+  SELECT lei FROM (SELECT DISTINCT lei FROM whole) w
+  WHERE NOT {holds('lei')} AND NOT EXISTS (SELECT 1 FROM register r WHERE r.lei = w.lei))
+SELECT company_name, key_type, key, lei, method, tier,
+       row_number() OVER (ORDER BY company_name NULLS FIRST, key_type, key, lei) AS rank
+FROM whole w WHERE NOT EXISTS (SELECT 1 FROM names_nothing b WHERE b.lei = w.lei)""",
+    "plan_joins": PLANNED_JOINS,
+    "declared_joins": DECLARED_JOINS,
     "contract_fields": f"WITH {PACKAGES} SELECT * FROM fields",
     "contract_keys": f"""WITH {PACKAGES}
 SELECT package, resource, CASE p_type WHEN 'LARGE' THEN '["key","brand"]' WHEN 'SMALL' THEN '[]' WHEN 'MEDIUM' THEN '7' ELSE 'key' END AS declared,
@@ -555,6 +723,8 @@ LEFT JOIN (SELECT doc_id, strlen(text)::BIGINT AS bytes, 'sha256:' || sha256(tex
     "content_digest": """SELECT 'lineitem' AS resource, count(*) AS rows, count(*) AS rows_after, true AS unchanged FROM lineitem
 UNION ALL SELECT 'documents', count(*), count(*), true FROM documents""",
     "total_order_export": "SELECT count(*) AS rows, 0::BIGINT AS out_of_order, 0::BIGINT AS overlapping_files FROM orders",
+    "total_order_rank": """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderpriority NULLS FIRST, o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS rank
+FROM orders""",
     "parquet_layout": "SELECT count(*) AS rows, 1000::BIGINT AS widest_row_group, 'zstd' AS codec FROM lineitem",
     "self_description": """SELECT 'shop' AS package, 'customer' AS resource, field, rule, detail FROM (VALUES
   ('', 'self-description', 'differs at /title: absent'),
@@ -574,6 +744,39 @@ SELECT c_custkey::VARCHAR AS object, count(run_id) AS claimants, count(run_id) F
        CASE WHEN count(run_id) = 0 THEN 'no run produced these bytes'
             WHEN count(run_id) FILTER (WHERE refusal IS NULL) = 0 THEN arg_max(refusal, (started, o_orderkey)) END AS refusal
 FROM customer LEFT JOIN claims ON o_custkey = c_custkey GROUP BY 1""",
+    "run_reasons": f"WITH {REASONED} SELECT object, run_id, rung, reason FROM told",
+    "run_refusals": f"""WITH {REASONED},
+said AS (SELECT object, reason, count(run_id) AS runs, max({{'began': began, 'source': source, 'run_id': run_id}}) AS newest,
+                count(*) FILTER (run_id IS NOT NULL AND reason IS NULL) > 0 AS licensed FROM told GROUP BY object, reason)
+SELECT object, bool_or(licensed) AS licensed, sum(runs)::BIGINT AS claimants,
+       CASE WHEN NOT bool_or(licensed) THEN string_agg(CASE WHEN newest.run_id IS NULL THEN reason ELSE newest.run_id || ' (' || runs || ') ' || reason END, '; '
+            ORDER BY newest.began DESC, newest.source DESC) END AS refusal
+FROM said GROUP BY object""",
+    "address_history": f"""WITH {STATES},
+versions AS (SELECT uid, address, list_sort(list(DISTINCT version)) AS vs, max(version) FILTER (NOT retired) AS own FROM answers GROUP BY ALL)
+SELECT uid, address, f AS first_version, l AS last_version, (SELECT max(version) FROM answers a WHERE a.uid = v.uid AND a.address = v.address AND NOT retired AND version BETWEEN f AND l) AS last_own
+FROM (SELECT uid, address, vs[1] AS f, CASE WHEN vs = [1, 3] THEN 1 ELSE vs[-1] END AS l FROM versions UNION ALL SELECT uid, address, 3, 3 FROM versions WHERE vs = [1, 3]) v""",
+    "history_violations": f"""WITH {STATES},
+owns AS (SELECT version, uid, 'source.' || name AS address, 'source.' || alias AS old FROM states),
+leads AS (SELECT version, address, min(uid) AS uid FROM answers GROUP BY ALL)
+SELECT 'uid.reused' AS rule, a.uid AS subject, b.version, a.address AS before, b.address AS after FROM owns a JOIN owns b USING (uid)
+WHERE a.version = (SELECT max(version) FROM owns c WHERE c.uid = b.uid AND c.version < b.version) AND a.address <> b.address AND b.old IS DISTINCT FROM a.address
+UNION ALL SELECT 'uid.gone', uid, 2, 'source.set' || substr(uid, 2), NULL FROM (SELECT uid FROM owns WHERE version = 1 EXCEPT SELECT uid FROM owns WHERE version = 2)
+UNION ALL SELECT 'uid.returned', uid, 3, '1', address FROM owns o WHERE version = 3 AND NOT EXISTS (SELECT 1 FROM owns c WHERE c.uid = o.uid AND c.version = 2)
+UNION ALL SELECT 'address.repointed', b.address, b.version, a.uid, b.uid FROM leads a JOIN leads b USING (address)
+WHERE a.version = (SELECT max(version) FROM leads c WHERE c.address = b.address AND c.version < b.version) AND a.uid <> b.uid""",
+    "describe_columns": " UNION ALL ".join([
+        described("orders", own_text("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice") | {"o_orderdate": "o_orderdate::DATE || ' 00:00:00'"} | own_text("o_orderpriority"),
+                  {"o_orderstatus": ["F", "O", "P", "X"], "o_orderpriority": ["1-URGENT", "2-HIGH"]}),
+        described("documents", own_text("doc_id", "text", "lang", "source", "n_chars")),
+        described("events", own_text("event_id") | {"ts": "strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 > 0 THEN rtrim('.' || lpad((microsecond(ts) % 1000000)::VARCHAR, 6, '0'), '0') ELSE '' END"} | own_text("user_id", "event_type", "value", "props"), {"event_type": ["click"]}),
+    ]),
+    "content_changed": " UNION ALL ".join([
+        changed("nation", "SELECT * FROM nation UNION ALL SELECT * FROM nation WHERE n_nationkey = 3"),
+        changed("supplier", "SELECT * FROM supplier WHERE s_suppkey <> 7"),
+        changed("customer", "SELECT * REPLACE (CASE WHEN c_custkey = 5 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal) FROM customer"),
+        changed("part", "SELECT * FROM part"),
+    ]),
     "run_errors": """SELECT 'runs/' || lpad(o_orderkey::VARCHAR, 12, '0') AS source, 'declares contract version b4/0' AS error
 FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'""",
     "registry_invariants": """WITH entries AS (

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from .. import session
 from ..functions import identifiers, text
 from ..operators import (
-    catalogue, contract, coverage, documents, edges, export, inventory, linkage, loads, profile, provenance, registry,
+    catalogue, contract, coverage, documents, edges, estimation, export, inventory, joins, linkage, loads, profile, provenance,
+    publish, registry,
 )
 from ..operators.contract import Rule
 from ..operators.coverage import Join
 from ..sources import descriptors, objects, readers
-from .crosswalk import build_crosswalk
+from .crosswalk import ORDER, build_crosswalk, publish_crosswalk
 from .inputs import TABLES, Inputs, identifier, padded
 
 AS_OF = "2026-01-15"
@@ -282,6 +283,25 @@ def crosswalk(i: Inputs) -> DataFrame:
     )
 
 
+def estimate_model(i: Inputs) -> DataFrame:
+    """Shares and weights of agreement levels, as the names themselves teach them."""
+    model, _ = estimation.learned(linkage.named(i.filers()), linkage.named(i.entities()))
+    return estimation.model_table(i.spark, model)
+
+
+def estimated_links(i: Inputs) -> DataFrame:
+    return estimation.estimated_links(linkage.named(i.filers()), linkage.named(i.entities()))
+
+
+def published_crosswalk(i: Inputs) -> DataFrame:
+    """The edges that pass the gate, published in order and read back by the manifest."""
+    built = edges.enrich_edges(_tiered(i), i.register(), i.universe(), AS_OF)
+    passing, _ = edges.split_edges(built, i.register())
+    folder = session.scratch_path(i.spark, "crosswalk")
+    publish_crosswalk(passing, i.register(), folder)
+    return publish.read_published(i.spark, folder).select(*ORDER, "method", "tier", "rank")
+
+
 # Contracts
 
 
@@ -386,6 +406,63 @@ def join_sample(i: Inputs) -> DataFrame:
     return coverage.join_sample(_typed_keys(i), i.table("customer").where("c_acctbal >= 0"), join, 20)
 
 
+def plan_joins(i: Inputs) -> DataFrame:
+    """Every part's declared join: the tables it would run on, or what is wrong with it."""
+    return joins.plan_joins(i.joining_descriptors()).select(*joins.PLANNED, "finding")
+
+
+def _resource(name: str, *fields: str) -> dict:
+    return {"name": name, "path": f"{name}.parquet", "schema": {"fields": [{"name": f} for f in fields]}}
+
+
+def _join(name: str, fields, resource: str, theirs, rows: int, matched: int, **more) -> dict:
+    reference = {"resource": resource, "fields": theirs}
+    return {"name": name, "fields": fields, "reference": reference, "coverage": {"rows": rows, "matched": matched}, **more}
+
+
+JOINED = [
+    {
+        "name": "sales",
+        "resources": [
+            _resource("orders", "o_orderkey", "o_custkey", "o_orderstatus"),
+            _resource("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag"),
+        ],
+        "x-joins": {"joins": [
+            _join("buyers", "o_custkey", "customer", "c_custkey", 15000, 15000),
+            _join("pending", ["o_custkey"], "labels", ["doc_id"], 1, 0, compareAs="text", where={"field": "o_orderstatus", "equals": "P"}),
+            _join("own lines", ["l_orderkey", "l_suppkey"], "orders", ["o_orderkey", "o_custkey"], 60000, 12),
+            _join("returned parts", "l_partkey", "part", "p_partkey", 20000, 20000, where={"field": "l_returnflag", "equals": "R"}),
+        ]},
+    },
+    {"name": "parties", "resources": [_resource("customer", "c_custkey", "c_name"), _resource("part", "p_partkey", "p_name")]},
+    {
+        "name": "texts",
+        "resources": [_resource("documents", "doc_id", "lang"), _resource("labels", "doc_id", "toxic")],
+        "x-joins": {"joins": [
+            _join("judged", "doc_id", "judgements", "doc_id", 1000, 399, where={"field": "lang", "equals": "en"}),
+            _join("english", ["lang"], "customer", ["c_custkey"], 1000, 0),
+        ]},
+    },
+    {"name": "quality", "resources": [_resource("judgements", "doc_id", "quality")]},
+]
+
+
+def declared_joins(i: Inputs) -> DataFrame:
+    """Joins that packages declare, checked; then written as measured, and checked again.
+
+    Labels are redirected to those that no one has published yet, the good ones."""
+    tables = {(p["name"], r["name"]): i.table("labels" if r["name"] == "judgements" else r["name"]) for p in JOINED for r in p["resources"]}
+    local = {"labels": i.table("labels").where("quality = 1")}
+
+    def run(documents: list[dict], write: bool) -> DataFrame:
+        plan = joins.plan_joins(joins.documents_frame(i.spark, documents), write)
+        return session.staged(joins.run_joins(plan, tables, local), "measured")
+
+    checked = run(JOINED, False)
+    again = run([joins.with_coverage(d, checked) for d in JOINED], False)
+    return checked.withColumn("mode", F.lit("check")).unionByName(again.withColumn("mode", F.lit("written")))
+
+
 # Profiles
 
 
@@ -396,6 +473,19 @@ def profile_columns(i: Inputs) -> DataFrame:
     )
 
 
+ENUMS = {"o_orderstatus": ["F", "O", "P", "X"], "o_orderpriority": ["1-URGENT", "2-HIGH"]}
+
+
+def describe_columns(i: Inputs) -> DataFrame:
+    """Formats and domains of orders, documents and events; lists are shown as JSON, so no value runs into the next."""
+    told = [
+        profile.describe_columns(i.table(t), enums).select(F.lit(t).alias("resource"), "*")
+        for t, enums in (("orders", ENUMS), ("documents", None), ("events", {"event_type": ["click"]}))
+    ]
+    lists = {c: F.to_json(c) for c in ("domain", "outside", "unseen")}
+    return contract.union_all(told).withColumns(lists)
+
+
 OVERRIDES = [
     ("c_custkey", "string", "the customer's number", "[0-9]+", 1, 12, True),
     ("c_mktsegment", None, "trade", None, None, 20, None),
@@ -452,6 +542,21 @@ def content_digest(i: Inputs) -> DataFrame:
     return contract.union_all(checks)
 
 
+def content_changed(i: Inputs) -> DataFrame:
+    """Tables against copies that are not the same: a row twice, a row lost, a value changed, columns in another order."""
+    checks = []
+    for name, change in {
+        "nation": lambda t: t.unionByName(t.where("n_nationkey = 3")),
+        "supplier": lambda t: t.where("s_suppkey <> 7"),
+        "customer": lambda t: t.withColumn("c_acctbal", F.when(F.col("c_custkey") == 5, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))),
+        "part": lambda t: t.select(*reversed(t.columns)),
+    }.items():
+        table = i.table(name)
+        before, after = inventory.content_digest(table, name), inventory.content_digest(change(table).select(*table.columns), name)
+        checks.append(inventory.unchanged(before, after))
+    return contract.union_all(checks)
+
+
 def total_order_export(i: Inputs) -> DataFrame:
     order = ["o_orderpriority", "o_orderdate", "o_orderkey"]
     path = session.scratch_path(i.spark, "orders")
@@ -459,6 +564,13 @@ def total_order_export(i: Inputs) -> DataFrame:
     return export.order_report(i.spark, path, order).select("rows", "out_of_order", "overlapping_files")
 
 
+def total_order_rank(i: Inputs) -> DataFrame:
+    """Where each order lies in the exported files."""
+    path = session.scratch_path(i.spark, "ranked")
+    export.export_ordered(i.table("orders"), path, ["o_orderpriority", "o_orderdate", "o_orderkey"], 50_000)
+    return export.ranked_rows(i.spark, path).select("o_orderkey", "rank")
+
+
 def parquet_layout(i: Inputs) -> DataFrame:
     path = session.scratch_path(i.spark, "layout")
     export.export_ordered(i.table("lineitem"), path, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"], 1_000)
@@ -497,6 +609,26 @@ def run_errors(i: Inputs) -> DataFrame:
     return i.runs().where(F.col("error").isNotNull()).select("source", "error")
 
 
+def run_reasons(i: Inputs) -> DataFrame:
+    """Every run that claims an object, and why it does not license it."""
+    told = provenance.claimant_reasons(i.runs(), i.run_objects(), "datapackage.json")
+    return told.select("object", "run_id", "rung", "reason")
+
+
+def run_refusals(i: Inputs) -> DataFrame:
+    """Each object's answer, with all the reasons its runs give."""
+    told = provenance.claimant_reasons(i.runs(), i.run_objects(), "datapackage.json")
+    return provenance.refusals(told)
+
+
+def address_history(i: Inputs) -> DataFrame:
+    return registry.address_history(i.registry_states())
+
+
+def history_violations(i: Inputs) -> DataFrame:
+    return registry.history_violations(i.registry_states())
+
+
 def registry_invariants(i: Inputs) -> DataFrame:
     return registry.registry_invariants(i.registry())
 
@@ -523,7 +655,9 @@ REGISTERED = [
     check_types, check_foreign_keys, check_constraints, key_scan, check_primary_key, drift_contract, join_coverage,
     join_coverage_text, join_sample, profile_columns, overlay_descriptor, catalogue_counts, object_inventory,
     verify_objects, content_digest, total_order_export, parquet_layout, self_description, run_provenance, run_errors,
-    registry_invariants, document_diff, violation_report,
+    registry_invariants, document_diff, violation_report, estimate_model, estimated_links, plan_joins, declared_joins,
+    total_order_rank, published_crosswalk, run_reasons, run_refusals, address_history, history_violations, describe_columns,
+    content_changed,
 ]
 
 

@@ -129,7 +129,7 @@ def test_foreign_keys(rows):
     assert foreign(rows, {"key": "year"}, key(["key"], "firms", ["cik"]), firms) == []
     assert foreign(rows, {"key": "date"}, key("key", "firms", "x"), firms) == []
     assert foreign(rows, {"key": "string"}, key("key", "firms", "cik"), firms) == ["declared string refers to firms.cik declared integer"]
-    assert foreign(rows, {"key": "string"}, key("nokey", "firms", "cik"), firms) == ["names a field this resource does not declare"]
+    assert foreign(rows, {"key": "string"}, key("nokey", "firms", "cik"), firms) == ["no such field here: nokey"]
     assert foreign(rows, {"key": "string"}, key("key", "firms", "nocik"), firms) == ["refers to firms.nocik, which is not declared"]
     assert foreign(rows, {"key": "string"}, key("key", "nowhere", "cik"), firms) == ["refers to nowhere, which nothing declares"]
     assert foreign(rows, {"key": "string"}, key(["key", "key"], "firms", "cik"), firms) == ["maps 2 field(s) onto 1"]
