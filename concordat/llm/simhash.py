@@ -8,10 +8,12 @@ at the fingerprints one bit away from them, of which two members share one just
 at two or less, and each such meeting place, which holds 65 at most, links its members to the
 smallest. That costs 65 rows a member, whatever the group's size, and loses no component.
 
-`similar_rows` is for a similarity of word shingles, which 64 bits are too few to tell. Its
-fingerprints are long: as many blocks as a pair of that similarity needs to agree on one of
-them nearly surely, each wide enough that unrelated texts seldom do. Their Hamming distance only
-sorts out pairs that are surely alike or surely not; between, the sets of shingles are compared.
+`similar_rows` keeps one of each group of near copies, by the Jaccard similarity of their sets of
+word shingles. No distance of fingerprints tells a similarity of 0.8 with bounded work, so fingerprints propose links
+here and sets decide on them; what fingerprints miss is found exactly, by a prefix filter.
+Shingles have one order for all texts: those of few texts first, common ones last. Two sets of that
+similarity share a shingle among the first ninth of the smaller and the first fifth of the larger, so texts meet in those
+only. A passage that very many texts share stands last in all of them, and brings none of them together unless they are nearly made of it.
 
 Equal fingerprints are one node from the start, so copies never form pairs.
 """
@@ -20,15 +22,16 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, small_batches, written
+from .common import free_name, pieces, small_batches, written
 from .components import connected
 
 CHUNK = 1 << 14
@@ -142,122 +145,211 @@ def near_groups(
     return prints.join(named, "f").select("doc_id", hex_digits(F.col("f")).alias("fingerprint"), "component_id")
 
 
-def differing(similarity: float) -> float:
-    """Share of fingerprint bits in which two sets of that Jaccard similarity differ (sets of like size)."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+# Distinct words a worker keeps the hashes of.
+KEPT = 100_000
+# Buckets of shingles that can be marked as common, as a power of two: a bitmap of 4 MB, whatever the corpus.
+MARKS = 25
+# Bits of a shingle's hash that are shuffled to count it; counts only order shingles.
+COUNTED = 40
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _long_print(shingle: int, width: int, blocks: int):
-    lanes = -(-width * blocks // 64)
-    weights = (1 << np.arange(width)).astype(np.int64)
+class _Words(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh64_intdigest(word, 42)
+        return found
 
-    @F.pandas_udf("node binary, head long, blocks array<int>")
-    def print_(text: pd.Series) -> pd.DataFrame:
+
+_KNOWN = _Words()
+
+
+def _stirred(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """The set of each text's runs of `size` words, A-Z lower-cased, as ascending 64-bit hashes; of all its words where there are fewer.
+
+    A run's hash is a polynomial in its words' hashes, so runs are never built.
+    """
+    global _KNOWN
+    if len(_KNOWN) > KEPT:
+        _KNOWN = _Words()
+    out = []
+    for text in texts:
+        said = (text or "").encode("utf-8", "replace").lower().split()
+        run = min(size, len(said))
+        if not run:
+            out.append(np.empty(0, np.uint64))
+            continue
+        words = np.fromiter(map(_KNOWN.__getitem__, said), np.uint64, len(said))
+        last = len(words) - run + 1
+        mixed = words[:last].copy()
+        for k in range(1, run):
+            mixed = _stirred(mixed * FACTOR + words[k : last + k])
+        out.append(np.unique(_stirred(mixed + np.uint64(run))))
+    return out
+
+
+def _outline(shingle: int):
+    """What is kept of each text: a digest and the size of its set, and its fingerprint."""
+
+    @F.pandas_udf("node binary, size int, f long")
+    def outline(text: pd.Series) -> pd.DataFrame:
         rows = []
-        for t in text:
-            bits = majority_bits(np.unique(shingle_hashes(t, shingle)), lanes)
-            packed = np.packbits(bits).tobytes()
-            own = bits[: width * blocks].reshape(blocks, width) @ weights
-            rows.append((hashlib.md5(packed).digest(), int.from_bytes(packed[:8], "big", signed=True), own.astype(np.int32)))
-        return pd.DataFrame(rows, columns=["node", "head", "blocks"])
+        for own in shingle_sets(text.tolist(), shingle):
+            f = int.from_bytes(np.packbits(majority_bits(own)).tobytes(), "big", signed=True)
+            rows.append((hashlib.md5(own.tobytes()).digest(), len(own), f))
+        return pd.DataFrame(rows, columns=["node", "size", "f"])
 
-    return print_
+    return outline
 
 
-def _shingle_set(shingle: int):
-    @F.pandas_udf("array<long>")
-    def set_(text: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in text])
+def _alike(shingle: int, similarity: float):
+    """Whether the sets of two texts have the similarity."""
+
+    @F.pandas_udf("boolean")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        # Pairs come sorted by one end, so many share a text: each is taken apart once a batch.
+        numbers, said = pd.factorize(pd.concat([left, right], ignore_index=True), use_na_sentinel=False)
+        sets = shingle_sets([t if isinstance(t, str) else None for t in said], shingle)
+        out = []
+        for a, b in zip(numbers[: len(left)], numbers[len(left) :]):
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            out.append(both * (1 + similarity) >= (len(sets[a]) + len(sets[b])) * similarity - 1e-6)
+        return pd.Series(out, dtype=bool)
+
+    return alike
+
+
+def common_marks(texts: DataFrame, shingle: int, least: int) -> tuple[bytes, int]:
+    """A bitmap of the buckets that a shingle of `least` or more texts falls in, and the `least` it was made with.
+
+    Shingles are counted over all of `texts` (column text). `least` doubles until no more than an eighth of the buckets
+    can be marked, so the bitmap, which is all that comes to the driver, has one size for any corpus. It only orders
+    shingles: any bitmap gives the same result.
+    """
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(stream, 4 << 20):
+            sets = shingle_sets(batch.column(0).to_pylist(), shingle)
+            found, n = np.unique(np.concatenate(sets) >> np.uint64(64 - COUNTED), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])
+
+    counted = texts.select("text").mapInArrow(run, "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
+    often = written(counted.where(F.col("n") >= least), "common")
+    power = F.floor(F.log2(F.col("n") / least)).cast("int")
+    sizes = dict(often.groupBy(power.alias("p")).agg(F.count("*").alias("n")).collect())
+    step = 0
+    while sum(n for p, n in sizes.items() if p >= step) > 1 << (MARKS - 3):
+        step += 1
+    bucket = F.shiftright("h", COUNTED - MARKS)
+    word = often.where(F.col("n") >= least << step).groupBy(F.shiftright(bucket, 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(h, {COUNTED - MARKS}) & 63 as int))")).alias("bits")
+    )
+    found = word.toArrow()
+    marks = np.zeros(1 << (MARKS - 6), np.int64)
+    marks[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return marks.tobytes(), least << step
 
-    return set_
+
+def _first_shingles(shingle: int, similarity: float, marks: bytes):
+    """For each text how many rare shingles it has, and its first shingles in the common order: (h, place)."""
+    words = np.frombuffer(marks, np.uint64)
+
+    @F.pandas_udf("rare int, first array<long>")
+    def first(text: pd.Series) -> pd.DataFrame:
+        rows = []
+        for own in shingle_sets(text.tolist(), shingle):
+            bucket = own >> np.uint64(64 - MARKS)
+            common = (words[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63)) & np.uint64(1)).astype(bool)
+            ordered = np.concatenate([own[~common], own[common]])
+            rows.append((int(len(own) - common.sum()), ordered[: len(own) - _share(len(own), similarity) + 1].view(np.int64)))
+        return pd.DataFrame(rows, columns=["rare", "first"])
+
+    return first
+
+
+def _share(n: int, ratio: float) -> int:
+    """The least whole number that is `ratio` of `n` or more, safe from rounding."""
+    return int(np.ceil(n * ratio - 1e-6))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) of numbers in `texts` whose sets have the similarity. Texts are shuffled, which are smaller than sets."""
+    left, right = (texts.select(F.col("uid").alias(n), F.col("text").alias(f"{n}_text")) for n in ("a", "b"))
+    met = small_batches(pairs.join(left, "a").join(right, "b"))
+    return met.select("a", "b", _alike(shingle, similarity)("a_text", "b_text").alias("alike")).where("alike").select("a", "b")
 
 
 def similar_rows(
-    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, recall: float = 0.98,
-    group_rows: int = 64, doc_id: str = "doc_id", text: str = "text",
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, common: int = 8, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """The rows of `docs` without near copies: of each group of texts linked by the similarity, one row.
 
-    The kept row is the one of the smallest id, a null id last. `recall` is the chance that a
-    pair of just that similarity shares a block. Block width follows the logarithm of the row
-    count, block number the recall; neither decides on a pair that is compared: it is linked if
-    the Jaccard similarity of its shingle sets is `similarity` or more. Only where the distance
-    is six standard deviations below that of such a pair is it linked unread, and where it is
-    four above, left. In a block that more than `group_rows` texts share, each is compared
-    with the text nearest to the group's majority, which for copies of one original is the
-    original or the copy closest to it; then all pairs of the block that are in different
-    components so far are compared, so that only pairs already connected are left out. Texts without words are equal to each other. Columns stay as they are.
+    The kept row is the one of the smallest id, a null id last. Texts are linked if the Jaccard similarity of their shingle sets is
+    `similarity` or more; groups are those of all such pairs, none is missed. Texts of one set, or without words, null ones too, are equal.
+    Repeated rows are copies. Very long texts are worked on whole. Columns stay as they are; an empty table stays empty.
+
+    Links are sought in three steps, each on what is not yet linked. Fingerprints at two bits or less propose pairs; then each
+    text is compared with one text, that most of its first shingles lead to: of all texts with a shingle, the one with the fewest rare
+    shingles, which for copies of one original is the original or the copy nearest to it. Last, texts
+    outside the group of their list's leader meet all others of the list that sizes and places leave room for.
+    So a group of copies gives pairs in proportion to its size. `common`: texts from which a shingle counts as common, which only orders shingles.
     """
-    width = min(28, max(12, math.ceil(math.log2(max(2, docs.count())))))
-    agree = (1 - differing(similarity)) ** width
-    blocks = math.ceil(math.log(1 - recall) / math.log(1 - agree))
-    bits, edge = width * blocks, differing(similarity)
-    spread = lambda p: math.sqrt(p * (1 - p) / bits)
-    sure = int((edge - 6 * spread(edge)) * bits)
-    most = max(edge, 3 / 16)  # sets of four and five differ in so many bits, larger ones of 0.8 in fewer
-    limit = int((most + 4 * spread(most)) * bits)
-    head_limit = 22  # of 64 bits: far above what such pairs differ in, far below what unrelated texts do
-
-    uid, mark = free_name(docs, "row_number"), free_name(docs, "long_print")
-    held = written(small_batches(docs).withColumn(uid, F.monotonically_increasing_id()).withColumn(mark, _long_print(shingle, width, blocks)(F.col(text))), "held")
+    uid, mark = free_name(docs, "row_number"), free_name(docs, "outline")
+    held = written(small_batches(docs).withColumn(uid, F.monotonically_increasing_id()).withColumn(mark, _outline(shingle)(F.col(text))), "held")
     rows = held.select(F.col(uid).alias("uid"), F.col(doc_id).alias("id"), F.col(f"{mark}.node").alias("node"))
-    prints = written(
-        held.select(F.col(uid).alias("uid"), f"{mark}.*").groupBy("node").agg(F.first("head").alias("head"), F.first("blocks").alias("blocks"), F.min("uid").alias("uid")),
-        "long-prints",
-    )
-    keyed = prints.select("node", "head", F.posexplode("blocks").alias("c", "v"))
-    sizes = keyed.groupBy("c", "v").agg(F.count("*").alias("n")).where("n > 1")
-    shared = written(keyed.join(sizes, ["c", "v"]), "shared")
-    near = F.bit_count(F.col("head").bitwiseXOR(F.col("other"))) <= head_limit
-
-    def against(left: DataFrame, right: DataFrame, ordered: bool) -> DataFrame:
-        other = right.select("c", "v", F.col("node").alias("b"), F.col("head").alias("other"))
-        met = left.withColumnRenamed("node", "a").join(other, ["c", "v"])
-        return met.where((F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b")) & near).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-        )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        left, right = (prints.select(F.col("node").alias(n), F.col("blocks").alias(f"{n}_blocks")) for n in ("a", "b"))
-        apart = F.aggregate(F.zip_with("a_blocks", "b_blocks", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", apart.alias("apart"))
-        met = written(met.where(F.col("apart") <= limit), "near")
-        open_ = met.where(F.col("apart") > sure).select("a", "b")
-        ends = open_.select(F.col("a").alias("node")).unionAll(open_.select("b")).distinct()
-        texts = held.select(F.col(uid).alias("uid"), F.col(text).alias("text"))
-        read = prints.join(ends, "node", "left_semi").select("node", "uid").join(texts, "uid")
-        sets = written(read.select("node", _shingle_set(shingle)("text").alias("s")), "sets")
-        left, right = (sets.select(F.col("node").alias(n), F.col("s").alias(f"{n}_set")) for n in ("a", "b"))
-        both = F.size(F.array_intersect("a_set", "b_set"))
-        alike = both * (1 + similarity) >= (F.size("a_set") + F.size("b_set")) * similarity - 1e-6
-        return met.where(F.col("apart") <= sure).select("a", "b").unionAll(open_.join(left, "a").join(right, "b").where(alike).select("a", "b"))
-
-    few, many = shared.where(F.col("n") <= group_rows), shared.where(F.col("n") > group_rows)
-    ones = [F.sum(F.shiftrightunsigned("head", i).bitwiseAND(F.lit(1))).alias(f"s{i}") for i in range(64)]
-    middle = many.groupBy("c", "v", "n").agg(*ones)
-    bits = [F.when(F.col(f"s{i}") * 2 > F.col("n"), F.lit((1 << i) - (1 << 64 if i == 63 else 0))).otherwise(F.lit(0)) for i in range(64)]
-    total = bits[0]
-    for bit in bits[1:]:
-        total = total.bitwiseOR(bit)
-    middle = middle.select("c", "v", total.alias("middle"))
-    gap = F.bit_count(F.col("head").bitwiseXOR(F.col("middle")))
-    hubs = many.join(middle, ["c", "v"]).groupBy("c", "v").agg(F.min(F.struct(gap.alias("gap"), "node", "head")).alias("hub"))
-    hubs = hubs.select("c", "v", "hub.node", "hub.head")
-    links = written(verified(against(few, few, True).unionAll(against(many, hubs, False))), "links")
+    nodes = written(held.select(F.col(uid).alias("uid"), f"{mark}.*").groupBy("node").agg(F.min(F.struct("uid", "size", "f")).alias("x")).select("node", "x.*"), "nodes")
+    texts = held.join(nodes.select(F.col("uid").alias(uid)), uid, "left_semi").select(F.col(uid).alias("uid"), F.col(text).alias("text"))
+    texts = written(texts, "texts")
+
+    marks, _ = common_marks(texts, shingle, common)
+    told = small_batches(texts).select("uid", _first_shingles(shingle, similarity, marks)("text").alias("t"))
+    sized = told.join(nodes.select("uid", "size"), "uid").where("size > 0")
+    posted = written(sized.select("uid", "size", "t.rare", F.posexplode("t.first").alias("place", "h")), "posted")
+    leader = F.min(F.struct("rare", "uid")).alias("leader")
+    lists = posted.groupBy("h").agg(F.count("*").alias("n"), leader).where("n > 1").select("h", F.col("leader.uid").alias("leader"))
+    shared = written(posted.join(lists, "h").select("h", "uid", "size", "place", "leader"), "shared")
+
+    most = F.max(F.struct("n", "leader")).alias("most")
+    led = shared.where("uid != leader").groupBy("uid", "leader").agg(F.count("*").alias("n")).groupBy("uid").agg(most)
+    led = led.select(F.least("uid", "most.leader").alias("a"), F.greatest("uid", "most.leader").alias("b"))
+    prints = written(nodes.groupBy("f").agg(F.min("uid").alias("head")), "prints")
+    same = nodes.join(prints, "f").where("uid != head").select(F.col("head").alias("a"), F.col("uid").alias("b"))
+    near = print_links(prints.select("f")).groupBy("b").agg(F.min("a").alias("a"))  # each to its smallest neighbour
+    near = near.join(prints.withColumnRenamed("f", "a"), "a").select("b", F.col("head").alias("x"))
+    near = near.join(prints.withColumnRenamed("f", "b"), "b").select(F.least("x", "head").alias("a"), F.greatest("x", "head").alias("b"))
+    proposed = written(led.unionAll(same).unionAll(near).distinct(), "proposed")
+    links = written(_verified(proposed, texts, shingle, similarity), "links")
     groups = written(connected(links, "a", "b"), "groups")
 
-    def in_group(frame: DataFrame) -> DataFrame:
-        return frame.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-
-    # All pairs of hot blocks that are not connected yet: one of the two is not in the hub's component.
-    placed = written(in_group(many.select("c", "v", "node", "head")), "placed")
-    centre = in_group(hubs).select("c", "v", F.col("component").alias("hub"))
-    strange = placed.join(centre, ["c", "v"]).where("component <> hub").select("c", "v", F.col("node").alias("a"), F.col("head"), F.col("component").alias("own"))
-    met = strange.join(placed.select("c", "v", F.col("node").alias("b"), F.col("head").alias("other"), "component"), ["c", "v"])
-    met = met.where((F.col("own") != F.col("component")) & near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = links.unionAll(verified(met))
+    def grouped(frame: DataFrame, key: str, name: str) -> DataFrame:
+        own = groups.select(F.col("node").alias(key), F.col("component").alias(name))
+        return frame.join(own, key, "left").withColumn(name, F.coalesce(name, key))
+
+    placed = grouped(grouped(shared, "uid", "own"), "leader", "main")
+    open_ = placed.groupBy("h").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("h")
+    placed = written(placed.join(open_, "h", "left_semi"), "open")
+    least = 2 * similarity / (1 + similarity)
+    small = placed.where(F.col("place") <= F.col("size") - F.ceil(F.col("size") * least - 1e-6))
+    small = small.select("h", *[F.col(c).alias(f"small_{c}") for c in ("uid", "size", "place", "own")], "main")
+    large = placed.select("h", "uid", "size", "place", "own", (F.col("own") == F.col("main")).alias("inside"))
+    overlap = F.ceil((F.col("size") + F.col("small_size")) * (similarity / (1 + similarity)) - 1e-6)
+    room = F.least(F.col("size") - F.col("place"), F.col("small_size") - F.col("small_place")) >= overlap
+    larger = (F.col("size") > F.col("small_size")) | ((F.col("size") == F.col("small_size")) & (F.col("uid") > F.col("small_uid")))
+    fits = (F.col("own") != F.col("small_own")) & larger & room
+    # One of the two is outside the leader's group: either the smaller, or the larger alone.
+    outside, inside = small.where("small_own != main"), small.where("small_own = main")
+    met = outside.join(large, "h").where(fits).select("small_uid", "uid").unionAll(
+        inside.join(large.where("not inside"), "h").where(fits).select("small_uid", "uid")
+    )
+    met = written(met.select(F.least("small_uid", "uid").alias("a"), F.greatest("small_uid", "uid").alias("b")).distinct(), "met")
+    links = links.unionAll(_verified(met, texts, shingle, similarity))
 
-    groups = connected(links, "a", "b")
-    placed = rows.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    stays = placed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "uid")).alias("kept"))
+    groups = connected(links, "a", "b").withColumnRenamed("node", "uid")
+    named = nodes.select("node", "uid").join(groups, "uid", "left").select("node", F.coalesce("component", "uid").alias("component"))
+    stays = rows.join(named, "node").groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "uid")).alias("kept"))
     return held.join(stays.select(F.col("kept.uid").alias(uid)), uid, "left_semi").drop(uid, mark)
