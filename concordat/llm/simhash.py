@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, pieces, small_batches, written
+from .common import free_name, partitions, pieces, small_batches, written
 from .components import connected
 
 CHUNK = 1 << 14
@@ -238,8 +238,11 @@ def common_marks(texts: DataFrame, shingle: int, least: int) -> tuple[bytes, int
             found, n = np.unique(np.concatenate(sets) >> np.uint64(64 - COUNTED), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])
 
-    counted = texts.select("text").mapInArrow(run, "h long, n int").groupBy("h").agg(F.sum("n").alias("n"))
-    often = written(counted.where(F.col("n") >= least), "common")
+    # Nearly all shingles differ, so adding them up before the shuffle would fill memory for nothing. The structure keeps
+    # the sums from being hashed: they are sorted, and added up as they pass.
+    met = texts.select("text").mapInArrow(run, "h long, n int").repartition(partitions(texts.sparkSession), "h")
+    summed = met.groupBy("h").agg(F.sum("n").alias("n"), F.max(F.struct("n")).alias("most"))
+    often = written(summed.where((F.col("n") >= least) & F.col("most").isNotNull()).drop("most"), "common")
     power = F.floor(F.log2(F.col("n") / least)).cast("int")
     sizes = dict(often.groupBy(power.alias("p")).agg(F.count("*").alias("n")).collect())
     step = 0
