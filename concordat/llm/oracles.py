@@ -33,17 +33,17 @@ FROM ruled
 """
 
 TOP_K = """
-WITH whole AS (
-  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), met AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.n, q.vec_id AS query_id, c.vec_id,
          coalesce(list_sum([x[1] * x[2] FOR x IN list_zip(q.v, c.v)]), 0)::BIGINT AS score
-  FROM (SELECT DISTINCT vec_id, v FROM whole WHERE vec_id % 50 = 0) q JOIN whole c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.n <> q.n AND len(c.v) = len(q.v)
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM met
 QUALIFY rank <= 5
 """

@@ -61,8 +61,7 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "embeddings")
-    return topk.top_k(rows.where("vec_id % 50 = 0"), rows)
+    return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def op6_chat(spark: SparkSession, folder: str) -> DataFrame:

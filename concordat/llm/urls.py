@@ -15,10 +15,11 @@ from .common import lower_ascii
 from .components import connected
 
 PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(\?[^#]*)?"
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
-TARGET = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+# What a reader of a page does not see as tags: comments, and elements whose content is plain text.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b.*?(?:</\1\b|\z)"
+TAG = r"(?is)<((?:link|meta)[\s/][^>]*)"
+ATTRIBUTE = r"""(?s)(?<![^\s"'/])([^\s"'>/=]++)\s*+=\s*+("[^"]*+"?|'[^']*+'?|[^\s"'>]++)"""
+TARGET = r"""(?is)^\s*[\d.]*\s*[;,]?\s*url\s*=\s*["']?([^"']*)"""
 
 
 def host(url: Column) -> Column:
@@ -55,12 +56,30 @@ def _resolved(target: Column, url: Column) -> Column:
 
 
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(a, b): addresses of a page and of the page that its canonical link or redirect names."""
-    named = F.array(
-        F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1),
+    """(a, b): addresses of a page and of each page that its canonical links and redirects name.
+
+    Links are `<link>` tags whose `rel` holds the word canonical, and `<meta http-equiv="refresh">` tags of any delay. All of
+    a page count, so an unusable one hides no other. Tags in comments, scripts, styles, text areas and titles are no tags.
+    Attributes are read by their whole name, quoted or not, the first of a name. A `>` ends a tag even inside quotes.
+    """
+    shown = F.regexp_replace(html, HIDDEN, " ")
+    tags = pages.where(F.col(html).rlike("(?i)canonical|refresh")).select(
+        F.col(url).alias("u"), F.explode(F.regexp_extract_all(shown, F.lit(TAG), F.lit(1))).alias("tag")
+    )
+    told = tags.select(
+        "u", F.lower(F.substring("tag", 1, 4)).alias("kind"),
+        F.transform(F.regexp_extract_all("tag", F.lit(ATTRIBUTE), F.lit(1)), F.lower).alias("names"),
+        F.regexp_extract_all("tag", F.lit(ATTRIBUTE), F.lit(2)).alias("values"),
     )
-    found = pages.select(F.col(url).alias("u"), F.explode(named).alias("t")).where("t <> ''")
+
+    def value(name: str) -> Column:
+        said = F.get("values", (F.array_position("names", F.lit(name)) - 1).cast("int"))
+        return F.regexp_replace(said, r"""^["']?\s*|\s*["']?$""", "")
+
+    canonical = (F.col("kind") == "link") & F.array_contains(F.split(F.lower(value("rel")), r"\s+"), "canonical")
+    refresh = (F.col("kind") == "meta") & (F.lower(value("http-equiv")) == "refresh")
+    target = F.when(canonical, value("href")).when(refresh, F.trim(F.regexp_extract(value("content"), TARGET, 1)))
+    found = told.select("u", target.alias("t")).where("t <> ''")
     links = found.select(address(F.col("u")).alias("a"), address(_resolved(F.col("t"), F.col("u"))).alias("b"))
     return links.where("a is not null and b is not null")
 
@@ -104,7 +123,7 @@ def judge(pages: DataFrame, rules: DataFrame, page_id: str = "page_id", url: str
     """(page_id, host, path, rule, verdict) for every row of `pages`, repeated rows included.
 
     A null URL, or one without `://`, has an empty host and path, no rule and no alias. Null or
-    empty HTML names no alias. `rules` has host, path and verdict (allow or block).
+    empty HTML names no alias. Texts of any length are read whole. `rules` has host, path and verdict (allow or block).
     """
     link = F.col(url)
     own = pages.select(

@@ -52,6 +52,31 @@ def test_verdicts(spark, frame):
     assert urls.judge(docs.limit(0), urls.rule_table(spark, RULES)).collect() == []
 
 
+def test_link_forms(spark, frame):
+    """Which tags of a page are read: each page is blocked if the link to a blocked page counts."""
+    bad = "http://b.example.com/de/1"
+    forms = {
+        1: (f'<link rel="canonical" data-href="/x" href="{bad}">', True),
+        2: (f'<!-- <link rel="canonical" href="{bad}"> -->', False),
+        3: (f'<link rel="canonical" href="#"><link rel=canonical href={bad}>', True),
+        4: (f"<LINK HREF='{bad}' REL='alternate Canonical'>", True),
+        5: (f'<link rel="not-canonical" href="{bad}">', False),
+        6: (f'<link rel="stylesheet" title="rel=canonical" href="{bad}">', False),
+        7: (f'<script>x = \'<link rel="canonical" href="{bad}">\'</script><p>', False),
+        8: (f'<meta content="0;URL=\'{bad}\'" http-equiv=Refresh>', True),
+        9: (f'<meta name="refresh" content="0; url={bad}">', False),
+        10: ('<meta http-equiv="refresh" content="5">', False),
+        11: (f'<link rel="canonical" title="href=/other" href=" {bad} ">', True),
+        12: (f'<!-- never closed <link rel="canonical" href="{bad}">', False),
+        13: (f'<link rel="canonical" href="//b.example.com/de/1">' + "<p class=x>" * 20_000, True),
+        14: ("<link " + "canonical" * 20_000, False),
+        15: ("<link" + ' rel="canonical"' * 5_000 + f' href="{bad}">', True),
+    }
+    pages = frame([(i, f"http://site{i}.net/page", html) for i, (html, _) in forms.items()], "page_id long, url string, html string")
+    got = {r.page_id: r.verdict == "block" for r in urls.judge(pages, urls.rule_table(spark, RULES)).collect()}
+    assert got == {i: blocked for i, (_, blocked) in forms.items()}
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (5, 5), (200, 200), (None, 3)] + [(1000, 2000 + i) for i in range(50)]
     got = {r.node: r.component for r in connected(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
