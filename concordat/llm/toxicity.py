@@ -255,9 +255,9 @@ def fit(
 
     kind = sample.schema["doc_id"].dataType.simpleString()
     seen = sample.select("doc_id", "label", "text").mapInArrow(look, f"doc_id {kind}, label int, counts map<int,int>").toPandas()
-    # Examples of like terms stand together, which makes the blocks' bounds tight.
+    # Examples of like terms stand together, which makes the blocks' bounds tight; equal ones by id, as the earlier wins a tie.
     seen["terms"] = [tuple(sorted(c)) for c in seen["counts"]]
-    seen = seen.sort_values(["terms", "label", "doc_id"], kind="stable")
+    seen = seen.sort_values(["terms", "doc_id"], kind="stable")
     counts = [dict(c) for c in seen["counts"]]
     y = seen["label"].to_numpy(float)
     index = Index.build(counts, y, idf)

@@ -42,3 +42,12 @@ def test_odd_rows_and_no_examples(frame):
     model = toxicity.fit(docs, labels, "true")
     assert toxicity.reject_toxic(docs, model).count() <= 5
     assert toxicity.fit(docs.limit(0), labels, "true").score("x")[0] == 0.0
+
+
+def test_ties_go_by_id_not_by_label(frame):
+    """Of forty equal examples, half of them toxic, those of the smallest ids vote."""
+    docs = frame([(i, "vile filthy rotten words here") for i in range(40)] + [(100 + i, "calm kind gentle words here") for i in range(200)])
+    labels = frame([(i, i % 2 if i < 40 else 0) for i in [*range(40), *range(100, 300)]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, "true", least_z=1.0)
+    score, voters = model.score("vile filthy rotten words here")
+    assert voters == list(range(15)) and 0.2 < score < 0.8
