@@ -1,20 +1,27 @@
-"""Interpolated modified Kneser-Ney bigram model, and the log probability of every text under it.
-
-Documents are read in batches of a bounded number of words. A batch knows its distinct words
-and word pairs by 64-bit hashes. Counting is an exchange: each batch sends, for every range of
-hashes, the sorted hashes it has and its training counts of them; a task of that range adds
-them up to a shard of the model, a pair of sorted arrays (hash, count) in a memory-mapped
-scratch file, and looks up for each batch the totals of its hashes. So only packed arrays are
-shuffled, each batch gets the part of the model that it needs, and no worker holds the whole
-model, which grows with the corpus.
-
-    pairs   c(v w) of all training texts, and for each distinct pair one batch that owns it
-    words   c(w); N1+(. w), and sum, N1, N2, N3+ of the pairs that begin with w: each batch
-            adds up the pairs that it owns
-    score   p(w | v) = max(c(v w) - D(c), 0) / c(v .) + g(v) p(w)
-            p(w)     = max(N1+(. w) - D'(N1+), 0) / N1+(. .) + g' / (V + 1)
-
-A text is its words and an end, predicted from the word before, the first from the start.
+"""Interpolated modified Kneser-Ney trigram model, and the log probability of every text under it.
+
+Documents are read in batches of a bounded number of words. A batch knows its distinct words,
+word pairs and triples by 64-bit hashes. Counting is an exchange, one for each order, the
+highest first: a batch sends, for ranges of hashes, the sorted hashes it has and its training
+counts of them; a task of a range adds them up to a shard of the model, a pair of sorted arrays
+(hash, count) in a memory-mapped scratch file, and looks up for each batch the totals of its
+hashes. So only packed arrays are shuffled, each batch gets the part of the model that it needs,
+and no worker holds the whole model, which grows with the corpus.
+
+A batch never writes to more than `fan` ranges at once. Where there are more batches than that,
+parties of `fan` batches are merged range by range, the merged arrays are exchanged like batches
+of their own, over finer ranges, and what comes back is dealt to the members. So the rows of an
+exchange are batches times `fan`, times the levels, which are the logarithm of the batches.
+
+    order 3   c(u v w) of all training texts
+    order 2   N1+(. v w), the kinds of triples that end so
+    order 1   N1+(. w), the kinds of pairs that end so; and c(w), for the add-one model
+    each order below the highest also has, of the n-grams that begin so, their sum and N1, N2, N3+
+    score     p(w | h) = max(c(h w) - D(c), 0) / c(h .) + g(h) p(w | h without its first word)
+              p(w)     = max(N1+(. w) - D(N1+), 0) / N1+(. .) + g / (V + 1)
+
+Each distinct n-gram has one batch that owns it, which counts it for the order below. A text is
+its words and an end; before it stand as many starts as the first word's history needs.
 Discounts come from counts of counts; where these give none, 0.5, 1 and 1.5 are taken. A word
 never seen has the share of one more word of the vocabulary. All of a shard's numbers fit a
 task, since ranges are cut by the number of words of the corpus.
@@ -24,7 +31,8 @@ from __future__ import annotations
 
 import mmap
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -116,33 +124,67 @@ def encode(docs: DataFrame, train: Column, batch_words: int, doc_id: str, text:
     return own.mapInArrow(run, STATE)
 
 
+@dataclass
+class Grams:
+    """A batch's distinct n-grams of one order, by ascending hash, and for each of its tokens the n-gram that ends there."""
+
+    hashes: np.ndarray
+    place: np.ndarray
+    start: int  # the n-gram of starts alone
+    head: np.ndarray | None = None  # in the order below: without the last word
+    tail: np.ndarray | None = None  # in the order below: without the first word
+
+
+def _ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(hashes)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    return order, rank
+
+
 class Batch:
-    """The arrays of one batch, and its distinct pairs in order of their hashes."""
+    """The arrays of one batch, and its distinct n-grams of the orders 1 to `order`."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, order: int):
         self.ids, self.held = row["doc_ids"], np.array(row["held"], bool)
         self.sizes = np.array(row["sizes"], np.int64)
-        self.hashes, self.tokens = unpacked(row["words"], np.uint64), unpacked(row["tokens"], np.uint32).astype(np.int64)
+        words, tokens = unpacked(row["words"], np.uint64), unpacked(row["tokens"], np.uint32)
         self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.learnt = ~self.held[self.doc]
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[np.cumsum(self.sizes) - self.sizes] = START
-        n = len(self.hashes)
-        code, place = np.unique(before * n + self.tokens, return_inverse=True)
-        hashes = pair_hash(self.hashes[code // n], self.hashes[code % n])
-        order = np.argsort(hashes)
-        self.pair_hashes, code = hashes[order], code[order]
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        self.place, self.left, self.right = rank[place], code // n, code % n
-        self.word_order = np.argsort(self.hashes)
-
-    def pair_counts(self) -> np.ndarray:
-        return np.bincount(self.place[self.learnt], minlength=len(self.left))
-
-    def word_counts(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.learnt], minlength=len(self.hashes))
+        first = np.cumsum(self.sizes) - self.sizes
+        place, rank = _ranked(words)
+        self.grams = [Grams(words[place], rank[tokens], int(rank[START]))]
+        one = self.grams[0]
+        n = len(words)
+        for k in range(2, order + 1):
+            low = self.grams[-1]
+            before = np.empty_like(low.place)
+            before[1:] = low.place[:-1]
+            before[first] = low.start
+            code, at, place = np.unique(
+                np.append(before * n + one.place, low.start * n + one.start), return_index=True, return_inverse=True
+            )
+            hashes = pair_hash(low.hashes[code // n], one.hashes[code % n])
+            own, rank = _ranked(hashes)
+            tail = np.append(low.place, low.start)[at]
+            self.grams.append(Grams(hashes[own], rank[place[:-1]], int(rank[place[-1]]), (code // n)[own], tail[own]))
+
+    def counts(self, order: int) -> np.ndarray:
+        own = self.grams[order - 1]
+        return np.bincount(own.place[self.learnt], minlength=len(own.hashes))
+
+    def columns(self, order: int, above: np.ndarray | None) -> np.ndarray:
+        """What the batch knows of its n-grams of `order`, given (count, owned) of those of the order above."""
+        if above is None:
+            return self.counts(order)[:, None]
+        high, n = self.grams[order], len(self.grams[order - 1].hashes)
+        mine = (above[:, 1] == 1) & (above[:, 0] > 0)
+        head, tail, c = high.head[mine], high.tail[mine], above[mine, 0]
+        columns = [np.bincount(tail, minlength=n), np.bincount(head, c, n)]
+        columns += [np.bincount(head[pick], minlength=n) for pick in (c == 1, c == 2, c > 2)]
+        if order == 1:
+            columns.append(self.counts(1))
+        return np.column_stack(columns).astype(np.int64)
 
 
 def _sent(number: int, hashes: np.ndarray, values: np.ndarray, buckets: int) -> Iterator[tuple]:
@@ -180,49 +222,93 @@ class Shard:
         self.hashes = np.frombuffer(self.map, np.uint64, self.n)
         self.totals = np.frombuffer(self.map, np.int64, self.n * self.width, self.n * 8).reshape(self.n, self.width)
 
-    def look_up(self, hashes: np.ndarray) -> np.ndarray:
-        return self.totals[np.searchsorted(self.hashes, hashes)]
-
 
-def _shard(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[Shard, np.ndarray]:
-    """The shard of all parts, and for each of its hashes the first part that has it."""
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes of all parts, their totals, and for each the first part that has it."""
     every = np.concatenate([h for h, _ in parts])
     hashes, first, place = np.unique(every, return_index=True, return_inverse=True)
     values = np.concatenate([v for _, v in parts])
     totals = np.column_stack([np.bincount(place, values[:, k], len(hashes)) for k in range(values.shape[1])]).astype(np.int64)
-    owner = np.searchsorted(np.cumsum([len(h) for h, _ in parts]), first, "right")
-    return Shard(hashes, totals), owner
+    return hashes, totals, np.searchsorted(np.cumsum([len(h) for h, _ in parts]), first, "right")
+
+
+def _parts(table: pa.Table, width: int) -> tuple[list[int], list[tuple[np.ndarray, np.ndarray]]]:
+    """The batches that sent something, ascending, and what they sent."""
+    sent = sorted(zip(*(table.column(c).to_pylist() for c in ("batch", "hashes", "values"))))
+    return [b for b, _, _ in sent], [(unpacked_sorted(h), unpacked(v, np.uint64).reshape(-1, width).astype(np.int64)) for _, h, v in sent]
 
 
 def _count_of_counts(counts: np.ndarray) -> list[int]:
     return [int((counts == k).sum()) for k in (1, 2, 3, 4)]
 
 
-def _answers(rows: DataFrame, width: int, owned: bool) -> DataFrame:
-    """Totals of all batches for each batch's hashes; in rows of batch -1, the shard's own sums.
+def _answers(rows: DataFrame, width: int) -> DataFrame:
+    """For each batch's hashes the totals of all batches, and whether this batch is the first to have the hash.
 
-    `owned`: one more column tells whether this batch is the first to have the hash.
+    Rows of batch -1 hold the shard's own sums: counts of counts of the first column, the columns' sums, the kinds in the last.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        sent = sorted(zip(table.column("batch").to_pylist(), table.column("hashes").to_pylist(), table.column("values").to_pylist()))
-        parts = [(unpacked_sorted(h), unpacked(v, np.uint64).reshape(-1, width).astype(np.int64)) for _, h, v in sent]
-        shard, owner = _shard(parts)
+        batches, parts = _parts(table, width)
+        hashes, totals, owner = _summed(parts)
+        shard = Shard(hashes, totals)
         bucket = table.column("bucket")[0].as_py()
         out = []
-        for i, ((batch, _, _), (hashes, _)) in enumerate(zip(sent, parts)):
-            values = shard.look_up(hashes)
-            if owned:
-                values = np.column_stack([values, owner[np.searchsorted(shard.hashes, hashes)] == i])
-            out.append((bucket, batch, b"", packed(values.astype(np.uint64))))
-        counted = shard.totals[:, min(1, width - 1)]  # pairs: their count; words: N1+(. w)
-        sums = np.array([*_count_of_counts(counted), *shard.totals.sum(0), int((shard.totals[:, 0] > 0).sum())])
+        for i, (batch, (own, _)) in enumerate(zip(batches, parts)):
+            at = np.searchsorted(shard.hashes, own)
+            out.append((bucket, batch, b"", packed(np.column_stack([shard.totals[at], owner[at] == i]).astype(np.uint64))))
+        sums = np.array([*_count_of_counts(totals[:, 0]), *totals.sum(0), int((totals[:, -1] > 0).sum())])
         out.append((bucket, -1, b"", sums.astype("<i8").tobytes()))
         return pa.Table.from_batches([_table(out)])
 
     return rows.groupBy("bucket").applyInArrow(run, BLOB)
 
 
+def exchange(send: Callable[[int], DataFrame], batches: int, buckets: int, width: int, fan: int, name: str, ranges: int = 1) -> DataFrame:
+    """The answers to what `send` gives, a function of the number of ranges, for `batches` senders to each of `ranges` ranges."""
+    if batches <= fan:
+        return written(_answers(send(max(buckets, ranges)), width), name)
+    ranges *= fan
+    parties = -(-batches // fan)
+    party = F.col("bucket").cast("long") * parties + F.pmod(F.xxhash64("batch"), F.lit(parties))
+    sent = written(send(ranges).withColumn("party", party), f"{name}-sent")
+
+    def merge(table: pa.Table) -> pa.Table:
+        hashes, totals, _ = _summed(_parts(table, width)[1])
+        row = (0, table.column("party")[0].as_py(), packed_sorted(hashes), packed(totals.astype(np.uint64)))
+        return pa.Table.from_batches([_table([row])])
+
+    merged = written(sent.groupBy("party").applyInArrow(merge, BLOB), f"{name}-merged")
+
+    def send_on(finer: int) -> DataFrame:
+        def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(stream):
+                totals = unpacked(row["values"], np.uint64).reshape(-1, width)
+                yield _table(list(_sent(row["batch"], unpacked_sorted(row["hashes"]), totals, finer)))
+
+        return merged.mapInArrow(run, BLOB)
+
+    found = exchange(send_on, parties, buckets, width, fan, name, ranges)
+
+    def deal(members: pa.Table, answers: pa.Table) -> pa.Table:
+        bucket = members.column("bucket")[0].as_py()
+        batches, parts = _parts(members, width)
+        hashes, _, owner = _summed(parts)
+        got = sorted(zip(answers.column("bucket").to_pylist(), answers.column("values").to_pylist()))
+        totals = np.concatenate([unpacked(v, np.uint64).reshape(-1, width + 1) for _, v in got])
+        out = []
+        for i, (batch, (own, _)) in enumerate(zip(batches, parts)):
+            at = np.searchsorted(hashes, own)
+            mine = totals[at]
+            mine[:, -1] *= owner[at] == i
+            out.append((bucket, batch, b"", packed(mine)))
+        return pa.Table.from_batches([_table(out)])
+
+    answers = found.where("batch >= 0").withColumnRenamed("batch", "party")
+    dealt = sent.groupBy("party").cogroup(answers.groupBy("party")).applyInArrow(deal, BLOB)
+    return written(dealt.unionByName(found.where("batch < 0")), f"{name}-dealt")
+
+
 def _sums(answers: DataFrame) -> np.ndarray:
     """The shards' sums, added up: one short row for each shard."""
 
@@ -259,73 +345,72 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(
-    docs: DataFrame, train: Column, batch_words: int = 1_200_000, shard_words: int = 1_000_000,
+    docs: DataFrame, train: Column, order: int = 3, batch_words: int = 1_200_000, shard_words: int = 1_000_000, fan: int = 256,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """A row for each row of `docs`: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    The model learns from rows for which `train` holds, or is null; the others are held out.
-    `score` is the text's log10 probability under the model; `base_score` that of add-one
-    unigrams; `n_known` counts its tokens seen in training. Null and empty texts are an end
-    alone. Repeated rows count, and are scored, each. Perplexity is 10 ** (-score / n_tokens).
+    The model, of n-grams up to `order` (2 or more), learns from rows for which `train` holds, or
+    is null; the others are held out. `score` is the text's log10 probability under the model;
+    `base_score` that of add-one unigrams; `n_known` counts its tokens seen in training. Null and
+    empty texts are an end alone. Repeated rows count, and are scored, each. Perplexity is
+    10 ** (-score / n_tokens). `fan`, `batch_words` and `shard_words` bound what a task holds and
+    change no result.
     """
     state = written(encode(docs, train, batch_words, doc_id, text), "batches")
-    total = state.agg(F.sum("n_words")).first()[0] or 0
+    batches, total = state.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     buckets = max(partitions(docs.sparkSession), -(-total // shard_words))
-
-    def send_pairs(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(stream):
-            own = Batch(row)
-            yield _table(list(_sent(row["batch"], own.pair_hashes, own.pair_counts()[:, None], buckets)))
-
-    pairs = written(_answers(state.mapInArrow(send_pairs, BLOB), 1, True), "pairs")
-    pair_sums = _sums(pairs)
-
-    def send_words(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in _rows(stream):
-            own, got = Batch(row), _values(row, "a0", 2)
-            mine = (got[:, 1] == 1) & (got[:, 0] > 0)
-            left, right, c, n = own.left[mine], own.right[mine], got[mine, 0], len(own.hashes)
-            columns = [own.word_counts(), np.bincount(right, minlength=n), np.bincount(left, c, n)]
-            columns += [np.bincount(left[pick], minlength=n) for pick in (c == 1, c == 2, c > 2)]
-            table = np.column_stack(columns).astype(np.int64)[own.word_order]
-            yield _table(list(_sent(row["batch"], own.hashes[own.word_order], table, buckets)))
-
-    words = written(_answers(_joined(state, pairs).mapInArrow(send_words, BLOB), 6, False), "words")
-    word_sums = _sums(words)
-    if not len(word_sums):
-        word_sums, pair_sums = np.zeros(11, np.int64), np.zeros(6, np.int64)
-    tokens, kinds, vocabulary = int(word_sums[4]), int(word_sums[5]), int(word_sums[10])
-    cut, cut_low = discounts(pair_sums[:4]), discounts(word_sums[:4])
+    found: dict[int, DataFrame] = {}
+    sums: dict[int, np.ndarray] = {}
+    widths = {k: 1 if k == order else 6 if k == 1 else 5 for k in range(1, order + 1)}
+    for k in range(order, 0, -1):
+        source = _joined(state, found[k + 1]) if k < order else state
+
+        def send(ranges: int, k: int = k, source: DataFrame = source) -> DataFrame:
+            def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for row in _rows(stream):
+                    own = Batch(row, min(k + 1, order))
+                    above = _values(row, "a0", widths[k + 1] + 1)[:, [0, -1]] if k < order else None
+                    yield _table(list(_sent(row["batch"], own.grams[k - 1].hashes, own.columns(k, above), ranges)))
+
+            return source.mapInArrow(run, BLOB)
+
+        found[k] = exchange(send, batches, buckets, widths[k], fan, f"order{k}")
+        sums[k] = _sums(found[k])
+        if not len(sums[k]):
+            sums[k] = np.zeros(widths[k] + 5, np.int64)
+    cut = {k: discounts(v[:4]) for k, v in sums.items()}
+    kinds, tokens, vocabulary = int(sums[1][4]), int(sums[1][9]), int(sums[1][10])
     # Mass that the discounts of the word level set free, shared by the vocabulary and one unseen word.
-    n1, n2 = int(word_sums[0]), int(word_sums[1])
-    spare = cut_low[1] * n1 + cut_low[2] * n2 + cut_low[3] * (vocabulary - n1 - n2)
+    n1, n2 = int(sums[1][0]), int(sums[1][1])
+    spare = cut[1][1] * n1 + cut[1][2] * n2 + cut[1][3] * (vocabulary - n1 - n2)
 
     def score(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(stream):
-            own, pair = Batch(row), _values(row, "a0", 2)[:, 0]
-            word = np.empty((len(own.hashes), 6), np.int64)
-            word[own.word_order] = _values(row, "a1", 6)
-            c, follows, after = word[:, 0], word[:, 1], word[:, 2]
-            low = np.full(len(c), 1.0 / (vocabulary + 1))
+            own = Batch(row, order)
+            know = _values(row, "a0", widths[1] + 1)
+            seen = know[:, 5]
+            p = np.full(len(seen), 1.0 / (vocabulary + 1))
             if kinds:
-                low = np.maximum(follows - cut_low[np.minimum(follows, 3)], 0) / kinds + spare / kinds * low
-            share = np.maximum(after, 1)
-            back = np.where(after > 0, (word[:, 3:] @ cut[1:]) / share, 1.0)
-            high = np.maximum(pair - cut[np.minimum(pair, 3)], 0) / share[own.left]
-            logs = np.log10(high + back[own.left] * low[own.right])
-            base = np.log10((c + 1) / (tokens + vocabulary + 1))
-            n = len(own.sizes)
+                p = np.maximum(know[:, 0] - cut[1][np.minimum(know[:, 0], 3)], 0) / kinds + spare / kinds * p
+            for k in range(2, order + 1):
+                above, gram = know, own.grams[k - 1]
+                know = _values(row, f"a{k - 1}", widths[k] + 1)
+                c, share = know[:, 0], np.maximum(above[:, 1], 1)
+                back = np.where(above[:, 1] > 0, (above[:, 2:5] @ cut[k][1:]) / share, 1.0)
+                p = np.maximum(c - cut[k][np.minimum(c, 3)], 0) / share[gram.head] + back[gram.head] * p[gram.tail]
+            base = np.log10((seen + 1) / (tokens + vocabulary + 1))
+            word, n = own.grams[0].place, len(own.sizes)
             add = lambda values: np.bincount(own.doc, values, n)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(own.ids, pa.int64()), pa.array(own.held), pa.array(own.sizes),
-                    pa.array(add(c[own.tokens] > 0).astype(np.int64)), pa.array(np.full(n, tokens)),
-                    pa.array(add(base[own.tokens])), pa.array(add(logs[own.place])),
+                    pa.array(add(seen[word] > 0).astype(np.int64)), pa.array(np.full(n, tokens)),
+                    pa.array(add(base[word])), pa.array(add(np.log10(p)[own.grams[-1].place])),
                 ],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    return _joined(state, pairs, words).mapInArrow(
+    return _joined(state, *(found[k] for k in range(1, order + 1))).mapInArrow(
         score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from concordat.llm import kneser_ney
@@ -21,19 +23,24 @@ def held(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def plain(docs):
-    pairs, words = Counter(), Counter()
+def plain(docs, order=3):
+    """Kneser-Ney by its definition, of n-grams up to `order`: counts at the top, kinds of what goes before below."""
+    top, words = Counter(), Counter()
     for i, t in docs:
         if not held(i):
             own = tokens(t)
             words.update(own)
-            pairs.update(zip(["<s>", *own], own))
+            top.update(grams(own, order))
     n, v = sum(words.values()), len(words)
-    follows, after = Counter(w for _, w in pairs), Counter()
-    kinds = {}
-    for (a, _), c in pairs.items():
-        after[a] += c
-        kinds.setdefault(a, Counter())[min(c, 3)] += 1
+    counts = {order: top}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    after = {k: Counter() for k in counts}
+    kinds = {k: {} for k in counts}
+    for k, own in counts.items():
+        for g, c in own.items():
+            after[k][g[:-1]] += c
+            kinds[k].setdefault(g[:-1], Counter())[min(c, 3)] += 1
 
     def cuts(counts):
         n1, n2, n3, n4 = (sum(c == k for c in counts.values()) for k in (1, 2, 3, 4))
@@ -44,30 +51,36 @@ def plain(docs):
                 return [0, *found]
         return [0, 0.5, 1.0, 1.5]
 
-    high, low = cuts(pairs), cuts(follows)
-    mass = sum(low[min(c, 3)] for c in follows.values())
+    cut = {k: cuts(own) for k, own in counts.items()}
 
-    def word(w):
-        return max(follows[w] - low[min(follows[w], 3)], 0) / len(pairs) + mass / len(pairs) / (v + 1)
-
-    def pair(a, w):
-        if not after[a]:
-            return word(w)
-        c = pairs[a, w]
-        spare = sum(high[k] * m for k, m in kinds[a].items()) / after[a]
-        return max(c - high[min(c, 3)], 0) / after[a] + spare * word(w)
+    def chance(g):
+        if not g:
+            return 1 / (v + 1)
+        k, head = len(g), g[:-1]
+        if not after[k][head]:
+            return chance(g[1:])
+        c = counts[k][g]
+        spare = sum(cut[k][j] * m for j, m in kinds[k][head].items())
+        return (max(c - cut[k][min(c, 3)], 0) + spare * chance(g[1:])) / after[k][head]
 
     out = []
     for i, t in docs:
         own = tokens(t)
         base = sum(math.log10((words[w] + 1) / (n + v + 1)) for w in own)
-        score = sum(math.log10(pair(a, w)) for a, w in zip(["<s>", *own], own))
+        score = sum(math.log10(chance(g)) for g in grams(own, order))
         out.append((i, held(i), len(own), sum(words[w] > 0 for w in own), n, base, score))
-    total = sum(pair("the", w) for w in words) + pair("the", "never seen")
-    assert abs(total - 1) < 1e-9
+    for head in list(after[order])[:3]:
+        total = sum(chance((*head, w)) for w in words) + chance((*head, "never seen"))
+        assert abs(total - 1) < 1e-9
     return out
 
 
+def grams(own, order):
+    """The n-grams that end at each token, with starts before the first."""
+    full = ["<s>"] * (order - 1) + own
+    return zip(*(full[j:] for j in range(order)))
+
+
 def same(got, expected):
     key = lambda r: (repr(r[0]), r[2], round(r[6], 3))
     assert len(got) == len(expected)
@@ -82,6 +95,37 @@ def test_scores(frame, documents):
     same([tuple(r) for r in got.collect()], plain(documents))
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_over_parties_of_batches(frame, documents, order):
+    """With a fan of 3, some twenty batches pass through three levels of merging."""
+    docs = frame(documents).repartition(5)
+    got = kneser_ney.log_probabilities(docs, F.expr(SCORE_TRAIN), order, batch_words=8000, shard_words=20_000, fan=3)
+    same([tuple(r) for r in got.collect()], plain(documents, order))
+
+
+def test_rows_of_an_exchange_grow_in_proportion(spark):
+    """Rows that senders write, counted at two sizes: in proportion to the senders, but for a level more."""
+
+    def rows(batches):
+        rng = np.random.default_rng(5)
+        written = []
+
+        def send(ranges):
+            out = []
+            for b in range(batches):
+                hashes = np.unique(rng.integers(0, 2**63, 200, np.uint64) * np.uint64(2))
+                out += [(b, *x[:1], *x[2:]) for x in kneser_ney._sent(b, hashes, np.ones((len(hashes), 1), np.int64), ranges)]
+            written.append(len(out))
+            frame = spark.createDataFrame([(k, b, bytearray(h), bytearray(v)) for b, k, h, v in out], kneser_ney.BLOB)
+            return frame.repartition(4)
+
+        found = kneser_ney.exchange(send, batches, batches, 1, 4, "rows")
+        assert found.where("batch >= 0").select("batch").distinct().count() == batches
+        return written[0]
+
+    assert rows(40) <= 2.1 * rows(20)
+
+
 def test_query_and_held_out_gain(spark, folder):
     rows = [tuple(r) for r in op8_scores(spark, folder).collect()]
     same(rows, plain([tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]))
