@@ -63,6 +63,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def written_in_buckets(frame: DataFrame, key: str, name: str) -> DataFrame:
+    """As `written`, in as many buckets of `key` as there are shuffle partitions: joins on `key` then leave it in its place.
+
+    The table's name leaves the catalogue at once; its files stay in the shared folder.
+    """
+    spark = frame.sparkSession
+    own, path = f"llm_{uuid.uuid4().hex}", scratch(spark, name)
+    frame.write.bucketBy(partitions(spark), key).option("compression", "zstd").saveAsTable(own, format="parquet", path=path)
+    found = spark.table(own)
+    found.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {own}")
+    return found
+
+
 def small_batches(frame: DataFrame, rows: int = 1000) -> DataFrame:
     """`frame`, after the session is held to `rows` rows in an Arrow batch: texts are long, and a batch is held whole."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

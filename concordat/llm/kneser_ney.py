@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, pieces, small_batches, written
+from .common import partitions, pieces, small_batches, written, written_in_buckets
 
 START, END = 0, 1  # numbers of the two marks in every batch
 MARKS = [b" start", b" end"]  # no word holds a space
@@ -136,9 +136,9 @@ class Grams:
 
 
 def _ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(hashes)
+    order = np.argsort(hashes).astype(np.int32)
     rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
+    rank[order] = np.arange(len(order), dtype=np.int32)
     return order, rank
 
 
@@ -158,7 +158,7 @@ class Batch:
         n = len(words)
         for k in range(2, order + 1):
             low = self.grams[-1]
-            before = np.empty_like(low.place)
+            before = np.empty(len(low.place), np.int64)
             before[1:] = low.place[:-1]
             before[first] = low.start
             code, at, place = np.unique(
@@ -166,8 +166,8 @@ class Batch:
             )
             hashes = pair_hash(low.hashes[code // n], one.hashes[code % n])
             own, rank = _ranked(hashes)
-            tail = np.append(low.place, low.start)[at]
-            self.grams.append(Grams(hashes[own], rank[place[:-1]], int(rank[place[-1]]), (code // n)[own], tail[own]))
+            tail = np.append(low.place, np.int32(low.start))[at]
+            self.grams.append(Grams(hashes[own], rank[place[:-1]], int(rank[place[-1]]), (code // n).astype(np.int32)[own], tail[own]))
 
     def counts(self, order: int) -> np.ndarray:
         own = self.grams[order - 1]
@@ -345,7 +345,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 
 
 def log_probabilities(
-    docs: DataFrame, train: Column, order: int = 3, batch_words: int = 1_200_000, shard_words: int = 1_000_000, fan: int = 256,
+    docs: DataFrame, train: Column, order: int = 3, batch_words: int = 800_000, shard_words: int = 600_000, fan: int = 256,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """A row for each row of `docs`: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
@@ -357,7 +357,7 @@ def log_probabilities(
     10 ** (-score / n_tokens). `fan`, `batch_words` and `shard_words` bound what a task holds and
     change no result.
     """
-    state = written(encode(docs, train, batch_words, doc_id, text), "batches")
+    state = written_in_buckets(encode(docs, train, batch_words, doc_id, text), "batch", "batches")
     batches, total = state.agg(F.count("*"), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     buckets = max(partitions(docs.sparkSession), -(-total // shard_words))
     found: dict[int, DataFrame] = {}
