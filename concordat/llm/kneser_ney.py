@@ -8,10 +8,11 @@ counts of them; a task of a range adds them up to a shard of the model, a pair o
 hashes. So only packed arrays are shuffled, each batch gets the part of the model that it needs,
 and no worker holds the whole model, which grows with the corpus.
 
-A batch never writes to more than `fan` ranges at once. Where there are more batches than that,
+Up to `fan` batches write to all ranges, which are then as many as the words need, or as there
+are shuffle partitions. Where there are more batches, each writes to `fan` ranges only, and
 parties of `fan` batches are merged range by range, the merged arrays are exchanged like batches
-of their own, over finer ranges, and what comes back is dealt to the members. So the rows of an
-exchange are batches times `fan`, times the levels, which are the logarithm of the batches.
+of their own, over finer ranges, and what comes back is dealt to the members. So the rows of a
+level are batches times `fan` or so, and the levels are the logarithm of the batches.
 
     order 3   c(u v w) of all training texts
     order 2   N1+(. v w), the kinds of triples that end so

@@ -97,7 +97,7 @@ def test_scores(frame, documents):
 
 @pytest.mark.parametrize("order", [2, 3])
 def test_scores_over_parties_of_batches(frame, documents, order):
-    """With a fan of 3, some twenty batches pass through three levels of merging."""
+    """With a fan of 3, a dozen batches or so are merged level by level."""
     docs = frame(documents).repartition(5)
     got = kneser_ney.log_probabilities(docs, F.expr(SCORE_TRAIN), order, batch_words=8000, shard_words=20_000, fan=3)
     same([tuple(r) for r in got.collect()], plain(documents, order))
