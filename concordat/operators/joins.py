@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import unsized
 from ..sources import descriptors
 from . import contract
 from .coverage import COMPARISONS, Join, UnusableJoin
@@ -51,23 +52,23 @@ def plan_joins(parsed: DataFrame, write: bool = False) -> DataFrame:
     """One row per declared join: the tables it runs on, or what keeps it from running.
 
     `parsed` is as `descriptors.parse_descriptors` returns it. `write`: coverage is about to be measured, and need not
-    be stated. Declarations meet one row per package and resource, and one per resource name.
+    be stated. Declarations meet one row per package, and one per resource name.
     """
     fields = descriptors.contract_fields(parsed).groupBy("package", "resource").agg(F.collect_set("field").alias("has"))
-    # A name that several resources of one package carry is ambiguous too: count declarations, not packages.
-    index = descriptors.resource_index(descriptors.contract_resources(parsed)).select(
-        F.col("resource").alias("target"), "declarations", F.col("package").alias("owner")
+    packages = fields.groupBy("package").agg(F.collect_list(F.struct("resource", "has")).alias("tables"))
+    # A name that several resources of one package carry is ambiguous too: count declarations, not packages. What the
+    # only declaration of a name has is all that is looked at, so the least of them will do.
+    names = F.when(F.col("package").isNotNull(), F.col("schema.fields.name"))
+    index = descriptors.contract_resources(parsed).groupBy(F.col("resource").alias("target")).agg(
+        F.count(F.lit(1)).alias("declarations"), F.min("package").alias("owner"), F.min(names).alias("there")
     )
     joins = descriptors.contract_joins(parsed).withColumns(
-        {"number": F.monotonically_increasing_id(), "wrong": _malformed(write), "scope": F.from_json("where_json", SCOPE)}
+        {"wrong": _malformed(write), "scope": F.from_json("where_json", SCOPE)}
     )
     joins = joins.withColumn("needed", F.array_compact(F.array_append("fields", F.col("scope.field"))))
-    holds = F.size(F.array_except("needed", F.coalesce("has", F.array().cast("array<string>")))) == 0
-    left = joins.join(fields, "package", "left").groupBy("number").agg(
-        F.array_sort(F.collect_list(F.when(holds, F.col("resource")))).alias("lefts")
-    )
-    right = fields.select(F.col("package").alias("owner"), F.col("resource").alias("target"), F.col("has").alias("there"))
-    met = joins.join(left, "number").join(index, "target", "left").join(right, ["owner", "target"], "left")
+    met = joins.join(unsized(packages), "package", "left").join(unsized(index), "target", "left")
+    holding = F.filter("tables", lambda t: F.size(F.array_except("needed", t["has"])) == 0)
+    met = met.withColumn("lefts", F.array_sort(F.coalesce(F.transform(holding, lambda t: t["resource"]), F.array().cast("array<string>"))))
     undeclared = F.array_except("target_fields", F.coalesce("there", F.array().cast("array<string>")))
     needed = F.array_join("needed", ", ")
     finding = F.coalesce(

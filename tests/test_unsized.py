@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from concordat.operators import contract
+from concordat.operators import contract, joins
 from concordat.sources import descriptors
 
 
@@ -26,3 +26,9 @@ def test_foreign_keys_are_met_without_a_broadcast(parsed):
         descriptors.contract_foreign_keys(parsed), descriptors.contract_fields(parsed), descriptors.contract_resources(parsed)
     )
     assert checked.collect() == [] and broadcasts(checked) == 0
+
+
+def test_joins_are_planned_without_a_broadcast(parsed):
+    planned = joins.plan_joins(parsed)
+    assert {(r.package, r.resource, r.owner, r.finding) for r in planned.collect()} == {(f"p{n}", f"r{n}", "p0", None) for n in range(3)}
+    assert broadcasts(planned) == 0
