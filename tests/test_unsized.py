@@ -32,3 +32,9 @@ def test_joins_are_planned_without_a_broadcast(parsed):
     planned = joins.plan_joins(parsed)
     assert {(r.package, r.resource, r.owner, r.finding) for r in planned.collect()} == {(f"p{n}", f"r{n}", "p0", None) for n in range(3)}
     assert broadcasts(planned) == 0
+
+
+def test_types_are_met_without_a_broadcast(parsed, rows):
+    physical = rows("package string, resource string, field string, physical string", ("p0", "r0", "key", "string"), ("p1", "r1", "key", "int"))
+    checked = contract.check_types(descriptors.contract_fields(parsed), physical)
+    assert rows.of(checked, "package", "rule") == [("p0", "type")] and broadcasts(checked) == 0
