@@ -5,6 +5,7 @@ import json
 import pytest
 
 from concordat.operators import contract, joins
+from concordat.plans import queries
 from concordat.sources import descriptors
 
 
@@ -38,3 +39,7 @@ def test_types_are_met_without_a_broadcast(parsed, rows):
     physical = rows("package string, resource string, field string, physical string", ("p0", "r0", "key", "string"), ("p1", "r1", "key", "int"))
     checked = contract.check_types(descriptors.contract_fields(parsed), physical)
     assert rows.of(checked, "package", "rule") == [("p0", "type")] and broadcasts(checked) == 0
+
+
+def test_the_report_of_all_checks_broadcasts_nothing(spark):
+    assert broadcasts(queries.registered()["violation_report"](spark, "/root/testdata/sf0.001")) == 0
