@@ -61,3 +61,17 @@ def test_what_is_no_json_is_a_finding(spark):
 def test_no_documents(spark):
     none = spark.createDataFrame([], "id int, body string")
     assert document_diff(none, none, "id", "body").collect() == []
+
+
+def test_shallow_documents_are_gone_over_once(spark, monkeypatch):
+    from concordat.operators import documents
+
+    kept, stagings = documents.staged, []
+    monkeypatch.setattr(documents, "staged", lambda table, name: (stagings.append(name), kept(table, name))[1])
+    deep = '{"a":{"b":{"c":[1,%s]}}}'
+    left = spark.createDataFrame([(1, deep % 1), (2, deep % '{"d":{"e":{"f":1}}}')], "id int, body string")
+    right = spark.createDataFrame([(1, deep % 2), (2, deep % '{"d":{"e":{"f":2}}}')], "id int, body string")
+    flat = document_diff(left.where("id = 1").selectExpr("id", "'{\"a\":{\"b\":1}}' as body"), right.where("id = 1").selectExpr("id", "'{\"a\":{\"b\":2}}' as body"), "id", "body")
+    assert [tuple(r) for r in flat.collect()] == [(1, "/a/b", "value", "1", "2")] and len(stagings) == 1
+    both = document_diff(left, right, "id", "body")
+    assert sorted(r.pointer for r in both.collect()) == ["/a/b/c/1", "/a/b/c/1/d/e/f"]
