@@ -27,7 +27,8 @@ DEFAULT_CATEGORY = "GENERAL"
 
 def tidy_key(key: Column) -> Column:
     """A filer's key in one form: trimmed, a number without leading zeros."""
-    return F.regexp_replace(F.trim(key), r"^0+(?=[0-9]+$)", "")
+    text = F.trim(key)
+    return F.when(text.startswith("0"), F.regexp_replace(text, r"^0+(?=[0-9]+$)", "")).otherwise(text)
 
 
 def published_ids(register: DataFrame) -> DataFrame:

@@ -54,3 +54,13 @@ def test_an_empty_table_has_no_rows_out_of_order(spark, rows, tmp_path):
     path = f"{tmp_path}/none"
     export.export_ordered(rows("v int"), path, ["v"], 10)
     assert export.order_report(spark, path, ["v"]).first().out_of_order == 0
+
+
+def test_the_published_crosswalk_works_its_edges_out_once(spark, monkeypatch):
+    from concordat import session
+    from concordat.plans import queries
+
+    kept, names = session.staged, []
+    monkeypatch.setattr(session, "staged", lambda table, name: (names.append(name), kept(table, name))[1])
+    queries.registered()["published_crosswalk"](spark, "/root/testdata/sf0.001")
+    assert names == ["edges"]
