@@ -43,3 +43,10 @@ def test_types_are_met_without_a_broadcast(parsed, rows):
 
 def test_the_report_of_all_checks_broadcasts_nothing(spark):
     assert broadcasts(queries.registered()["violation_report"](spark, "/root/testdata/sf0.001")) == 0
+
+
+def test_the_report_of_all_checks_holds_no_plan_of_a_check(spark):
+    report = queries.registered()["violation_report"](spark, "/root/testdata/sf0.001")
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Aggregate") == 1
+    assert report.count() == report.select("package", "resource", "rule").distinct().count() > 0
