@@ -169,28 +169,26 @@ def _stirred(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
-    """The set of each text's runs of `size` words, A-Z lower-cased, as ascending 64-bit hashes; of all its words where there are fewer.
+def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
+    """One by one, the set of each text's runs of `size` words, A-Z lower-cased, as ascending 64-bit hashes; of all its words where there are fewer.
 
     A run's hash is a polynomial in its words' hashes, so runs are never built.
     """
     global _KNOWN
-    if len(_KNOWN) > KEPT:
-        _KNOWN = _Words()
-    out = []
     for text in texts:
+        if len(_KNOWN) > KEPT:
+            _KNOWN = _Words()
         said = (text or "").encode("utf-8", "replace").lower().split()
         run = min(size, len(said))
         if not run:
-            out.append(np.empty(0, np.uint64))
+            yield np.empty(0, np.uint64)
             continue
         words = np.fromiter(map(_KNOWN.__getitem__, said), np.uint64, len(said))
         last = len(words) - run + 1
         mixed = words[:last].copy()
         for k in range(1, run):
             mixed = _stirred(mixed * FACTOR + words[k : last + k])
-        out.append(np.unique(_stirred(mixed + np.uint64(run))))
-    return out
+        yield np.unique(_stirred(mixed + np.uint64(run)))
 
 
 def _outline(shingle: int):
@@ -208,20 +206,23 @@ def _outline(shingle: int):
 
 
 def _alike(shingle: int, similarity: float):
-    """Whether the sets of two texts have the similarity."""
+    """Of batches (a, b, a_text, b_text) the pairs whose sets have the similarity."""
 
-    @F.pandas_udf("boolean")
-    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
-        # Pairs come sorted by one end, so many share a text: each is taken apart once a batch.
-        numbers, said = pd.factorize(pd.concat([left, right], ignore_index=True), use_na_sentinel=False)
-        sets = shingle_sets([t if isinstance(t, str) else None for t in said], shingle)
-        out = []
-        for a, b in zip(numbers[: len(left)], numbers[len(left) :]):
-            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-            out.append(both * (1 + similarity) >= (len(sets[a]) + len(sets[b])) * similarity - 1e-6)
-        return pd.Series(out, dtype=bool)
-
-    return alike
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of a batch only a few MB of texts are taken apart at a time: sets are larger than texts.
+        for batch in pieces(stream, 2 << 20):
+            # Pairs come sorted by one end, so many share a text: each is taken apart once.
+            left, right = (batch.column(f"{n}_text").to_pylist() for n in ("a", "b"))
+            numbers: dict[str | None, int] = {}
+            ends = [(numbers.setdefault(x, len(numbers)), numbers.setdefault(y, len(numbers))) for x, y in zip(left, right)]
+            sets = list(shingle_sets(list(numbers), shingle))
+            keep = []
+            for a, b in ends:
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                keep.append(both * (1 + similarity) >= (len(sets[a]) + len(sets[b])) * similarity - 1e-6)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def common_marks(texts: DataFrame, shingle: int, least: int) -> tuple[bytes, int]:
@@ -234,7 +235,7 @@ def common_marks(texts: DataFrame, shingle: int, least: int) -> tuple[bytes, int
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(stream, 4 << 20):
-            sets = shingle_sets(batch.column(0).to_pylist(), shingle)
+            sets = list(shingle_sets(batch.column(0).to_pylist(), shingle))
             found, n = np.unique(np.concatenate(sets) >> np.uint64(64 - COUNTED), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int32))], ["h", "n"])
 
@@ -284,7 +285,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     """Those of the pairs (a, b) of numbers in `texts` whose sets have the similarity. Texts are shuffled, which are smaller than sets."""
     left, right = (texts.select(F.col("uid").alias(n), F.col("text").alias(f"{n}_text")) for n in ("a", "b"))
     met = small_batches(pairs.join(left, "a").join(right, "b"))
-    return met.select("a", "b", _alike(shingle, similarity)("a_text", "b_text").alias("alike")).where("alike").select("a", "b")
+    return met.select("a", "b", "a_text", "b_text").mapInArrow(_alike(shingle, similarity), "a long, b long")
 
 
 def similar_rows(

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import xxhash
 
 from concordat.llm import simhash
@@ -220,3 +221,14 @@ def test_pairs_grow_with_a_group_not_with_its_square(frame, monkeypatch):
             simhash.similar_rows(frame(enumerate(variants(random.Random(n), n, 200, share)))).count()
             pairs.append(sum(counted))
         assert pairs[1] <= 2.3 * max(pairs[0], 10) and pairs[1] <= 2 * 800, (share, pairs)
+
+
+def test_pairs_are_taken_apart_a_few_megabytes_at_a_time(monkeypatch):
+    texts = [" ".join(f"w{i}x{k}" for k in range(20_000)) for i in range(40)]
+    near = [t + " end" for t in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(range(40, 80)), pa.array(texts), pa.array([*near[:20], *texts[:20]])], ["a", "b", "a_text", "b_text"])
+    held, plain = [], simhash.shingle_sets
+    monkeypatch.setattr(simhash, "shingle_sets", lambda said, size: held.append(sum(map(len, said))) or plain(said, size))
+    found = [row for part in simhash._alike(5, 0.8)(iter([batch])) for row in part.to_pylist()]
+    assert found == [{"a": i, "b": i + 40} for i in range(20)]
+    assert sum(held) > 10 << 20 and max(held) < 4 << 20
