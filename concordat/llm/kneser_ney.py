@@ -136,8 +136,30 @@ class Grams:
     tail: np.ndarray | None = None  # in the order below: without the first word
 
 
+def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct numbers, ascending, for each a place where it stands, and for each place its number's rank.
+
+    Numbers that leave room for their places are sorted with these as one; that is many times faster than an order.
+    """
+    bits = max(1, (len(codes) - 1).bit_length())
+    if int(codes.max()) >> (63 - bits):
+        order = np.argsort(codes)
+    else:
+        order = np.sort(codes << bits | np.arange(len(codes))) & ((1 << bits) - 1)
+    ranked = codes[order]
+    fresh = np.append(True, ranked[1:] != ranked[:-1])
+    rank = np.empty(len(codes), np.int32)
+    rank[order] = np.cumsum(fresh) - 1
+    return ranked[fresh], order[fresh], rank
+
+
 def _ranked(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(hashes).astype(np.int32)
+    bits = max(1, (len(hashes) - 1).bit_length())
+    low = np.uint64((1 << bits) - 1)
+    order = (np.sort(hashes & ~low | np.arange(len(hashes), dtype=np.uint64)) & low).astype(np.int32)
+    ranked = hashes[order]
+    if (ranked[1:] < ranked[:-1]).any():  # two that differ in their last bits only
+        order = np.argsort(hashes).astype(np.int32)
     rank = np.empty_like(order)
     rank[order] = np.arange(len(order), dtype=np.int32)
     return order, rank
@@ -162,9 +184,7 @@ class Batch:
             before = np.empty(len(low.place), np.int64)
             before[1:] = low.place[:-1]
             before[first] = low.start
-            code, at, place = np.unique(
-                np.append(before * n + one.place, low.start * n + one.start), return_index=True, return_inverse=True
-            )
+            code, at, place = _distinct(np.append(before * n + one.place, low.start * n + one.start))
             hashes = pair_hash(low.hashes[code // n], one.hashes[code % n])
             own, rank = _ranked(hashes)
             tail = np.append(low.place, np.int32(low.start))[at]
@@ -227,10 +247,15 @@ class Shard:
 def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct hashes of all parts, their totals, and for each the first part that has it."""
     every = np.concatenate([h for h, _ in parts])
-    hashes, first, place = np.unique(every, return_index=True, return_inverse=True)
-    values = np.concatenate([v for _, v in parts])
-    totals = np.column_stack([np.bincount(place, values[:, k], len(hashes)) for k in range(values.shape[1])]).astype(np.int64)
-    return hashes, totals, np.searchsorted(np.cumsum([len(h) for h, _ in parts]), first, "right")
+    order = np.argsort(every, kind="stable")  # which finds the parts' own order
+    ranked, values = every[order], np.concatenate([v for _, v in parts])[order]
+    fresh = np.append(True, ranked[1:] != ranked[:-1])
+    at, again = np.flatnonzero(fresh), np.flatnonzero(~fresh)
+    totals, place = values[at], (np.cumsum(fresh) - 1)[again]
+    for k in range(totals.shape[1]):
+        totals[:, k] += np.bincount(place, values[again, k], len(at)).astype(np.int64)
+    owner = np.repeat(np.arange(len(parts)), [len(h) for h, _ in parts])
+    return ranked[at], totals, owner[order[at]]
 
 
 def _parts(table: pa.Table, width: int) -> tuple[list[int], list[tuple[np.ndarray, np.ndarray]]]:

@@ -136,3 +136,21 @@ def test_no_documents_and_no_training(frame):
     assert kneser_ney.log_probabilities(frame([]), F.expr(SCORE_TRAIN)).collect() == []
     got = kneser_ney.log_probabilities(frame([(1, "a b"), (2, None)]), F.lit(False)).collect()
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.score) for r in got) == [(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)]
+
+
+def test_orders_that_are_sorted_with_their_places_are_those_of_the_numbers():
+    rng = np.random.default_rng(5)
+    for codes in (rng.integers(0, 50, 300), rng.integers(0, 2**62, 300), np.array([7]), np.array([2**62, 0, 2**62])):
+        found, at, rank = kneser_ney._distinct(codes)
+        assert found.tolist() == np.unique(codes).tolist() and (codes[at] == found).all() and (found[rank] == codes).all()
+    near = np.array([5, 3, 2**63 + 1, 4, 2**63], np.uint64)  # differ in the bits that their places take
+    for hashes in (near, rng.integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2), np.array([9], np.uint64)):
+        order, rank = kneser_ney._ranked(hashes)
+        assert hashes[order].tolist() == sorted(hashes.tolist()) and order[rank].tolist() == list(range(len(hashes)))
+
+
+def test_shards_add_up_what_batches_sent_and_name_the_first_as_owner():
+    parts = [(np.array([2, 5, 9], np.uint64), np.array([[1, 2], [3, 4], [5, 6]])), (np.array([1, 5, 9], np.uint64), np.array([[7, 8], [9, 1], [2, 3]]))]
+    hashes, totals, owner = kneser_ney._summed(parts)
+    assert hashes.tolist() == [1, 2, 5, 9] and owner.tolist() == [1, 0, 0, 0]
+    assert totals.tolist() == [[7, 8], [1, 2], [12, 5], [7, 9]] and totals.dtype == np.int64
