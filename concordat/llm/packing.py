@@ -45,6 +45,14 @@ def _mixed(terms: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def grams(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different terms of all lists, list by list in ascending order: term, number of its list, times in it."""
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    terms = np.concatenate(lists) if lists else owner
+    both, times = np.unique(owner << 32 | terms.astype(np.int64), return_counts=True)
+    return both & 0xFFFFFFFF, both >> 32, times
+
+
 class Deal:
     """Gives each token list its key in an order where like lists lie together, and its run of that order.
 
@@ -72,10 +80,7 @@ class Deal:
 
     def vectors(self, lists: list[np.ndarray]) -> np.ndarray:
         """The BM25 weights of each list, hashed, at length one."""
-        grams = [np.unique(x, return_counts=True) for x in lists]
-        term = np.concatenate([g[0] for g in grams])
-        owner = np.repeat(np.arange(len(lists)), [len(g[0]) for g in grams])
-        times = np.concatenate([g[1] for g in grams]).astype(float)
+        term, owner, times = grams(lists)
         norm = K1 * (1 - B + B * np.array([len(x) for x in lists]) / self.mean)
         weight = self.idf[term] * times * (K1 + 1) / (times + norm[owner]) * self.sign[term]
         made = np.bincount(owner * DIMENSIONS + self.bucket[term], weight, len(lists) * DIMENSIONS).reshape(len(lists), DIMENSIONS)
@@ -121,27 +126,30 @@ class Bm25:
     def __init__(self, lists: list[np.ndarray], terms: int | None = None):
         self.terms = terms
         sizes = np.array([len(x) for x in lists], float)
-        grams = [np.unique(x, return_counts=True) for x in lists]
-        term = np.concatenate([g[0] for g in grams]) if grams else np.empty(0, np.uint32)
-        owner = np.repeat(np.arange(len(lists)), [len(g[0]) for g in grams])
-        times = np.concatenate([g[1] for g in grams]).astype(float) if grams else np.empty(0)
+        term, owner, times = grams(lists)
         self.vocabulary, place, df = np.unique(term, return_inverse=True, return_counts=True)
         self.idf = np.log1p((len(lists) - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1e-9)) if len(sizes) else sizes
         weight = self.idf[place] * times * (K1 + 1) / (times + norm[owner]) if len(term) else times
         order = np.argsort(place, kind="stable")
         self.owner, self.weight = owner[order], weight[order].astype(np.float32)
-        self.ends = np.concatenate([[0], np.cumsum(df)])
-        self.starts = np.concatenate([[0], np.cumsum([len(g[0]) for g in grams])])
+        self.df, self.ends = df, np.concatenate([[0], np.cumsum(df)])
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lists)))])
         self.place = place
 
+    def shrink(self, unused: np.ndarray) -> None:
+        """Leave out the postings of documents that are used up. Weights stay as they were over all documents."""
+        keep = unused[self.owner]
+        self.ends = np.concatenate([[0], np.cumsum(keep)])[self.ends]
+        self.owner, self.weight = self.owner[keep], self.weight[keep]
+
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best full BM25 score first, then by position.
 
         A window takes a few of them, so those after the best are sorted when they are asked for.
         """
         own = self.place[self.starts[seed] : self.starts[seed + 1]]
-        own = own[self.ends[own + 1] - self.ends[own] > 1]  # a term of the seed alone finds nothing
+        own = own[self.df[own] > 1]  # a term of the seed alone finds nothing
         if self.terms is not None and len(own) > self.terms:
             own = own[np.argsort(-self.idf[own], kind="stable")[: self.terms]]
         if not len(own):
@@ -168,7 +176,11 @@ def fill(tails: list[np.ndarray], window: int, terms: int | None = None) -> list
     at = np.zeros(len(tails), np.int64)
     unused = left > 0
     total, seed, windows = int(left.sum()), 0, []
+    held = len(tails)
     while total > 0:
+        if (open_ := int(unused.sum())) <= 0.5 * held:
+            index.shrink(unused)
+            held = open_
         size = window if total >= window else 1 << (total.bit_length() - 1)
         total -= size
         while not unused[seed]:
@@ -243,7 +255,7 @@ def pack(
             if not own:
                 continue
             seen, size = seen + len(own), size + sum(map(len, own))
-            more = np.bincount(np.concatenate([np.unique(x) for x in own]).astype(np.int64), minlength=len(found))
+            more = np.bincount(grams(own)[0], minlength=len(found))
             more[: len(found)] += found
             found = more
         at = np.flatnonzero(found)

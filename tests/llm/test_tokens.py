@@ -29,6 +29,44 @@ def test_cut_texts_encode_like_whole_ones(name, joins, documents):
     assert [np.frombuffer(x, np.uint32).tolist() for x in got] == plain(name, texts)
 
 
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, real):
+        self.real, self.texts = real, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.real.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("name,joins", FILES)
+def test_new_pieces_reach_the_library_many_to_a_text(name, joins):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefghijklmnopé") for _ in range(9)) for _ in range(6400)]
+    texts = ["\n".join(words[at : at + 100]) for at in range(0, 6400, 100)]  # no piece begins with a space
+    made = Encoder(tokenizer(name), joins)
+    made.tokenizer, made.merger = Counted(made.tokenizer), Counted(made.merger)
+    got = made.encode(texts)
+    assert made.tokenizer.texts + made.merger.texts < 200
+    assert [np.frombuffer(x, np.uint32).tolist() for x in got] == plain(name, texts)
+
+
+def test_texts_split_together_stay_apart():
+    texts = ["it'", "s", "", " ", "", "'s", "x ", "y", "  ", "'", "ll", "a\n", "\n b", "'re", "7", "8", None, "漢", "z'"]
+    for name, joins in FILES:
+        for chunk in (1, 1 << 20):
+            got = Encoder(tokenizer(name), joins, chunk=chunk).encode(texts)
+            assert [np.frombuffer(x, np.uint32).tolist() for x in got] == plain(name, texts)
+
+
+def test_a_worker_keeps_few_pieces():
+    made = Encoder(tokenizer("byte_bpe_50k.json"), True)
+    for at in range(0, 240_000, 40_000):
+        made.encode([" ".join(f"{k}" for k in range(at, at + 40_000))])
+    assert len(made.known) <= 200_000
+
+
 def test_token_files(spark, frame, documents, tmp_path):
     out = str(tmp_path / "tokens")
     docs = frame(documents).selectExpr("*", "doc_id as ids", "text as part")
@@ -155,6 +193,18 @@ def test_bm25_against_plain_scores():
     assert np.allclose(score[got], sorted(score[unused & (score > 0)], reverse=True), rtol=1e-4)
 
 
+def test_used_up_texts_leave_the_index():
+    rng = np.random.default_rng(5)
+    lists = [rng.integers(0, 200, rng.integers(1, 60)).astype(np.uint32) for _ in range(300)]
+    unused = rng.random(300) < 0.4
+    for terms in (None, 5):
+        index, whole = packing.Bm25(lists, terms), packing.Bm25(lists, terms)
+        index.shrink(unused)
+        assert len(index.owner) < 0.6 * len(whole.owner)
+        for seed in np.flatnonzero(unused).tolist():
+            assert list(index.neighbours(seed, unused)) == list(whole.neighbours(seed, unused))
+
+
 def test_terms_of_one_text_hide_no_neighbour():
     own = [np.arange(1000 * k, 1000 * k + 40) for k in range(1, 5)]  # forty terms that no other text has
     common = [np.arange(5), np.arange(5), np.arange(100, 105), np.arange(100, 105)]
