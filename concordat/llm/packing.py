@@ -132,8 +132,16 @@ class Bm25:
         norm = K1 * (1 - B + B * sizes / max(sizes.mean(), 1e-9)) if len(sizes) else sizes
         weight = self.idf[place] * times * (K1 + 1) / (times + norm[owner]) if len(term) else times
         order = np.argsort(place, kind="stable")
+        # Terms of an eighth of the documents or more are rows of a table, as theirs are most postings; the others have lists.
+        self.df, common = df, np.flatnonzero(df >= max(2, len(lists) / 8))
+        self.row = np.full(len(df), -1)
+        self.row[common] = np.arange(len(common))
+        self.table = np.zeros((len(common), len(lists)), np.float32)
+        often = self.row[place] >= 0
+        self.table[self.row[place[often]], owner[often]] = weight[often]
+        order = order[~often[order]]
         self.owner, self.weight = owner[order], weight[order].astype(np.float32)
-        self.df, self.ends = df, np.concatenate([[0], np.cumsum(df)])
+        self.ends = np.concatenate([[0], np.cumsum(np.where(self.row >= 0, 0, df))])
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lists)))])
         self.place = place
 
@@ -154,9 +162,13 @@ class Bm25:
             own = own[np.argsort(-self.idf[own], kind="stable")[: self.terms]]
         if not len(own):
             return
-        spans = [slice(a, b) for a, b in zip(self.ends[own].tolist(), self.ends[own + 1].tolist())]
-        owner, weight = (np.concatenate([x[span] for span in spans]) for x in (self.owner, self.weight))
-        score = np.bincount(owner, weight, len(unused))
+        row = self.row[own]
+        score = self.table[row[row >= 0]].sum(0).astype(float)
+        own = own[row < 0]
+        if len(own):
+            spans = [slice(a, b) for a, b in zip(self.ends[own].tolist(), self.ends[own + 1].tolist())]
+            owner, weight = (np.concatenate([x[span] for span in spans]) for x in (self.owner, self.weight))
+            score += np.bincount(owner, weight, len(unused))
         found = np.flatnonzero((score > 0) & unused)
         if len(found) > 64:
             own = score[found]

@@ -163,6 +163,7 @@ class Encoder:
                 for k, ids in zip(part, self._joined([plain[k] for k in part])):
                     found[k] = ids
                 part, size = [], 0
+        pa.default_memory_pool().release_unused()  # other stages of this worker's executor need it
         return found
 
 

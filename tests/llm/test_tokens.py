@@ -193,6 +193,24 @@ def test_bm25_against_plain_scores():
     assert np.allclose(score[got], sorted(score[unused & (score > 0)], reverse=True), rtol=1e-4)
 
 
+def test_common_terms_stand_in_a_table_and_score_as_in_lists():
+    rng = np.random.default_rng(6)
+    lists = [np.concatenate([rng.choice(20, 10, False), rng.integers(100, 900, rng.integers(0, 40))]).astype(np.uint32) for _ in range(200)]
+    index = packing.Bm25(lists)
+    assert len(index.table) == 20 and len(index.owner) == sum(len(set(x.tolist())) - 10 for x in lists)
+    mean = np.mean([len(x) for x in lists])
+    sets = [set(x.tolist()) for x in lists]
+    unused = np.arange(200) != 7
+    score = np.zeros(200)
+    for t in sets[7]:
+        df = sum(t in s for s in sets)
+        for d in (d for d in range(200) if t in sets[d]):
+            tf = int((lists[d] == t).sum())
+            score[d] += np.log1p((200 - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(lists[d]) / mean))
+    got = list(index.neighbours(7, unused))
+    assert np.allclose(score[got], sorted(score[unused & (score > 0)], reverse=True), rtol=1e-4)
+
+
 def test_used_up_texts_leave_the_index():
     rng = np.random.default_rng(5)
     lists = [rng.integers(0, 200, rng.integers(1, 60)).astype(np.uint32) for _ in range(300)]
