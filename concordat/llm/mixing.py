@@ -21,9 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import WORD, free_name, partitions, small_batches, word_count, written
 
@@ -139,9 +141,11 @@ class Mix:
         blocks = np.array([-(-sizes[s] // block_words) for s in names], np.int64)
         share = [goal[s] / sizes[s] if sizes[s] else 0.0 for s in names]
         quotas = np.minimum(np.round(np.array(share) * blocks).astype(np.int64), PASSES * blocks)
-        table = spark.createDataFrame(
-            [(i, s, sizes[s], float(goal[s])) for i, s in enumerate(names)], f"s int, source {rows.schema['source'].dataType.simpleString()}, source_size long, target double"
-        )
+        # As an Arrow table: rows of a list would go through Python workers of another kind, which stay beside the others.
+        told = [range(len(names)), names, [sizes[s] for s in names], [float(goal[s]) for s in names]]
+        kind = f"s int, source {rows.schema['source'].dataType.simpleString()}, source_size long, target double"
+        kinds = [pa.int32(), to_arrow_type(rows.schema["source"].dataType), pa.int64(), pa.float64()]
+        table = spark.createDataFrame(pa.table([pa.array(x, t) for x, t in zip(told, kinds)], ["s", "source", "source_size", "target"]), kind)
         known = rows.withColumnRenamed("source", "own").join(F.broadcast(table), F.col("own").eqNullSafe(F.col("source")))
         self.documents = known.select("uid", "doc_id", "size", "source_size", "target")
 
@@ -201,6 +205,10 @@ def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
+# Marked so, or the planner copies it into a filter before the explode, and each task runs it twice, in two workers at once.
+_cut = _cut.asNondeterministic()
+
+
 def mixed_rows(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", **options) -> DataFrame:
     """The mix as rows of `docs`: one for each run of words taken of a document in one pass, its text the run as it
     stands in the document, its `n_chars` the run's length. Whole documents taken stay whole. Columns stay as they are."""

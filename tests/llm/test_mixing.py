@@ -80,3 +80,13 @@ def test_mixed_rows_hold_what_is_taken(spark, folder):
     expected = {r.doc_id: r.taken for r in mixing.Mix(docs).taken().collect() if r.taken}
     assert taken.keys() == expected.keys()
     assert abs(sum(taken.values()) - sum(expected.values())) <= 0.01 * sum(expected.values())
+
+
+def test_texts_are_cut_once_and_sources_need_no_python_worker(frame):
+    rows = [(i, f"a b c {i}\n" * (1 + i % 40), s, 0) for i, s in enumerate(["x", None, "y"] * 40)]
+    mixed = mixing.mixed_rows(frame(rows, "doc_id long, text string, source string, n_chars int"))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "ExistingRDD" not in plan
+    text = {i: t for i, t, _, _ in rows}
+    got = mixed.collect()
+    assert {r.source for r in got} == {"x", None, "y"} and all(r.text in text[r.doc_id] and r.n_chars == len(r.text) for r in got)
