@@ -201,7 +201,8 @@ def fit(labelled: DataFrame, stats: str, quality: str, key: str, max_rows: int =
     sample = rows.orderBy(F.xxhash64(key), key, *(f"{stats}.{n}" for n in BASE)).limit(max_rows)
     forests = [grow(x, trees, seed=7 + i) for i, x in enumerate(features(sample.select(f"{stats}.*").toPandas()))]
     model = QualityModel(forests, [1.0] * len(forests))
-    scored = rows.select(quality, model.anomaly()(F.col(stats)).alias("scores"))
+    # Marked so, or the planner copies it into the filters below, and each task runs it twice, in two workers at once.
+    scored = rows.select(quality, model.anomaly().asNondeterministic()(F.col(stats)).alias("scores"))
     for rule in range(len(forests)):
         # Rows that an earlier rule rejects are no reason for a later one.
         left = scored.where(reduce(and_, (F.col("scores")[i] <= t for i, t in enumerate(model.thresholds))))

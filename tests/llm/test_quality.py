@@ -5,6 +5,7 @@ import re
 import numpy as np
 
 from concordat.llm import quality
+from concordat.llm.common import written
 from concordat.llm.queries import op2_quality
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,3 +58,13 @@ def test_without_labels_only_base_rules_reject(frame):
     kept = quality.reject_poor(docs, model)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 2] and kept.columns == docs.columns
     assert quality.reject_poor(docs.limit(0), model).collect() == []
+
+
+def test_scores_of_a_labelled_row_are_made_once(spark, folder, monkeypatch):
+    plans, kind = [], type(spark.range(1))
+    plain = kind.toPandas
+    monkeypatch.setattr(kind, "toPandas", lambda self: plans.append(self._jdf.queryExecution().executedPlan().toString()) or plain(self))
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    labelled = written(quality.label_rows(docs, labels), "labelled")
+    quality.fit(labelled, "stats", "quality", "key")
+    assert len(plans) == 4 and max(p.count("ArrowEvalPython") for p in plans) == 1
